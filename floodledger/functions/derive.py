@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from floodledger.functions.cleaning import whole
 from floodledger.schemas import RESIDENTIAL_CODES, UNKNOWN, UNKNOWN_KEY
 
 DAYS_PER_YEAR = 365.25
@@ -45,7 +46,7 @@ def year_built(construction_date: Column) -> Column:
 
 def year_built_band(year_text: Column) -> Column:
     """Pre-1970, a decade from 1970 to 2019, 2020+, or Unknown."""
-    year = F.substring(year_text, 1, 4).try_cast("int")
+    year = whole(F.substring(year_text, 1, 4))
     decade = (F.floor(year / 10) * 10).cast("int")
     span = F.concat_ws("-", decade.cast("string"), (decade + 9).cast("string"))
     return (

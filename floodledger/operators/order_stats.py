@@ -49,6 +49,9 @@ def exact_percentiles(
     """
     group = ["_g", *by]
     whole = (F.col(value).cast(f"decimal(38,{scale})") * 10**scale).cast("bigint")
+    # Never NULL after the filter below; saying so keeps the planner from adding further filters,
+    # which would make the three uses of the counts differ and be computed three times.
+    whole = F.coalesce(whole, F.lit(0).cast("bigint"))
     counts = (
         df.where(F.col(value).isNotNull())
         .select(F.lit(1).alias("_g"), *by, whole.alias("_v"))

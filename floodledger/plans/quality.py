@@ -13,7 +13,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from floodledger.operators.dedup import duplicate_keys
 from floodledger.operators.lookup import orphan_counts
 from floodledger.operators.shares import share_of_total
 from floodledger.plans.layers import Silver, Star
@@ -36,36 +35,26 @@ def count_where(condition: Column) -> Column:
     return F.count_if(F.coalesce(condition, F.lit(False)))
 
 
-def status(observed: Column, threshold: Column, severity: Column) -> Column:
-    return (
-        F.when(threshold.isNull(), "INFO").when(observed <= threshold, "PASS").otherwise(severity)
-    )
-
-
 def run_checks(df: DataFrame, suite: str, entity: str, checks: Sequence[Check]) -> DataFrame:
     """The rows of several checks on one table, from one aggregation."""
     totals = df.agg(
         *(c.observed.cast("bigint").alias(f"o{i}") for i, c in enumerate(checks)),
         *(c.detail.alias(f"d{i}") for i, c in enumerate(checks) if c.detail is not None),
     )
-    rows = [
-        F.struct(
-            F.lit(c.name).alias("check_name"),
-            F.col(f"o{i}").alias("observed"),
-            F.lit(c.threshold).cast("bigint").alias("threshold"),
-            F.lit(c.severity).alias("severity"),
-            (F.lit("") if c.detail is None else F.col(f"d{i}")).alias("detail"),
-        )
+    rows = ", ".join(
+        f"'{c.name}', o{i}, CAST({'NULL' if c.threshold is None else c.threshold} AS BIGINT), '{c.severity}',"
+        f" {'d' + str(i) if c.detail is not None else repr('')}"
         for i, c in enumerate(checks)
-    ]
-    long = totals.select(F.inline(F.array(*rows))).withColumns(
-        {
-            "suite": F.lit(suite),
-            "entity": F.lit(entity),
-            "status": status(F.col("observed"), F.col("threshold"), F.col("severity")),
-        }
     )
-    return conform(long, CHECK)
+    long = totals.selectExpr(
+        f"stack({len(checks)}, {rows}) AS (check_name, observed, threshold, severity, detail)"
+    )
+    status = (
+        "CASE WHEN threshold IS NULL THEN 'INFO' WHEN observed <= threshold THEN 'PASS' ELSE severity END"
+    )
+    return conform(
+        long.selectExpr("*", f"'{suite}' AS suite", f"'{entity}' AS entity", f"{status} AS status"), CHECK
+    )
 
 
 def union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -172,10 +161,13 @@ def dim_keys(star: Star) -> DataFrame:
     """Missing and repeated keys of every dimension."""
     parts = []
     for name, df in _dims(star).items():
-        key = _dim_key(name)
-        parts.append(run_checks(df, "dimensions", name, [Check("null_key", count_where(F.col(key).isNull()))]))
-        repeated = duplicate_keys(df, [key])
-        parts.append(run_checks(repeated, "dimensions", name, [Check("duplicate_key", F.count(F.lit(1)))]))
+        key = F.col(_dim_key(name))
+        per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        checks = [
+            Check("null_key", F.coalesce(F.sum(F.when(key.isNull(), F.col("n"))), F.lit(0))),
+            Check("duplicate_key", count_where(key.isNotNull() & (F.col("n") > 1))),
+        ]
+        parts.append(run_checks(per_key, "dimensions", name, checks))
     return union(parts)
 
 

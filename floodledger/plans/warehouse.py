@@ -5,16 +5,23 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from floodledger.plans import dims, facts, quality, silver
 from floodledger.plans.layers import Silver, Star, read_layer
-from floodledger.schemas import SOURCE_COLUMNS, bronze_schema, ref_flood_zone_info, ref_state_info
+from floodledger.schemas import (
+    SOURCE_COLUMNS,
+    bronze_schema,
+    ref_flood_zone_info,
+    ref_state_info,
+    text_schema,
+)
 from floodledger.sources.landing import (
+    BAD,
+    FILE,
     MAX_BAD_ROWS,
     bad_row_counts,
-    bad_rows,
     check_bad_rows,
-    good_rows,
     read_csv_marked,
     to_bronze,
 )
@@ -33,18 +40,45 @@ class Result:
     checks: DataFrame | None = None
 
 
-def land_csv(spark: SparkSession, source: str, out: str, entity: str, limit: int = MAX_BAD_ROWS) -> dict[str, int]:
-    """CSV files of one entity to its bronze table, malformed lines to a quarantine table."""
+# Partition column of the landed tables: 1 for malformed lines.
+REJECTED = "rejected"
+
+
+def land_csv(
+    spark: SparkSession, source: str, out: str, entity: str, limit: int = MAX_BAD_ROWS
+) -> dict[str, int]:
+    """CSV files of one entity to its bronze table, in one pass over the text.
+
+    Malformed lines go to a partition of their own; too many of them in a file fail the load.
+    """
     marked = read_csv_marked(spark, source, SOURCE_COLUMNS[entity])
-    check_bad_rows(bad_row_counts(marked), limit)
-    return {
-        f"{entity}_raw": overwrite(to_bronze(good_rows(marked), entity), f"{out}/bronze/{entity}_raw"),
-        f"{entity}_bad": overwrite(bad_rows(marked), f"{out}/quarantine/{entity}_bad"),
-    }
+    flagged = to_bronze(marked, entity).withColumn(REJECTED, F.col(BAD).isNotNull().cast("int"))
+    path = f"{out}/bronze/{entity}_raw"
+    total = overwrite(flagged, path, [REJECTED])
+    counts = bad_row_counts(read_rejected(spark, out, entity))
+    check_bad_rows(counts, limit)
+    bad = counts.agg(F.coalesce(F.sum("bad_rows"), F.lit(0))).first()[0]
+    return {f"{entity}_raw": total - bad, f"{entity}_rejected": bad}
+
+
+def land_table(df: DataFrame, out: str, entity: str) -> dict[str, int]:
+    """A table that has the bronze columns already, as the bronze table."""
+    path = f"{out}/bronze/{entity}_raw"
+    return {f"{entity}_raw": overwrite(df.withColumn(REJECTED, F.lit(0)), path, [REJECTED])}
 
 
 def read_bronze(spark: SparkSession, out: str, entity: str) -> DataFrame:
-    return spark.read.schema(bronze_schema(entity)).parquet(f"{out}/bronze/{entity}_raw")
+    """The well-formed rows; the malformed ones are pruned as a partition."""
+    schema = bronze_schema(entity).add(REJECTED, "integer")
+    rows = spark.read.schema(schema).parquet(f"{out}/bronze/{entity}_raw")
+    return rows.where(F.col(REJECTED) == 0).drop(REJECTED)
+
+
+def read_rejected(spark: SparkSession, out: str, entity: str) -> DataFrame:
+    """The malformed lines with their file, and what could be read of them."""
+    schema = text_schema([*SOURCE_COLUMNS[entity], BAD, FILE]).add(REJECTED, "integer")
+    rows = spark.read.schema(schema).parquet(f"{out}/bronze/{entity}_raw")
+    return rows.where(F.col(REJECTED) == 1).drop(REJECTED)
 
 
 def build_silver(
@@ -104,7 +138,7 @@ def run(
         if isinstance(source, str):
             result.rows |= land_csv(spark, source, out, entity)
         else:
-            result.rows[f"{entity}_raw"] = overwrite(source, f"{out}/bronze/{entity}_raw")
+            result.rows |= land_table(source, out, entity)
         result.bronze[entity] = read_bronze(spark, out, entity)
     result.silver, rows = build_silver(result.bronze, out, states, zones)
     result.rows |= rows

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import json
+from functools import lru_cache
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # ---------------------------------------------------------------- fixed values
 # Source column order of the two landed entities; every one is a string at bronze.
@@ -123,8 +127,13 @@ LOSS_YEARS = (1978, 2026)
 LINEAGE = "batch_id int, ingestion_timestamp timestamp, source_state string, source_api_endpoint string"
 
 
+@lru_cache
+def _parsed(ddl: str) -> str:
+    return T.StructType.fromDDL(ddl).json()
+
+
 def struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+    return T.StructType.fromJson(json.loads(_parsed(ddl)))
 
 
 def text_schema(columns: list[str]) -> T.StructType:
@@ -202,13 +211,10 @@ PROFILE = "section string, column string, item string, text string, number doubl
 
 
 def inline_rows(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
-    """A handful of constant rows as an expression, so that the planner knows they are small."""
+    """A handful of constant rows as a local table, so that the planner knows they are small."""
     target = struct(ddl)
-    records = [
-        F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, target)))
-        for row in rows
-    ]
-    return spark.range(1).select(F.inline(F.array(*records)))
+    records = [dict(zip(target.names, row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, to_arrow_schema(target)), target)
 
 
 def ref_state_info(spark: SparkSession) -> DataFrame:
@@ -221,4 +227,6 @@ def ref_flood_zone_info(spark: SparkSession) -> DataFrame:
 
 def conform(df: DataFrame, ddl: str) -> DataFrame:
     """Order and type the columns as the table schema says; a missing column is an error."""
-    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in struct(ddl)))
+    return df.selectExpr(
+        *(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in struct(ddl))
+    )

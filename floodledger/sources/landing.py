@@ -78,15 +78,29 @@ def good_rows(marked: DataFrame) -> DataFrame:
     return marked.where(F.col(BAD).isNull()).drop(BAD, FILE)
 
 
+def _filled(marked: DataFrame):
+    """Number of filled source columns.
+
+    Spark refuses a query on raw text files that uses the malformed text alone, so the reports
+    below also look at the parsed columns.
+    """
+    parsed = [c for c in marked.columns if c not in (BAD, FILE)]
+    return sum((F.col(c).isNotNull().cast("int") for c in parsed), F.lit(0))
+
+
 def bad_rows(marked: DataFrame) -> DataFrame:
-    """Malformed lines with their file, for a quarantine table."""
-    return marked.where(F.col(BAD).isNotNull()).select(FILE, F.col(BAD).alias("line"))
+    """Malformed lines with their file and the number of fields that could be read."""
+    return marked.where(F.col(BAD).isNotNull()).select(
+        FILE, F.col(BAD).alias("line"), _filled(marked).alias("fields_read")
+    )
 
 
 def bad_row_counts(marked: DataFrame) -> DataFrame:
-    """Rows and malformed rows per file."""
+    """Rows, malformed rows and filled fields per file."""
     return marked.groupBy(FILE).agg(
-        F.count(F.lit(1)).alias("rows_read"), F.count_if(F.col(BAD).isNotNull()).alias("bad_rows")
+        F.count(F.lit(1)).alias("rows_read"),
+        F.count_if(F.col(BAD).isNotNull()).alias("bad_rows"),
+        F.sum(_filled(marked)).alias("fields_read"),
     )
 
 
@@ -103,15 +117,20 @@ def check_bad_rows(counts: DataFrame, limit: int = MAX_BAD_ROWS) -> None:
 
 
 def read_envelope(
-    spark: SparkSession, path: str | Sequence[str], entity: str, columns: Sequence[str]
+    spark: SparkSession,
+    path: str | Sequence[str],
+    entity: str,
+    columns: Sequence[str],
+    multi_line: bool = True,
 ) -> DataFrame:
     """Landed JSON pages ``{entity: [record, ...]}``, one row per record.
 
-    A page without the entity has no rows.
+    A page without the entity has no rows. By default a file is one page; with ``multi_line=False``
+    a line is one page and large files are split between tasks.
     """
     record = text_schema(list(columns))
     page = T.StructType([T.StructField(entity, T.ArrayType(record))])
-    pages = spark.read.schema(page).option("multiLine", True).json(path)
+    pages = spark.read.schema(page).option("multiLine", multi_line).json(path)
     return pages.select(F.explode(entity).alias("_record")).select("_record.*")
 
 

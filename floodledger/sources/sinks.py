@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 from floodledger.operators.shares import count_by_with_total
 
 
-def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
+def overwrite(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), touched_only: bool = False
+) -> int:
     """Replace a Parquet table, return the rows written.
 
-    The count is observed while writing, without a second pass. With partition columns only the
-    partitions that occur in ``df`` are replaced.
+    The count is observed while writing, without a second pass. ``touched_only`` replaces just the
+    partitions that occur in ``df``.
     """
-    return _write(df, path, "overwrite", partition_by)
+    return _write(df, path, "overwrite", partition_by, touched_only)
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
@@ -24,11 +26,14 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     return _write(df, path, "append", partition_by)
 
 
-def _write(df: DataFrame, path: str, mode: str, partition_by: Sequence[str]) -> int:
+def _write(
+    df: DataFrame, path: str, mode: str, partition_by: Sequence[str], touched_only: bool = False
+) -> int:
     seen = Observation("load")
     writer = df.observe(seen, F.count(F.lit(1)).alias("rows_written")).write.mode(mode)
     if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+        overwrite_mode = "dynamic" if touched_only else "static"
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", overwrite_mode)
     writer.parquet(path)
     return seen.get["rows_written"]
 
@@ -44,6 +49,8 @@ def write_csv_by_state(df: DataFrame, path: str, state_column: str) -> None:
         .write.mode("overwrite")
         .partitionBy("_state")
         .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 
