@@ -16,9 +16,12 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[st
     filter keeps rank one only, Spark limits each key to one row inside every map task before the
     shuffle, and a key with very many copies arrives as one row per task.
     """
+    # Keys are listed from coarse to fine; sorting by the finest first settles most comparisons on
+    # the first column.
+    within = Window.partitionBy(*reversed(keys))
     rest = [c for c in df.columns if c not in set(keys) | set(newest_first)]
     order = [F.desc_nulls_last(c) for c in newest_first] + [F.asc_nulls_first(c) for c in rest]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    rank = F.row_number().over(within.orderBy(*order))
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Up to this rank Spark itself drops surplus rows before the shuffle.
-PRUNED_RANK = 1000
+# Up to this rank one window is enough: Spark keeps at most that many rows of a group per map task
+# before the shuffle, so even a group present in every task stays small.
+PRUNED_RANK = 20
 # Fan-in of the salted rounds below.
 FAN_IN = 32
 

@@ -55,52 +55,42 @@ def read_csv_aligned(spark: SparkSession, path: str | Sequence[str]) -> DataFram
 
 
 def read_csv_marked(
-    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str]
+    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], header: bool = True
 ) -> DataFrame:
     """Like ``read_csv`` with two more columns: the text of a malformed line, and the file.
 
     Column pruning is off for this read: a pruned parser does not notice a wrong column count.
     """
     schema = T.StructType(text_schema(list(columns)).fields + [T.StructField(BAD, T.StringType())])
-    return (
+    rows = (
         spark.read.schema(schema)
-        .option("header", True)
+        .option("header", header)
         .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD)
         .option("columnPruning", False)
         .csv(path)
-        .select("*", F.col("_metadata.file_path").alias(FILE))
     )
+    # Spark refuses a query on text files that needs nothing but the malformed text. The second
+    # part is never filled; it makes every query on the mark look at a parsed column as well.
+    first = F.col(columns[0])
+    mark = F.coalesce(F.col(BAD), F.when(F.length(first) < 0, first))
+    return rows.select(*columns, mark.alias(BAD), F.col("_metadata.file_path").alias(FILE))
 
 
 def good_rows(marked: DataFrame) -> DataFrame:
     return marked.where(F.col(BAD).isNull()).drop(BAD, FILE)
 
 
-def _filled(marked: DataFrame):
-    """Number of filled source columns.
-
-    Spark refuses a query on raw text files that uses the malformed text alone, so the reports
-    below also look at the parsed columns.
-    """
-    parsed = [c for c in marked.columns if c not in (BAD, FILE)]
-    return sum((F.col(c).isNotNull().cast("int") for c in parsed), F.lit(0))
-
-
 def bad_rows(marked: DataFrame) -> DataFrame:
-    """Malformed lines with their file and the number of fields that could be read."""
-    return marked.where(F.col(BAD).isNotNull()).select(
-        FILE, F.col(BAD).alias("line"), _filled(marked).alias("fields_read")
-    )
+    """Malformed lines with their file, for a quarantine table."""
+    return marked.where(F.col(BAD).isNotNull()).select(FILE, F.col(BAD).alias("line"))
 
 
 def bad_row_counts(marked: DataFrame) -> DataFrame:
-    """Rows, malformed rows and filled fields per file."""
+    """Rows and malformed rows per file."""
     return marked.groupBy(FILE).agg(
-        F.count(F.lit(1)).alias("rows_read"),
-        F.count_if(F.col(BAD).isNotNull()).alias("bad_rows"),
-        F.sum(_filled(marked)).alias("fields_read"),
+        F.count(F.lit(1)).alias("rows_read"), F.count_if(F.col(BAD).isNotNull()).alias("bad_rows")
     )
 
 

@@ -10,12 +10,13 @@ from harness import sql as q
 from harness.registry import query
 from harness.sql import band, date, date_key, hazard, integer, money, ratio, zone_category
 
-N = F.count(F.lit(1)).alias("n")
+def n_rows():
+    return F.count(F.lit(1)).alias("n")
 
 
 def counted(df, **columns):
     """Rows per combination of the given expressions."""
-    return df.groupBy(*(c.alias(n) for n, c in columns.items())).agg(N)
+    return df.groupBy(*(c.alias(n) for n, c in columns.items())).agg(n_rows())
 
 
 # ------------------------------------------------------------- projections, predicates
@@ -28,7 +29,7 @@ def counted(df, **columns):
 )
 def p01(ws):
     renamed = ws.claims.select(F.col("causeOfDamage").alias("cause_of_damage"), F.col("yearOfLoss").alias("year_of_loss"))
-    return renamed.groupBy("cause_of_damage", "year_of_loss").agg(N)
+    return renamed.groupBy("cause_of_damage", "year_of_loss").agg(n_rows())
 
 
 @query(
@@ -53,7 +54,7 @@ def p03(ws):
             cleaning.or_unknown(F.col("basementEnclosureCrawlspaceType")).alias("basement"),
             cleaning.or_unknown(F.col("occupancyType")).alias("occupancy"),
         )
-        .agg(N, F.sum(cleaning.to_money(F.col("amountPaidOnBuildingClaim"))).alias("paid"))
+        .agg(n_rows(), F.sum(cleaning.to_money(F.col("amountPaidOnBuildingClaim"))).alias("paid"))
     )
 
 
@@ -293,7 +294,7 @@ def b13(ws):
     paid = ws.claims.select(F.col("amountPaidTotal").alias("amount_paid_total"))
     threshold = large_loss_threshold(paid).scalar()
     flagged = paid.select(derive.large_loss_flag(F.col("amount_paid_total").cast("double"), threshold).alias("is_large"))
-    return flagged.groupBy("is_large").agg(N)
+    return flagged.groupBy("is_large").agg(n_rows())
 
 
 @query(
@@ -489,7 +490,7 @@ def f15(ws):
 def f16(ws):
     """Every ingestion time lies before the current time."""
     rows = ws.claims.withColumn("now", F.current_timestamp())
-    return rows.groupBy("state").agg(N, F.count_if(F.col("dateOfLoss").cast("timestamp") < F.col("now")).alias("before_now"))
+    return rows.groupBy("state").agg(n_rows(), F.count_if(F.col("dateOfLoss").cast("timestamp") < F.col("now")).alias("before_now"))
 
 
 @query(
@@ -499,7 +500,7 @@ def f16(ws):
 )
 def f17(ws):
     line = F.concat(F.lit("state "), F.col("state"), F.lit(": "), F.col("n").cast("string"), F.lit(" claims"))
-    return ws.claims.groupBy("state").agg(N).select(line.alias("line"))
+    return ws.claims.groupBy("state").agg(n_rows()).select(line.alias("line"))
 
 
 @query(
@@ -527,7 +528,7 @@ def f18(ws):
 )
 def f19(ws):
     day = cleaning.to_date(F.col("policyTerminationDate"))
-    return ws.bronze("policies").agg(N, F.count(day).alias("usable"), F.min(day).alias("first_day"))
+    return ws.bronze("policies").agg(n_rows(), F.count(day).alias("usable"), F.min(day).alias("first_day"))
 
 
 @query(

@@ -12,7 +12,8 @@ from floodledger.plans.views import large_loss_threshold
 from harness.registry import query
 from harness.sql import band
 
-N = F.count(F.lit(1)).alias("n")
+def n_rows():
+    return F.count(F.lit(1)).alias("n")
 
 
 @query(
@@ -21,7 +22,7 @@ N = F.count(F.lit(1)).alias("n")
     "SELECT c.state, s.state_name, s.fema_region, count(*) AS n FROM claims c LEFT JOIN states s ON s.state_abbrev = c.state GROUP BY 1, 2, 3",
 )
 def j01(ws):
-    rows = ws.claims.groupBy("state").agg(N)
+    rows = ws.claims.groupBy("state").agg(n_rows())
     return rows.join(ws.silver.ref_state_info, F.col("state") == F.col("state_abbrev"), "left").select(
         "state", "state_name", "fema_region", "n"
     )
@@ -38,7 +39,7 @@ def j02(ws):
     found = resolve_key(
         rows, ws.star.dim_location, {"state": "state_abbrev", "county": "county_fips"}, "location_key"
     )
-    return found.groupBy("location_key").agg(N)
+    return found.groupBy("location_key").agg(n_rows())
 
 
 @query(
@@ -53,7 +54,7 @@ def j02(ws):
 def j03(ws):
     rows = dims.with_building_attributes(ws.policies)
     found = resolve_key(rows, ws.star.dim_building_type, {c: c for c in dims.BUILDING}, "building_type_key")
-    return found.groupBy("building_type_key").agg(N)
+    return found.groupBy("building_type_key").agg(n_rows())
 
 
 @query(
@@ -66,7 +67,7 @@ def j04(ws):
     """The missing code meets exactly one Unknown member: no fan-out."""
     rows = ws.claims.select(F.coalesce("occupancyType", F.lit("Unknown")).alias("code"))
     joined = rows.join(ws.star.dim_occupancy, F.col("code") == F.col("occupancy_type"), "left")
-    return joined.groupBy("occupancy_key", "occupancy_type").agg(N)
+    return joined.groupBy("occupancy_key", "occupancy_type").agg(n_rows())
 
 
 @query(
@@ -79,7 +80,7 @@ def j05(ws):
     totals = ws.star.fact_claims.agg(
         F.count_if(F.col("occupancy_key") == -1).alias("occupancy"),
         F.count_if(F.col("flood_zone_key") == -1).alias("flood_zone"),
-        N,
+        n_rows(),
     )
     return totals.unpivot(["n"], ["occupancy", "flood_zone"], "key", "unresolved").select("key", "unresolved", "n")
 
@@ -99,7 +100,7 @@ def j06(ws):
         .join(s.dim_occupancy, "occupancy_key")
     )
     return joined.groupBy("state_name", "zone_category", "year_built_band", "occupancy_type").agg(
-        N, F.sum("amount_paid_total").alias("paid")
+        n_rows(), F.sum("amount_paid_total").alias("paid")
     )
 
 
@@ -125,7 +126,7 @@ def j08(ws):
     start = dates.select(F.col("date_key").alias("effective_date_key"), F.col("year").alias("start_year"))
     end = dates.select(F.col("date_key").alias("termination_date_key"), F.col("year").alias("end_year"))
     joined = ws.star.fact_policies.join(start, "effective_date_key").join(end, "termination_date_key")
-    return joined.groupBy("start_year", "end_year").agg(N)
+    return joined.groupBy("start_year", "end_year").agg(n_rows())
 
 
 _SIDES = (
@@ -205,7 +206,7 @@ def j12(ws):
 def j13(ws):
     early = ws.star.dim_date.where("year <= 1999")
     missing = orphans(ws.star.fact_policies, early, "termination_date_key", "date_key")
-    return missing.groupBy("termination_date_key").agg(N)
+    return missing.groupBy("termination_date_key").agg(n_rows())
 
 
 @query(
@@ -237,4 +238,4 @@ def j14(ws):
     fact = ws.star.fact_claims
     threshold = large_loss_threshold(fact).scalar()
     large = fact.where(F.col("amount_paid_total").cast("double") >= threshold)
-    return large.groupBy("location_key").agg(N).withColumn("threshold", F.round(threshold, 6))
+    return large.groupBy("location_key").agg(n_rows()).withColumn("threshold", F.round(threshold, 6))
