@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from floodledger.plans import quality, views
-from harness.catalog.star import LOSS_RATIO_STATE
+from harness.catalog.star import LOSS_RATIO_LOCATION, LOSS_RATIO_STATE
 from harness.registry import query
 from harness.sql import percent2
 
@@ -344,11 +344,76 @@ def q21(ws):
     return quality.year_mismatch(ws.claims)
 
 
-@query("qc_silver_suite")
+def _zone_rows(suite: str, entity: str, source: str) -> str:
+    """The distribution as check rows; the percentage is compared in the queries above."""
+    return (
+        f"SELECT '{suite}' AS suite, 'zone_' || zone_category AS check_name, '{entity}' AS entity, 'INFO' AS status, n AS observed,"
+        f" CAST(NULL AS BIGINT) AS threshold FROM ({_distribution(source)})"
+    )
+
+
+def _no_detail(check_rows: str) -> str:
+    return f"SELECT suite, check_name, entity, status, observed, threshold FROM ({check_rows})"
+
+
+def _two_layers_sql(entity: str) -> str:
+    b, s = f"(SELECT count(*) FROM raw_{entity})", f"(SELECT count(*) FROM {entity})"
+    return rows(
+        "silver", entity, "(SELECT 1)", ("bronze_rows", b, None), ("silver_rows", s, None), ("bronze_to_silver_delta", f"{b} - {s}", None)
+    )
+
+
+_EXPOSURE = rows("silver", "policies", "policies", ("exposure_outside_0_1", n_where("exposure < 0 OR exposure > 1"), "FAIL"))
+_NEGATIVE = rows(
+    "silver", "claims", "claims",
+    *((f"negative_{c}", n_where(f"{c} < 0"), None) for c in ("amountPaidOnBuildingClaim", "amountPaidOnContentsClaim", "amountPaidTotal")),
+)
+_NULLS = [
+    rows("silver", e, e, *((f"null_{c}", n_where(f"{c} IS NULL"), "FAIL") for c in quality.CRITICAL[e]))
+    for e in ("claims", "policies")
+]
+_MISMATCH = rows("silver", "claims", "claims", ("year_of_loss_differs", n_where("yearOfLoss IS DISTINCT FROM accident_year"), None))
+
+
+@query(
+    "qc_silver_suite",
+    "raw_claims raw_policies claims policies",
+    " UNION ALL ".join(
+        [
+            *(_no_detail(part) for part in (_two_layers_sql("claims"), _two_layers_sql("policies"), *_NULLS, _NEGATIVE, _EXPOSURE, _MISMATCH)),
+            _zone_rows("silver", "claims", "claims"),
+            _zone_rows("silver", "policies", "policies"),
+        ]
+    ),
+)
 def silver_suite(ws):
-    return quality.silver_suite({e: ws.bronze(e) for e in ("claims", "policies")}, ws.silver)
+    return quality.silver_suite({e: ws.bronze(e) for e in ("claims", "policies")}, ws.silver).drop("detail")
+
 
+_DIM_ROWS = [rows("row_counts", d, d, ("dim_rows", "count(*)", None)) for d in _DIM_KEYS]
+_DIM_CHECKS = [
+    rows("dimensions", d, d, ("null_key", n_where(f"{k} IS NULL"), "FAIL"), ("duplicate_key", f"count(*) - count(DISTINCT {k})", "FAIL"))
+    for d, k in _DIM_KEYS.items()
+]
+_GOLD = [
+    _layers_sql("claims"), _layers_sql("policies"), *_DIM_ROWS, *_DIM_CHECKS,
+    _orphans_sql("claims", _CLAIM_EDGES), _orphans_sql("policies", _POLICY_EDGES), _PREMIUM_RULES, _claim_rules_sql("WARNING"),
+    rows("business_rules", "claims", "claims_star", ("loss_date_in_range", n_where("year NOT BETWEEN 1978 AND 2026"), "FAIL")),
+    rows("business_rules", "portfolio", f"({LOSS_RATIO_LOCATION})", ("loss_ratio_sane", n_where("loss_ratio > 10"), "WARNING")),
+]
 
-@query("qc_gold_suite")
+
+@query(
+    "qc_gold_suite",
+    "raw_claims raw_policies claims_star policies_star",
+    " UNION ALL ".join(
+        [
+            *(_no_detail(part) for part in _GOLD),
+            _zone_rows("business_rules", "claims", "(SELECT zone_category, is_special_flood_hazard FROM claims_star)"),
+            _zone_rows("business_rules", "policies", "(SELECT zone_category, is_special_flood_hazard FROM policies_star)"),
+        ]
+    ),
+)
 def gold_suite(ws):
-    return quality.gold_suite({e: ws.bronze(e) for e in ("claims", "policies")}, ws.silver, ws.star)
+    layers = {e: ws.bronze(e) for e in ("claims", "policies")}
+    return quality.gold_suite(layers, ws.silver, ws.star).drop("detail")

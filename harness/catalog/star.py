@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from floodledger.plans import dims, profile, silver, views
-from floodledger.schemas import CLAIM_COLUMNS, POLICY_COLUMNS
+from floodledger.schemas import (
+    CLAIM_COLUMNS,
+    POLICY_COLUMNS,
+    PROFILE_CATEGORICAL,
+    PROFILE_DATES,
+    PROFILE_STATE,
+)
 from harness.registry import query
-from harness.sql import growth, ratio
+from harness.sql import date, growth, ratio
 
 CLAIMS_OUT = (
     "CAST(dateOfLoss AS VARCHAR) AS dateOfLoss, state, countyCode, floodZone, CAST(amountPaidOnBuildingClaim AS DOUBLE) AS amountPaidOnBuildingClaim,"
@@ -125,30 +131,72 @@ def k10(ws):
     return views.claims_by_state_year(ws.star, since=1998)
 
 
-@query("k11_profile_claims")
-def k11(ws):
-    return profile.profile_entity(ws.bronze("claims").select(*CLAIM_COLUMNS), "claims")
+_NUMBER = "^[+-]?[0-9]+([.][0-9]+)?$"
 
 
-@query("k11_profile_policies")
-def k11_policies(ws):
-    return profile.profile_entity(ws.bronze("policies").select(*POLICY_COLUMNS), "policies")
+def _column_facts(table: str, column: str, dates: list[str]) -> str:
+    """Type, nulls, numeric range and date range of one column."""
+    day = date(column) if column in dates else "CAST(NULL AS DATE)"
+    return (
+        f"SELECT '{column}' AS col, *, CASE WHEN f = 0 THEN 'float64' WHEN t = f AND f = n THEN 'bool' WHEN w = f AND f = n THEN 'int64'"
+        f" WHEN k = f THEN 'float64' ELSE 'object' END AS type FROM (SELECT count({column}) AS f, count(*) AS n,"
+        f" count(*) FILTER (WHERE regexp_matches({column}, '^[+-]?[0-9]+$')) AS w, count(*) FILTER (WHERE regexp_matches({column}, '{_NUMBER}')) AS k,"
+        f" count(*) FILTER (WHERE lower({column}) IN ('true', 'false')) AS t, min(v) AS lo, max(v) AS hi, avg(v) AS mean, median(v) AS mid,"
+        f" CAST(min(day) AS VARCHAR) AS first_day, CAST(max(day) AS VARCHAR) AS last_day FROM (SELECT {column},"
+        f" CASE WHEN regexp_matches({column}, '{_NUMBER}') THEN CAST({column} AS DOUBLE) END AS v, {day} AS day FROM {table}))"
+    )
 
 
-_TYPES = (
-    "CASE WHEN f = 0 THEN 'float64' WHEN t = f AND f = n THEN 'bool' WHEN w = f AND f = n THEN 'int64' WHEN d = f THEN 'float64' ELSE 'object' END AS type"
-)
+def _profile_sql(entity: str, columns: list[str]) -> str:
+    table, state, dates = f"raw_{entity}", PROFILE_STATE[entity], PROFILE_DATES[entity]
+    none, empty = "CAST(NULL AS DOUBLE)", "''"
+
+    def rows(section: str, column: str, item: str, text: str, number: str, source: str) -> str:
+        return f"SELECT '{section}' AS section, {column} AS \"column\", {item} AS item, {text} AS text, {number} AS number FROM {source}"
+
+    facts = "facts WHERE type IN ('int64', 'float64')"
+    dated = "facts WHERE col IN (" + ", ".join(f"'{d}'" for d in dates) + ")"
+    counts = " UNION ALL ".join(
+        f"SELECT '{c}' AS col, {c} AS val, count(*) AS n FROM {table} WHERE {c} IS NOT NULL GROUP BY {c}"
+        for c in PROFILE_CATEGORICAL[entity]
+    )
+    ranked = f"(SELECT *, row_number() OVER (PARTITION BY col ORDER BY n DESC, val) AS r FROM ({counts})) WHERE r <= 15"
+    parts = [
+        rows("rows", empty, "'total'", empty, "CAST(count(*) AS DOUBLE)", table),
+        rows("types", "col", "'type'", "type", none, "facts"),
+        rows("nulls", "col", "'count'", empty, "CAST(n - f AS DOUBLE)", "facts"),
+        rows("nulls", "col", "'percent'", empty, "CAST(n - f AS DOUBLE) / n * 100", "facts"),
+        *(rows("numbers", "col", f"'{m}'", empty, f"round({e}, 4)", facts) for m, e in (("min", "lo"), ("max", "hi"), ("mean", "mean"), ("median", "mid"))),
+        rows("dates", "col", "'min'", "first_day", none, dated),
+        rows("dates", "col", "'max'", "last_day", none, dated),
+        rows("values", "col", "CAST(r AS VARCHAR)", "val", "CAST(n AS DOUBLE)", ranked),
+        rows("states", f"'{state}'", "'count'", state, "CAST(count(*) AS DOUBLE)", f"{table} GROUP BY {state}"),
+    ]
+    facts_cte = " UNION ALL ".join(_column_facts(table, c, dates) for c in columns)
+    return f"SELECT * FROM (WITH facts AS ({facts_cte}) {' UNION ALL '.join(parts)})"
+
+
+def _profile(ws, entity: str, columns: list[str]):
+    """Means are summed in any order, so numeric statistics are compared to four digits."""
+    rows = profile.profile_entity(ws.bronze(entity).select(*columns), entity)
+    rounded = F.when(F.col("section") == "numbers", F.round("number", 4)).otherwise(F.col("number"))
+    return rows.withColumn("number", rounded)
+
+
+@query("k11_profile_claims", "raw_claims", _profile_sql("claims", CLAIM_COLUMNS))
+def k11(ws):
+    return _profile(ws, "claims", CLAIM_COLUMNS)
+
+
+@query("k11_profile_policies", "raw_policies", _profile_sql("policies", POLICY_COLUMNS))
+def k11_policies(ws):
+    return _profile(ws, "policies", POLICY_COLUMNS)
 
 
 @query(
     "k11_column_types",
     "raw_claims",
-    " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", {_TYPES} FROM (SELECT count({c}) AS f, count(*) AS n,"
-        f" count(*) FILTER (WHERE regexp_matches({c}, '^-?[0-9]+$')) AS w, count(*) FILTER (WHERE regexp_matches({c}, '^-?[0-9]+(\\.[0-9]+)?$')) AS d,"
-        f" count(*) FILTER (WHERE lower({c}) IN ('true', 'false')) AS t FROM raw_claims)"
-        for c in CLAIM_COLUMNS
-    ),
+    'SELECT col AS "column", type FROM (' + " UNION ALL ".join(_column_facts("raw_claims", c, []) for c in CLAIM_COLUMNS) + ")",
 )
 def k11_types(ws):
     return profile.column_types(ws.bronze("claims").select(*CLAIM_COLUMNS))
