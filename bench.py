@@ -35,6 +35,9 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.driver.memory", "20g")
         .config("spark.ui.enabled", "false")
+        # the tables are small: several row groups per file, so that more threads take part
+        .config("spark.hadoop.parquet.block.size", str(1 << 20))
+        .config("spark.sql.files.openCostInBytes", str(1 << 20))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from floodledger.functions.derive import known_key
@@ -40,15 +40,29 @@ def orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> Dat
     return fact.join(side, F.col(fact_key) == F.col("_key"), "left_anti")
 
 
-def orphan_counts(fact: DataFrame, edges: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
-    """One row with the number of orphans of every ``(fact_key, dim, dim_key)``.
+def probe_keys(
+    fact: DataFrame,
+    edges: Sequence[tuple[str, DataFrame, str]],
+    carry: Mapping[str, Sequence[str]] | None = None,
+) -> DataFrame:
+    """The fact with a column ``_<fact_key>`` per ``(fact_key, dim, dim_key)``, NULL for orphans.
 
-    All edges are counted in a single pass over the fact.
+    ``carry`` names dimension columns to bring along, by fact key. Dimensions with repeated keys
+    are reduced to one row per key first, so the fact keeps its rows.
     """
-    probed = fact.select(*dict.fromkeys(fact_key for fact_key, _, _ in edges))
     for fact_key, dim, dim_key in edges:
-        side = dim.select(F.col(dim_key).alias(f"_{fact_key}")).distinct()
-        probed = probed.join(side, F.col(fact_key) == F.col(f"_{fact_key}"), "left")
-    return probed.agg(
-        *(F.count_if(F.col(f"_{fact_key}").isNull()).alias(fact_key) for fact_key, _, _ in edges)
-    )
+        extra = list((carry or {}).get(fact_key, ()))
+        side = dim.select(F.col(dim_key).alias(f"_{fact_key}"), *extra).dropDuplicates([f"_{fact_key}"])
+        fact = fact.join(side, F.col(fact_key) == F.col(f"_{fact_key}"), "left")
+    return fact
+
+
+def is_orphan(fact_key: str) -> Column:
+    return F.col(f"_{fact_key}").isNull()
+
+
+def orphan_counts(fact: DataFrame, edges: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
+    """One row with the number of orphans of every edge, from a single pass over the fact."""
+    keys = list(dict.fromkeys(fact_key for fact_key, _, _ in edges))
+    probed = probe_keys(fact.select(*keys), edges)
+    return probed.agg(*(F.count_if(is_orphan(key)).alias(key) for key in keys))

@@ -2,8 +2,7 @@
 
 The built-in exact percentile keeps every distinct value of a group in one task. Here the values
 are counted first (so repeated values shrink before the shuffle) and the wanted ranks are then
-located by narrowing the value range in three steps: by the leading bits, by the middle bits, by
-the value. No step holds more than ``2**22`` rows per group in one task, whatever the input size.
+located by narrowing the value range: by the leading bits, then among the values that share them.
 """
 
 from __future__ import annotations
@@ -14,19 +13,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Low bits dropped in each step; values are whole numbers of 64 bits.
-STEPS = (42, 21, 0)
+# Low bits dropped in each step. Values are whole numbers; the last step looks at the values.
+STEPS = (21, 0)
+WIDE_STEPS = (42, 21, 0)
 
 
-def _ranked(buckets: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Add the number of values before each bucket, and the group's total."""
-    within = Window.partitionBy(*group)
-    return buckets.withColumns(
-        {
-            "_before": F.sum("_n").over(within.orderBy("_bucket")) - F.col("_n"),
-            "_total": F.sum("_n").over(within),
-        }
-    )
+def _with_start(buckets: DataFrame, group: Sequence[str], base: Column) -> DataFrame:
+    """Add ``_before``, the number of the group's values below each bucket."""
+    running = F.sum("_n").over(Window.partitionBy(*group).orderBy("_bucket"))
+    return buckets.withColumn("_before", base + running - F.col("_n"))
 
 
 def _holds(rank: Column) -> Column:
@@ -40,17 +35,20 @@ def exact_percentiles(
     by: Sequence[str] = (),
     scale: int = 2,
     few_groups: bool = False,
+    steps: Sequence[int] = STEPS,
 ) -> DataFrame:
     """Continuous percentiles (linear interpolation) per group: columns ``by``, ``p``, ``percentile``.
 
-    ``value`` must be a number with at most ``scale`` decimals. ``few_groups`` says that the number
-    of groups is bounded by construction, which allows the chosen buckets (two rows per group and
-    probability) to be broadcast; without groups that is always so.
+    ``value`` must be a number with at most ``scale`` decimals. With the default steps no task holds
+    more than ``2**22`` rows of a group as long as the values span less than ``2**42`` units (with
+    cents: 44 billion); ``WIDE_STEPS`` keeps that bound for all 64-bit values. ``few_groups`` says
+    that the number of groups is bounded by construction, which allows the chosen buckets (two rows
+    per group and probability) to be broadcast; without groups that is always so.
     """
     group = ["_g", *by]
     whole = (F.col(value).cast(f"decimal(38,{scale})") * 10**scale).cast("bigint")
     # Never NULL after the filter below; saying so keeps the planner from adding further filters,
-    # which would make the three uses of the counts differ and be computed three times.
+    # which would make the uses of the counts differ and be computed more than once.
     whole = F.coalesce(whole, F.lit(0).cast("bigint"))
     counts = (
         df.where(F.col(value).isNotNull())
@@ -60,61 +58,59 @@ def exact_percentiles(
     )
     small = F.broadcast if few_groups or not by else (lambda d: d)
 
-    # First step: both neighbouring ranks of every probability, found in the leading bits.
-    first = counts.groupBy(*group, F.shiftright("_v", STEPS[0]).alias("_bucket")).agg(
+    # First step: the buckets of the two neighbouring ranks of every probability.
+    leading = counts.groupBy(*group, F.shiftright("_v", steps[0]).alias("_bucket")).agg(
         F.sum("_n").alias("_n")
     )
+    ranked = _with_start(leading, group, F.lit(0)).withColumn(
+        "_last", F.sum("_n").over(Window.partitionBy(*group)) - 1
+    )
     wanted = []
-    for p in probabilities:
-        position = F.lit(float(p)) * (F.col("_total") - 1).cast("double")
-        part = position - F.floor(position)
-        for side, rank in ((0, F.floor(position)), (1, F.ceil(position))):
-            wanted.append(
-                F.when(
-                    _holds(rank),
-                    F.struct(
-                        F.lit(float(p)).alias("p"),
-                        F.lit(side).alias("_side"),
-                        part.alias("_part"),
-                        (rank - F.col("_before")).alias("_rank"),
-                    ),
-                )
-            )
-    chosen = (
-        _ranked(first, group)
-        .select(*group, "_bucket", F.explode(F.array_compact(F.array(*wanted))).alias("_w"))
-        .select(*group, "_bucket", "_w.*")
+    for i, p in enumerate(probabilities):
+        position = F.lit(float(p)) * F.col("_last").cast("double")
+        low, high = F.floor(position), F.ceil(position)
+        target = F.struct(
+            F.lit(i).alias("_i"),
+            (position - low).alias("_part"),
+            low.alias("_low"),
+            high.alias("_high"),
+            F.col("_before").alias("_start"),
+        )
+        wanted.append(F.when(_holds(low) | _holds(high), target))
+    chosen = ranked.select(
+        *group, "_bucket", F.inline(F.array_compact(F.array(*wanted)))
     )
 
-    # Further steps: descend into the chosen buckets only.
-    targets = ["p", "_side", "_part", "_rank"]
-    for outer, inner in zip(STEPS, STEPS[1:]):
+    # Further steps: only the values inside the chosen buckets, which follow each other without a
+    # gap, so one running count per probability covers both of them.
+    target_key = [*group, "_i"]
+    carried = ["_part", "_low", "_high"]
+    for outer, inner in zip(steps, steps[1:]):
         inside = counts.withColumn("_parent", F.shiftright("_v", outer)).join(
             small(chosen.withColumnRenamed("_bucket", "_parent")), [*group, "_parent"]
         )
-        buckets = inside.groupBy(*group, *targets, F.shiftright("_v", inner).alias("_bucket")).agg(
-            F.sum("_n").alias("_n")
-        )
+        if inner:
+            buckets = inside.groupBy(
+                *target_key, *carried, F.shiftright("_v", inner).alias("_bucket")
+            ).agg(F.sum("_n").alias("_n"), F.min("_start").alias("_start"))
+        else:
+            buckets = inside.withColumn("_bucket", F.col("_v"))
+        base = F.min("_start").over(Window.partitionBy(*target_key))
+        found = _holds(F.col("_low")) | _holds(F.col("_high"))
         chosen = (
-            _ranked(buckets, [*group, "p", "_side"])
-            .where(_holds(F.col("_rank")))
-            .select(
-                *group, "_bucket", "p", "_side", "_part",
-                (F.col("_rank") - F.col("_before")).alias("_rank"),
-            )
+            _with_start(buckets, target_key, base)
+            .where(found)
+            .select(*target_key, *carried, "_bucket", "_n", "_before", F.col("_before").alias("_start"))
         )
+        if inner:
+            chosen = chosen.drop("_n", "_before")
 
-    below = F.max(F.when(F.col("_side") == 0, F.col("_bucket")))
-    above = F.max(F.when(F.col("_side") == 1, F.col("_bucket")))
-    return (
-        chosen.groupBy(*group, "p", "_part")
-        .agg(below.alias("_low"), above.alias("_high"))
-        .select(
-            *by,
-            "p",
-            (
-                (F.col("_low") + F.col("_part") * (F.col("_high") - F.col("_low")))
-                / F.lit(float(10**scale))
-            ).alias("percentile"),
-        )
+    at = lambda rank: F.max(F.when(_holds(F.col(rank)), F.col("_bucket")))
+    ends = chosen.groupBy(*target_key).agg(
+        F.max("_part").alias("_part"), at("_low").alias("_below"), at("_high").alias("_above")
+    )
+    between = F.col("_below") + F.col("_part") * (F.col("_above") - F.col("_below"))
+    p_of = F.array(*(F.lit(float(p)) for p in probabilities))
+    return ends.select(
+        *by, p_of[F.col("_i")].alias("p"), (between / F.lit(float(10**scale))).alias("percentile")
     )

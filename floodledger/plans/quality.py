@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from floodledger.operators.lookup import orphan_counts
+from floodledger.operators.lookup import is_orphan, probe_keys
 from floodledger.operators.shares import share_of_total
 from floodledger.plans.layers import Silver, Star
 from floodledger.plans.views import loss_ratio
@@ -29,6 +29,7 @@ class Check:
     severity: str = "FAIL"
     threshold: int | None = 0
     detail: Column | None = None
+    suite: str | None = None
 
 
 def count_where(condition: Column) -> Column:
@@ -42,18 +43,18 @@ def run_checks(df: DataFrame, suite: str, entity: str, checks: Sequence[Check])
         *(c.detail.alias(f"d{i}") for i, c in enumerate(checks) if c.detail is not None),
     )
     rows = ", ".join(
-        f"'{c.name}', o{i}, CAST({'NULL' if c.threshold is None else c.threshold} AS BIGINT), '{c.severity}',"
+        f"'{c.suite or suite}', '{c.name}', o{i}, CAST({'NULL' if c.threshold is None else c.threshold} AS BIGINT), '{c.severity}',"
         f" {'d' + str(i) if c.detail is not None else repr('')}"
         for i, c in enumerate(checks)
     )
     long = totals.selectExpr(
-        f"stack({len(checks)}, {rows}) AS (check_name, observed, threshold, severity, detail)"
+        f"stack({len(checks)}, {rows}) AS (suite, check_name, observed, threshold, severity, detail)"
     )
     status = (
         "CASE WHEN threshold IS NULL THEN 'INFO' WHEN observed <= threshold THEN 'PASS' ELSE severity END"
     )
     return conform(
-        long.selectExpr("*", f"'{suite}' AS suite", f"'{entity}' AS entity", f"{status} AS status"), CHECK
+        long.selectExpr("*", f"'{entity}' AS entity", f"{status} AS status"), CHECK
     )
 
 
@@ -99,9 +100,12 @@ def _dim_key(name: str) -> str:
 # ---------------------------------------------------------------------- silver
 
 
+def null_checks(columns: Sequence[str]) -> list[Check]:
+    return [Check(f"null_{c}", count_where(F.col(c).isNull())) for c in columns]
+
+
 def critical_nulls(df: DataFrame, entity: str, columns: Sequence[str]) -> DataFrame:
-    checks = [Check(f"null_{c}", count_where(F.col(c).isNull())) for c in columns]
-    return run_checks(df, "silver", entity, checks)
+    return run_checks(df, "silver", entity, null_checks(columns))
 
 
 CRITICAL = {
@@ -110,28 +114,37 @@ CRITICAL = {
 }
 
 
-def negative_amounts(claims: DataFrame) -> DataFrame:
+def negative_checks() -> list[Check]:
     """Counts only: negative amounts are adjustments and reversals."""
     paid = ["amountPaidOnBuildingClaim", "amountPaidOnContentsClaim", "amountPaidTotal"]
-    checks = [Check(f"negative_{c}", count_where(F.col(c) < 0), threshold=None) for c in paid]
-    return run_checks(claims, "silver", "claims", checks)
+    return [Check(f"negative_{c}", count_where(F.col(c) < 0), threshold=None) for c in paid]
 
 
-def exposure_range(policies: DataFrame) -> DataFrame:
+def exposure_check() -> Check:
     term = F.col("exposure")
     summary = F.format_string(
         "min=%s max=%s avg=%s",
         F.min(term).cast("string"), F.max(term).cast("string"), F.avg(term).cast("decimal(8,6)").cast("string"),
     )
-    check = Check("exposure_outside_0_1", count_where((term < 0) | (term > 1)), detail=summary)
-    return run_checks(policies, "silver", "policies", [check])
+    return Check("exposure_outside_0_1", count_where((term < 0) | (term > 1)), detail=summary)
 
 
-def year_mismatch(claims: DataFrame) -> DataFrame:
+def mismatch_check() -> Check:
     """Claims whose stated year of loss is not the year of their loss date."""
     differs = ~F.col("yearOfLoss").eqNullSafe(F.col("accident_year"))
-    check = Check("year_of_loss_differs", count_where(differs), threshold=None)
-    return run_checks(claims, "silver", "claims", [check])
+    return Check("year_of_loss_differs", count_where(differs), threshold=None)
+
+
+def negative_amounts(claims: DataFrame) -> DataFrame:
+    return run_checks(claims, "silver", "claims", negative_checks())
+
+
+def exposure_range(policies: DataFrame) -> DataFrame:
+    return run_checks(policies, "silver", "policies", [exposure_check()])
+
+
+def year_mismatch(claims: DataFrame) -> DataFrame:
+    return run_checks(claims, "silver", "claims", [mismatch_check()])
 
 
 def zone_distribution(df: DataFrame) -> DataFrame:
@@ -180,25 +193,23 @@ def edges(star: Star, entity: str) -> list[tuple[str, DataFrame, str]]:
     ]
 
 
-def fact_orphans(star: Star, entity: str) -> DataFrame:
-    """Fact rows without a dimension row, per key, in one pass over the fact."""
-    wanted = edges(star, entity)
-    counts = orphan_counts(getattr(star, f"fact_{entity}"), wanted)
-    checks = [Check(f"orphan_{key}", F.sum(key)) for key, _, _ in wanted]
-    return run_checks(counts, "referential_integrity", entity, checks)
+def orphan_checks(star: Star, entity: str) -> list[Check]:
+    return [
+        Check(f"orphan_{key}", F.count_if(is_orphan(key)), suite="referential_integrity")
+        for key, _, _ in edges(star, entity)
+    ]
 
 
-def policy_rules(star: Star, strict: bool = False) -> DataFrame:
+def policy_checks(strict: bool) -> list[Check]:
     """Premium sign and exposure range. Negative premiums are refunds: a failure only if strict."""
     term = F.col("exposure")
-    checks = [
+    return [
         Check("premium_not_negative", count_where(F.col("total_premium") < 0), _severity(strict)),
         Check("exposure_in_range", count_where((term < 0) | (term > 1))),
     ]
-    return run_checks(star.fact_policies, "business_rules", "policies", checks)
 
 
-def claim_rules(star: Star, strict: bool = False) -> DataFrame:
+def claim_checks(strict: bool) -> list[Check]:
     """Signs of paid amounts, and paid above coverage, which supplements can explain."""
     checks = [
         Check(f"paid_{part}_not_negative", count_where(F.col(f"amount_paid_{part}") < 0), _severity(strict))
@@ -207,20 +218,44 @@ def claim_rules(star: Star, strict: bool = False) -> DataFrame:
     for part in ("building", "contents"):
         paid, cover = F.col(f"amount_paid_{part}"), F.col(f"total_{part}_coverage")
         checks.append(Check(f"paid_within_{part}_coverage", count_where((paid > cover) & (cover > 0)), "WARNING"))
-    return run_checks(star.fact_claims, "business_rules", "claims", checks)
+    return checks
+
+
+def loss_date_check(years: tuple[int, int] = LOSS_YEARS) -> Check:
+    """Loss dates outside the expected years; the detail shows first and last date."""
+    span = F.concat_ws(" to ", F.min("full_date").cast("string"), F.max("full_date").cast("string"))
+    return Check("loss_date_in_range", count_where(~F.col("year").between(*years)), detail=span)
 
 
 def _severity(strict: bool) -> str:
     return "FAIL" if strict else "WARNING"
 
 
+def fact_orphans(star: Star, entity: str) -> DataFrame:
+    """Fact rows without a dimension row, per key."""
+    probed = probe_keys(getattr(star, f"fact_{entity}"), edges(star, entity))
+    return run_checks(probed, "referential_integrity", entity, orphan_checks(star, entity))
+
+
+def policy_rules(star: Star, strict: bool = False) -> DataFrame:
+    return run_checks(star.fact_policies, "business_rules", "policies", policy_checks(strict))
+
+
+def claim_rules(star: Star, strict: bool = False) -> DataFrame:
+    return run_checks(star.fact_claims, "business_rules", "claims", claim_checks(strict))
+
+
 def loss_date_range(star: Star, years: tuple[int, int] = LOSS_YEARS) -> DataFrame:
-    """Loss dates outside the expected years; the detail shows first and last date."""
-    days = star.dim_date.where(F.col("full_date").isNotNull()).select("date_key", "full_date", "year")
-    dated = star.fact_claims.select("date_key").join(days, "date_key")
-    span = F.concat_ws(" to ", F.min("full_date").cast("string"), F.max("full_date").cast("string"))
-    check = Check("loss_date_in_range", count_where(~F.col("year").between(*years)), detail=span)
-    return run_checks(dated, "business_rules", "claims", [check])
+    dated = star.fact_claims.join(star.dim_date, "date_key")
+    return run_checks(dated, "business_rules", "claims", [loss_date_check(years)])
+
+
+def fact_checks(star: Star, entity: str, strict: bool = False) -> DataFrame:
+    """Orphans, rules and loss dates of a fact together, from one pass over it."""
+    carry = {"date_key": ["full_date", "year"]} if entity == "claims" else {}
+    rules = [*claim_checks(strict), loss_date_check()] if entity == "claims" else policy_checks(strict)
+    probed = probe_keys(getattr(star, f"fact_{entity}"), edges(star, entity), carry)
+    return run_checks(probed, "business_rules", entity, [*orphan_checks(star, entity), *rules])
 
 
 def extreme_loss_ratios(star: Star, limit: float = 10.0, grain: str = "state") -> DataFrame:
@@ -244,11 +279,13 @@ def silver_suite(bronze: dict[str, DataFrame], silver: Silver) -> DataFrame:
         [
             layer_counts("silver", "claims", bronze["claims"], claims),
             layer_counts("silver", "policies", bronze["policies"], policies),
-            critical_nulls(claims, "claims", CRITICAL["claims"]),
-            critical_nulls(policies, "policies", CRITICAL["policies"]),
-            negative_amounts(claims),
-            exposure_range(policies),
-            year_mismatch(claims),
+            run_checks(
+                claims, "silver", "claims",
+                [*null_checks(CRITICAL["claims"]), *negative_checks(), mismatch_check()],
+            ),
+            run_checks(
+                policies, "silver", "policies", [*null_checks(CRITICAL["policies"]), exposure_check()]
+            ),
             zone_distribution_rows(claims, "silver", "claims"),
             zone_distribution_rows(policies, "silver", "policies"),
         ]
@@ -263,11 +300,8 @@ def gold_suite(bronze: dict[str, DataFrame], silver: Silver, star: Star, strict:
             layer_counts("row_counts", "policies", bronze["policies"], silver.policies_cleaned, star.fact_policies),
             dim_counts(star),
             dim_keys(star),
-            fact_orphans(star, "claims"),
-            fact_orphans(star, "policies"),
-            policy_rules(star, strict),
-            claim_rules(star, strict),
-            loss_date_range(star),
+            fact_checks(star, "claims", strict),
+            fact_checks(star, "policies", strict),
             loss_ratio_rule(star),
             zone_distribution_rows(star.fact_claims.join(zones, "flood_zone_key"), "business_rules", "claims"),
             zone_distribution_rows(star.fact_policies.join(zones, "flood_zone_key"), "business_rules", "policies"),

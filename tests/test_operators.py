@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from floodledger.operators.dedup import duplicate_keys, surplus_per_key
 from floodledger.operators.drill import drill_across
-from floodledger.operators.order_stats import exact_percentiles
+from floodledger.operators.order_stats import WIDE_STEPS, exact_percentiles
 from floodledger.operators.shares import count_by_with_total, null_counts, value_counts
 from floodledger.operators.topn import PAGE_WINDOW, cap_per_group, page, top_per_group
 
@@ -15,6 +15,8 @@ def test_percentiles_match_brute_force(spark, seed, size, spread):
     df = spark.createDataFrame([(float(v),) for v in values], "v double").withColumn("v", F.col("v").cast("decimal(18,2)"))
     ps = [0.0, 0.05, 0.5, 0.95, 1.0]
     got = {r.p: r.percentile for r in exact_percentiles(df, "v", ps).collect()}
+    wide = {r.p: r.percentile for r in exact_percentiles(df, "v", ps, steps=WIDE_STEPS).collect()}
+    assert wide == got
     for p in ps:
         assert got[p] == pytest.approx(np.quantile(values, p), abs=1e-6)
 
