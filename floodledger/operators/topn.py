@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from floodledger.schemas import POLICY_CAP_PER_STATE
+
 # Up to this rank one window is enough: Spark keeps at most that many rows of a group per map task
 # before the shuffle, so even a group present in every task stays small.
 PRUNED_RANK = 20
@@ -43,7 +45,7 @@ def top_per_group(
 
 
 def cap_per_group(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column], cap: int
+    df: DataFrame, by: Sequence[str], order: Sequence[Column], cap: int = POLICY_CAP_PER_STATE
 ) -> tuple[DataFrame, DataFrame]:
     """The capped rows, and per group the uncapped count with a flag for groups that were cut."""
     sizes = (

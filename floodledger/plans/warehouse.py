@@ -9,21 +9,16 @@ from pyspark.sql import functions as F
 
 from floodledger.plans import dims, facts, quality, silver
 from floodledger.plans.layers import Silver, Star, read_layer
-from floodledger.schemas import (
-    SOURCE_COLUMNS,
-    bronze_schema,
-    ref_flood_zone_info,
-    ref_state_info,
-    text_schema,
-)
+from floodledger.schemas import SOURCE_COLUMNS, ref_flood_zone_info, ref_state_info
 from floodledger.sources.landing import (
-    BAD,
-    FILE,
     MAX_BAD_ROWS,
+    REJECTED,
     bad_row_counts,
     check_bad_rows,
+    read_bronze,
     read_csv_marked,
-    to_bronze,
+    read_rejected,
+    to_landed_table,
 )
 from floodledger.sources.sinks import overwrite
 
@@ -40,8 +35,8 @@ class Result:
     checks: DataFrame | None = None
 
 
-# Partition column of the landed tables: 1 for malformed lines.
-REJECTED = "rejected"
+def bronze_path(out: str, entity: str) -> str:
+    return f"{out}/bronze/{entity}_raw"
 
 
 def land_csv(
@@ -52,10 +47,9 @@ def land_csv(
     Malformed lines go to a partition of their own; too many of them in a file fail the load.
     """
     marked = read_csv_marked(spark, source, SOURCE_COLUMNS[entity])
-    flagged = to_bronze(marked, entity).withColumn(REJECTED, F.col(BAD).isNotNull().cast("int"))
-    path = f"{out}/bronze/{entity}_raw"
-    total = overwrite(flagged, path, [REJECTED])
-    counts = bad_row_counts(read_rejected(spark, out, entity))
+    path = bronze_path(out, entity)
+    total = overwrite(to_landed_table(marked, entity), path, [REJECTED])
+    counts = bad_row_counts(read_rejected(spark, path, entity))
     check_bad_rows(counts, limit)
     bad = counts.agg(F.coalesce(F.sum("bad_rows"), F.lit(0))).first()[0]
     return {f"{entity}_raw": total - bad, f"{entity}_rejected": bad}
@@ -63,22 +57,8 @@ def land_csv(
 
 def land_table(df: DataFrame, out: str, entity: str) -> dict[str, int]:
     """A table that has the bronze columns already, as the bronze table."""
-    path = f"{out}/bronze/{entity}_raw"
-    return {f"{entity}_raw": overwrite(df.withColumn(REJECTED, F.lit(0)), path, [REJECTED])}
-
-
-def read_bronze(spark: SparkSession, out: str, entity: str) -> DataFrame:
-    """The well-formed rows; the malformed ones are pruned as a partition."""
-    schema = bronze_schema(entity).add(REJECTED, "integer")
-    rows = spark.read.schema(schema).parquet(f"{out}/bronze/{entity}_raw")
-    return rows.where(F.col(REJECTED) == 0).drop(REJECTED)
-
-
-def read_rejected(spark: SparkSession, out: str, entity: str) -> DataFrame:
-    """The malformed lines with their file, and what could be read of them."""
-    schema = text_schema([*SOURCE_COLUMNS[entity], BAD, FILE]).add(REJECTED, "integer")
-    rows = spark.read.schema(schema).parquet(f"{out}/bronze/{entity}_raw")
-    return rows.where(F.col(REJECTED) == 1).drop(REJECTED)
+    rows = overwrite(df.withColumn(REJECTED, F.lit(0)), bronze_path(out, entity), [REJECTED])
+    return {f"{entity}_raw": rows}
 
 
 def build_silver(
@@ -139,7 +119,7 @@ def run(
             result.rows |= land_csv(spark, source, out, entity)
         else:
             result.rows |= land_table(source, out, entity)
-        result.bronze[entity] = read_bronze(spark, out, entity)
+        result.bronze[entity] = read_bronze(spark, bronze_path(out, entity), entity)
     result.silver, rows = build_silver(result.bronze, out, states, zones)
     result.rows |= rows
     result.star, rows = build_gold(result.silver, out)

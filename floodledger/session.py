@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # recording the Python call site of every column expression slows plan building
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # larger generated methods are never compiled by the JVM and run slower than no fusion at all
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }

@@ -11,10 +11,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from floodledger.functions.cleaning import normalise_missing
-from floodledger.schemas import ENDPOINT, LINEAGE, STATE_CANDIDATES, struct, text_schema
+from floodledger.schemas import (
+    ENDPOINT,
+    LINEAGE,
+    SOURCE_COLUMNS,
+    STATE_CANDIDATES,
+    TARGET_STATES,
+    bronze_schema,
+    struct,
+    text_schema,
+)
 
 BAD = "_bad_row"
 FILE = "_file"
+REJECTED = "rejected"
 MAX_BAD_ROWS = 100
 
 
@@ -54,23 +64,22 @@ def read_csv_aligned(spark: SparkSession, path: str | Sequence[str]) -> DataFram
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def read_csv_marked(
-    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], header: bool = True
-) -> DataFrame:
-    """Like ``read_csv`` with two more columns: the text of a malformed line, and the file.
+def marked_schema(columns: Sequence[str]) -> T.StructType:
+    return text_schema([*columns, BAD])
 
-    Column pruning is off for this read: a pruned parser does not notice a wrong column count.
-    """
-    schema = T.StructType(text_schema(list(columns)).fields + [T.StructField(BAD, T.StringType())])
-    rows = (
-        spark.read.schema(schema)
-        .option("header", header)
-        .option("enforceSchema", False)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", BAD)
-        .option("columnPruning", False)
-        .csv(path)
-    )
+
+# Column pruning is off: a pruned parser does not notice a wrong column count.
+MARKED_OPTIONS = {
+    "enforceSchema": False,
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": BAD,
+    "columnPruning": False,
+}
+
+
+def mark_bad_rows(rows: DataFrame) -> DataFrame:
+    """Put the malformed text and the file beside the source columns of a read with the options above."""
+    columns = [c for c in rows.columns if c != BAD]
     # Spark refuses a query on text files that needs nothing but the malformed text. The second
     # part is never filled; it makes every query on the mark look at a parsed column as well.
     first = F.col(columns[0])
@@ -78,6 +87,14 @@ def read_csv_marked(
     return rows.select(*columns, mark.alias(BAD), F.col("_metadata.file_path").alias(FILE))
 
 
+def read_csv_marked(
+    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], header: bool = True
+) -> DataFrame:
+    """Like ``read_csv`` with two more columns: the text of a malformed line, and the file."""
+    reader = spark.read.schema(marked_schema(columns)).options(**MARKED_OPTIONS)
+    return mark_bad_rows(reader.option("header", header).csv(path))
+
+
 def good_rows(marked: DataFrame) -> DataFrame:
     return marked.where(F.col(BAD).isNull()).drop(BAD, FILE)
 
@@ -125,7 +142,10 @@ def read_envelope(
 
 
 def select_source(
-    df: DataFrame, states: Iterable[str], columns: Sequence[str], state_column: str
+    df: DataFrame,
+    columns: Sequence[str],
+    state_column: str,
+    states: Iterable[str] = TARGET_STATES,
 ) -> DataFrame:
     """The wanted states and columns; both reach a columnar scan."""
     return df.where(F.col(state_column).isin(list(states))).select(*columns)
@@ -160,6 +180,25 @@ def to_bronze(
     return with_lineage(normalise_missing(df), ENDPOINT[entity], batch_id, ingested)
 
 
+def to_landed_table(marked: DataFrame, entity: str, batch_id: int = 1) -> DataFrame:
+    """Bronze columns plus the partition column ``rejected``: 1 for malformed lines."""
+    rejected = F.col(BAD).isNotNull().cast("int")
+    return to_bronze(marked, entity, batch_id).withColumn(REJECTED, rejected)
+
+
+def read_bronze(spark: SparkSession, path: str, entity: str) -> DataFrame:
+    """The well-formed rows of a landed table; the malformed ones are pruned as a partition."""
+    rows = spark.read.schema(bronze_schema(entity).add(REJECTED, T.IntegerType())).parquet(path)
+    return rows.where(F.col(REJECTED) == 0).drop(REJECTED)
+
+
+def read_rejected(spark: SparkSession, path: str, entity: str) -> DataFrame:
+    """The malformed lines of a landed table with their file, and what could be read of them."""
+    schema = text_schema([*SOURCE_COLUMNS[entity], BAD, FILE]).add(REJECTED, T.IntegerType())
+    rows = spark.read.schema(schema).parquet(path)
+    return rows.where(F.col(REJECTED) == 1).drop(REJECTED)
+
+
 def not_loaded(incoming: DataFrame, loaded: DataFrame, key: str = "source_state") -> DataFrame:
     """Incoming rows whose state has no rows in the loaded table yet."""
     return incoming.join(loaded.select(key).distinct(), key, "left_anti")

@@ -5,25 +5,26 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from floodledger.operators.dedup import latest_per_key
-from floodledger.schemas import SOURCE_COLUMNS, text_schema
-from floodledger.sources.landing import to_bronze
+from floodledger.schemas import SOURCE_COLUMNS
+from floodledger.sources.landing import (
+    MARKED_OPTIONS,
+    REJECTED,
+    mark_bad_rows,
+    marked_schema,
+    to_landed_table,
+)
 
 
 def stream_csv(
     spark: SparkSession, path: str, columns: Sequence[str], files_per_batch: int = 1000
 ) -> DataFrame:
-    """New CSV files of a folder as a stream of strings."""
-    return (
-        spark.readStream.schema(text_schema(list(columns)))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(path)
-    )
+    """New CSV files of a folder as a stream of strings, malformed lines marked."""
+    reader = spark.readStream.schema(marked_schema(columns)).options(**MARKED_OPTIONS)
+    stream = reader.option("header", True).option("maxFilesPerTrigger", files_per_batch).csv(path)
+    return mark_bad_rows(stream)
 
 
 def load_new_files(
@@ -37,12 +38,14 @@ def load_new_files(
     """Append every file not loaded before to the bronze table, then stop.
 
     The checkpoint remembers the files and the sink commits whole batches, so a run that died
-    half-way neither repeats nor loses rows when it is started again.
+    half-way neither repeats nor loses rows when it is started again. Malformed lines go to a
+    partition of their own, as in a full load.
     """
     stream = stream_csv(spark, source, SOURCE_COLUMNS[entity], files_per_batch)
     query = (
-        to_bronze(stream, entity)
+        to_landed_table(stream, entity)
         .writeStream.format("parquet")
+        .partitionBy(REJECTED)
         .option("path", table)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

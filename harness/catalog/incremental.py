@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from floodledger.schemas import CLAIM_COLUMNS, CLAIM_KEY, text_schema
+from floodledger.sources.landing import read_bronze
 from floodledger.streaming.incremental import compact, load_new_files, read_current, upsert_new_rows
 from harness import bindings
 from harness.catalog.reading import PER_STATE, per_state
@@ -35,7 +36,7 @@ def t01(ws):
         _add_files(ws, source, share)
         load_new_files(ws.spark, source, table, checkpoint, "claims")
     load_new_files(ws.spark, source, table, checkpoint, "claims")
-    return per_state(ws.spark.read.parquet(table))
+    return per_state(read_bronze(ws.spark, table, "claims"))
 
 
 _KEY = ", ".join(CLAIM_KEY)

@@ -287,7 +287,7 @@ def s15(ws):
     "SELECT state, dateOfLoss AS loss_date, count(*) AS n FROM raw_claims WHERE state IN ('ASIA', 'EUROPE') GROUP BY 1, 2",
 )
 def s16(ws):
-    rows = landing.select_source(ws.bronze("claims"), ["ASIA", "EUROPE"], ["state", "dateOfLoss"], "state")
+    rows = landing.select_source(ws.bronze("claims"), ["state", "dateOfLoss"], "state", ["ASIA", "EUROPE"])
     return rows.groupBy("state", F.col("dateOfLoss").alias("loss_date")).agg(F.count(F.lit(1)).alias("n"))
 
 

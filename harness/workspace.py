@@ -23,21 +23,17 @@ class Workspace:
         self.spark = spark
         self.sf_dir = sf_dir
         self.path = work_folder(spark)
+        self._bronze: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return bindings.table(self.spark, self.sf_dir, name)
 
     def bronze(self, entity: str) -> DataFrame:
-        return self._bronze[entity]
-
-    @cached_property
-    def _bronze(self) -> dict[str, DataFrame]:
-        tables = {}
-        for entity in ("claims", "policies"):
+        if entity not in self._bronze:
             path = f"{self.path}/bronze/{entity}_raw"
             overwrite(bindings.bronze(self.spark, self.sf_dir, entity), path)
-            tables[entity] = self.spark.read.schema(bronze_schema(entity)).parquet(path)
-        return tables
+            self._bronze[entity] = self.spark.read.schema(bronze_schema(entity)).parquet(path)
+        return self._bronze[entity]
 
     @cached_property
     def states(self) -> DataFrame:
@@ -45,7 +41,8 @@ class Workspace:
 
     @cached_property
     def silver(self) -> Silver:
-        return build_silver(self._bronze, self.path, self.states)[0]
+        bronze = {entity: self.bronze(entity) for entity in ("claims", "policies")}
+        return build_silver(bronze, self.path, self.states)[0]
 
     @cached_property
     def star(self) -> Star:

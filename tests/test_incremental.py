@@ -2,6 +2,7 @@ from conftest import CLAIM
 from test_landing import text, write
 
 from floodledger.schemas import CLAIM_COLUMNS
+from floodledger.sources.landing import BAD, read_bronze, read_rejected
 from floodledger.streaming.incremental import compact, load_new_files, read_current, upsert_new_rows
 
 
@@ -10,14 +11,15 @@ def test_each_file_is_loaded_once(spark, tmp_path):
 
     def load():
         load_new_files(spark, source, table, checkpoint, "claims")
-        return sorted(r.state for r in spark.read.parquet(table).collect())
+        return sorted(r.state for r in read_bronze(spark, table, "claims").collect())
 
     write(tmp_path / "in", "TX.csv", [text(CLAIM, CLAIM_COLUMNS)])
     assert load() == ["TX"]
     assert load() == ["TX"]
-    write(tmp_path / "in", "FL.csv", [text(CLAIM | {"state": "FL"}, CLAIM_COLUMNS)])
+    write(tmp_path / "in", "FL.csv", [text(CLAIM | {"state": "FL"}, CLAIM_COLUMNS), "bad,line"])
     assert load() == ["FL", "TX"]
-    row = spark.read.parquet(table).first()
+    assert [r[BAD] for r in read_rejected(spark, table, "claims").collect()] == ["bad,line"]
+    row = read_bronze(spark, table, "claims").first()
     assert row.source_state in ("FL", "TX") and row.ingestion_timestamp is not None
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from floodledger import run
 from floodledger.plans.profile import profile_entity
-from floodledger.plans.warehouse import land_csv, read_bronze, read_rejected
+from floodledger.plans.warehouse import bronze_path, land_csv
 from floodledger.schemas import CLAIM_COLUMNS, ENDPOINT, POLICY_COLUMNS
 from floodledger.sources import landing, sinks
 
@@ -61,12 +61,12 @@ def test_landing_writes_good_and_bad_rows_in_one_pass(spark, tmp_path):
     write(tmp_path / "in", "a.csv", [good, "bad", good])
     out = str(tmp_path / "out")
     assert land_csv(spark, str(tmp_path / "in"), out, "claims") == {"claims_raw": 2, "claims_rejected": 1}
-    row = read_bronze(spark, out, "claims").first()
+    row = landing.read_bronze(spark, bronze_path(out, "claims"), "claims").first()
     assert (row.countyCode, row.source_state, row.batch_id, row.source_api_endpoint) == (None, "TX", 1, ENDPOINT["claims"])
-    assert [r[landing.BAD] for r in read_rejected(spark, out, "claims").collect()] == ["bad"]
+    assert [r[landing.BAD] for r in landing.read_rejected(spark, bronze_path(out, "claims"), "claims").collect()] == ["bad"]
     write(tmp_path / "in", "a.csv", [good])
     assert land_csv(spark, str(tmp_path / "in"), out, "claims") == {"claims_raw": 1, "claims_rejected": 0}
-    assert read_rejected(spark, out, "claims").count() == 0
+    assert landing.read_rejected(spark, bronze_path(out, "claims"), "claims").count() == 0
     with pytest.raises(landing.TooManyBadRows):
         write(tmp_path / "in", "a.csv", ["bad", "bad"])
         land_csv(spark, str(tmp_path / "in"), out, "claims", limit=1)
