@@ -50,3 +50,63 @@ cls AS (SELECT list_sort(s) AS k, min(doc_id) AS rep FROM n WHERE n > 0 GROUP BY
 SELECT n.doc_id, n.n AS n_shingles, coalesce(top.component_id, n.doc_id) AS component_id, coalesce(cls.rep, n.doc_id) AS class_id
 FROM n LEFT JOIN cls ON n.n > 0 AND list_sort(n.s) = cls.k LEFT JOIN top ON top.rep = cls.rep
 """
+
+
+@query
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of all documents."""
+    from floodledger.llm.quality import scored
+
+    return scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents."""
+    from floodledger.llm.language import identified
+
+    return identified(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of a document and a benchmark item of whose shingles it holds 0.8 or more."""
+    from floodledger.llm.decontaminate import contained_items
+
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 0.8, 5)
+
+
+ORACLES["op5_benchmark_decontamination"] = rf"""
+WITH w AS (SELECT doc_id, {WORDS} AS w FROM documents WHERE doc_id IS NOT NULL),
+i AS (SELECT item_id, {WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+g AS (
+    SELECT item_id, least(len(w), 5) AS k, list_distinct(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM i WHERE len(w) > 0
+),
+wanted AS (SELECT item_id, k, len(s) AS n, unnest(s) AS x FROM g),
+widths AS (SELECT DISTINCT k FROM wanted),
+held AS (
+    SELECT DISTINCT doc_id, k, x FROM (
+        SELECT doc_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS x FROM w, widths
+    )
+)
+SELECT doc_id, item_id, n AS n_shingles, count(*) AS n_shared, count(*) / n::DOUBLE AS containment
+FROM held JOIN wanted USING (k, x) GROUP BY doc_id, item_id, n HAVING count(*) >= 0.8 * n
+"""
+
+
+@query
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every document in a mixture that weighs sources by the roots of their sizes."""
+    from floodledger.llm.mixing import mix_sources
+
+    mixed = mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "position", "slot", "release", "deadline")
+
+
+@query
+def op10_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids in rows of 2048."""
+    from floodledger.llm.packing import packed
+
+    return packed(table(spark, sf_dir, "documents"), 2048)

@@ -28,3 +28,16 @@ def only(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def kept(df: DataFrame, gone: DataFrame, again: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is not in ``gone``, one for each key in ``again``.
+
+    Both lists hold distinct keys and are written. A row without key stays.
+    """
+    lists = [gone, again]
+    lists = [F.broadcast(x) if x.count() <= SENT_IDS else x for x in lists]
+    rest = df.join(lists[0], key, "left_anti")
+    once = rest.join(lists[1], key, "left_anti")
+    twice = rest.join(lists[1], key, "left_semi").dropDuplicates([key])
+    return once.unionByName(twice) if again.head(1) else rest
