@@ -31,7 +31,7 @@ from floodledger.llm.arrays import (
     U64, by_key, mix, runs, shingle_sets, slices, text_buffer,
 )
 from floodledger.llm.components import components
-from floodledger.llm.store import SENT_IDS, cut, partitions
+from floodledger.llm.store import cut, partitions, sent
 
 #: A signature of more different sets than this is replaced by finer ones.
 HOT = 24
@@ -468,7 +468,7 @@ def similar_documents(docs: DataFrame, percent: int = 80, width: int = 5) -> Dat
     lost = _deficient(found, reps, percent, False)
     ties = None
     if lost.head(1):
-        again = docs.join(_sent(lost.select("doc_id", "mask")), "doc_id").select("text", "mask")
+        again = docs.join(sent(lost.select("doc_id", "mask")), "doc_id").select("text", "mask")
         fine = _matches(again, width, percent, True)
         pairs = pairs.union(fine.where("kind = 0").select("a", "b"))
         crowd = _deficient(fine, reps, percent, True).select("node").distinct()
@@ -487,7 +487,7 @@ def similar_documents(docs: DataFrame, percent: int = 80, width: int = 5) -> Dat
     family = family.select("node", F.col("root").alias("family")).union(family.select(F.col("root").alias("node"), F.col("root").alias("family")).distinct())
     members = cut(family.join(reps.select("node", "n", "doc_id"), "node"), "members")
     units = cut(_units(members, percent), "units")
-    texts = docs.join(_sent(members.select("doc_id")), "doc_id", "left_semi").select("text")
+    texts = docs.join(sent(members.select("doc_id")), "doc_id", "left_semi").select("text")
     sets = texts.mapInArrow(set_rows(width), "node long, values binary").dropDuplicates(["node"])
     work = units.join(sets, "node").repartition(partitions(docs), "unit").sortWithinPartitions("unit")
     links = components(work.mapInArrow(link_rows(percent), "u long, v long"))
@@ -500,7 +500,3 @@ def similar_documents(docs: DataFrame, percent: int = 80, width: int = 5) -> Dat
     empty = classes.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"))
     return out.union(empty)
 
-
-def _sent(ids: DataFrame) -> DataFrame:
-    """Sent to every executor if few enough."""
-    return F.broadcast(ids) if ids.count() <= SENT_IDS else ids

@@ -110,3 +110,37 @@ def op10_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from floodledger.llm.packing import packed
 
     return packed(table(spark, sf_dir, "documents"), 2048)
+
+
+@query
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 50-byte strings of earlier ones."""
+    from floodledger.llm.suffix_dedup import without_repeats
+
+    return without_repeats(table(spark, sf_dir, "documents"), keep_bytes=False)
+
+
+ORACLES["op7_suffix_array_dedup"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents WHERE doc_id IS NOT NULL),
+n AS (SELECT doc_id, h, len(h) // 2 AS n FROM d),
+s AS (SELECT doc_id, unnest(range(n - 49)) AS i, h FROM n WHERE n >= 50),
+w AS (SELECT doc_id, i, hash(substr(h, 2 * i + 1, 100)) AS a, md5_number_lower(substr(h, 2 * i + 1, 100)) AS b FROM s),
+m AS (SELECT a, b, min(doc_id) AS least FROM w GROUP BY a, b),
+hit AS (SELECT w.doc_id, w.i FROM w JOIN m USING (a, b) WHERE m.least < w.doc_id),
+gap AS (SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 50, true) AS fresh FROM hit),
+run AS (SELECT doc_id, i, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM gap),
+span AS (SELECT doc_id, r, min(i) AS a, max(i) + 50 AS b FROM run GROUP BY doc_id, r),
+part AS (
+    SELECT n.doc_id, span.r, substr(n.h, 2 * coalesce(lag(span.b) OVER (PARTITION BY n.doc_id ORDER BY span.a), 0) + 1,
+        2 * (span.a - coalesce(lag(span.b) OVER (PARTITION BY n.doc_id ORDER BY span.a), 0))) AS piece, span.a, span.b, n.h, n.n
+    FROM n JOIN span USING (doc_id)
+),
+cut AS (
+    SELECT doc_id, any_value(n) AS n, sum(b - a)::BIGINT AS gone, count(*) AS spans,
+        string_agg(piece, '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS rest
+    FROM part GROUP BY doc_id
+)
+SELECT n.doc_id, n.n AS n_bytes, coalesce(cut.gone, 0) AS n_removed, coalesce(cut.spans, 0) AS n_spans,
+    sha256(unhex(coalesce(cut.rest, n.h))) AS kept_sha256
+FROM n LEFT JOIN cut USING (doc_id)
+"""

@@ -20,10 +20,9 @@ def cut(df: DataFrame, name: str = "part") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def only(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """The rows of ``df`` whose ``key`` is in ``ids`` (distinct, already written)."""
-    few = ids.count() <= SENT_IDS
-    return df.join(F.broadcast(ids) if few else ids, key, "left_semi")
+def sent(ids: DataFrame) -> DataFrame:
+    """A written list of ids, for a join: sent to every executor if few enough."""
+    return F.broadcast(ids) if ids.count() <= SENT_IDS else ids
 
 
 def partitions(df: DataFrame) -> int:
@@ -35,8 +34,7 @@ def kept(df: DataFrame, gone: DataFrame, again: DataFrame, key: str) -> DataFram
 
     Both lists hold distinct keys and are written. A row without key stays.
     """
-    lists = [gone, again]
-    lists = [F.broadcast(x) if x.count() <= SENT_IDS else x for x in lists]
+    lists = [sent(gone), sent(again)]
     rest = df.join(lists[0], key, "left_anti")
     once = rest.join(lists[1], key, "left_anti")
     twice = rest.join(lists[1], key, "left_semi").dropDuplicates([key])
