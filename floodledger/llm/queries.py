@@ -144,3 +144,19 @@ SELECT n.doc_id, n.n AS n_bytes, coalesce(cut.gone, 0) AS n_removed, coalesce(cu
     sha256(unhex(coalesce(cut.rest, n.h))) AS kept_sha256
 FROM n LEFT JOIN cut USING (doc_id)
 """
+
+
+@query
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors of every vector whose number is divisible by 50."""
+    from floodledger.llm.vectors import neighbours
+
+    return neighbours(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", 5)
+
+
+@query
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    from floodledger.llm.main_text import extracted
+
+    return extracted(table(spark, sf_dir, "pages"))
