@@ -160,3 +160,11 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     from floodledger.llm.main_text import extracted
 
     return extracted(table(spark, sf_dir, "pages"))
+
+
+@query
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    from floodledger.llm.personal import personal_data
+
+    return personal_data(table(spark, sf_dir, "documents"))
