@@ -34,6 +34,8 @@ GRAM = 24
 CHUNK = 1_500_000
 #: Suffixes that a task sorts into one run.
 RUN = 60_000
+#: Buckets for each shuffle partition: a task holds one bucket at a time.
+BUCKETS = 4
 KEY = U64((1 << 40) - 1)
 NONE = np.zeros(0, np.int64)
 
@@ -515,7 +517,7 @@ def without_repeats(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     at the same place of the other, so doc_ids should be unique. ``kept`` may end within a character.
     """
     n = partitions(docs)
-    parts = prime_from(n)
+    parts, buckets = prime_from(n), BUCKETS * n
     docs = docs.where("doc_id IS NOT NULL").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     named = cut(docs.select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha"), F.octet_length("text").cast("long").alias("n_bytes")), "texts")
     least = named.groupBy("sha").agg(F.min("doc_id").alias("least"))
@@ -523,11 +525,11 @@ def without_repeats(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     gone = cut(named.where(f"copy OR n_bytes < {LENGTH}").select("doc_id").distinct(), "gone")
     first = docs.join(sent(gone), "doc_id", "left_anti")
 
-    run, schema = anchor_rows(n, parts)
+    run, schema = anchor_rows(buckets, parts)
     lists = "part int, docs binary, items binary"
     repeated = first.mapInArrow(run, schema).repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(repeated_rows(parts), lists)
     repeated = cut(repeated, "anchors")
-    fn, schema = record_rows(n, parts)
+    fn, schema = record_rows(buckets, parts)
     records = with_lists(named_in(first, repeated), repeated, parts, fn, schema)
     spans = cut(records.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(span_rows(parts), lists), "spans")
     columns = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
