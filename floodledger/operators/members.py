@@ -28,10 +28,12 @@ def number_members(members: DataFrame, key: str, order: Sequence[str]) -> DataFr
 
 
 def without_unknown(members: DataFrame, unknown: dict[str, object]) -> DataFrame:
-    """Leave out a member that spells the Unknown row, which would give facts two matches."""
-    same = reduce(
-        lambda a, b: a & b, (F.col(c).eqNullSafe(F.lit(v)) for c, v in unknown.items())
-    )
+    """Leave out a member that spells the Unknown row, in any case; facts would have two matches."""
+
+    def spells(c: str, v: object):
+        return F.upper(c).eqNullSafe(F.lit(v.upper())) if isinstance(v, str) else F.col(c).eqNullSafe(F.lit(v))
+
+    same = reduce(lambda a, b: a & b, (spells(c, v) for c, v in unknown.items()))
     return members.where(~same)
 
 

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 # Low bits dropped in each step. Values are whole numbers; the last step looks at the values.
-STEPS = (21, 0)
-WIDE_STEPS = (42, 21, 0)
+STEPS = (42, 21, 0)
 
 
 def _with_start(buckets: DataFrame, group: Sequence[str], base: Column) -> DataFrame:
@@ -35,13 +35,11 @@ def exact_percentiles(
     by: Sequence[str] = (),
     scale: int = 2,
     few_groups: bool = False,
-    steps: Sequence[int] = STEPS,
 ) -> DataFrame:
     """Continuous percentiles (linear interpolation) per group: columns ``by``, ``p``, ``percentile``.
 
-    ``value`` must be a number with at most ``scale`` decimals. With the default steps no task holds
-    more than ``2**22`` rows of a group as long as the values span less than ``2**42`` units (with
-    cents: 44 billion); ``WIDE_STEPS`` keeps that bound for all 64-bit values. ``few_groups`` says
+    ``value`` must be a number with at most ``scale`` decimals that fits 64 bits without its point. No
+    task holds more than ``2**22`` rows of a group. ``few_groups`` says
     that the number of groups is bounded by construction, which allows the chosen buckets (two rows
     per group and probability) to be broadcast; without groups that is always so.
     """
@@ -59,7 +57,7 @@ def exact_percentiles(
     small = F.broadcast if few_groups or not by else (lambda d: d)
 
     # First step: the buckets of the two neighbouring ranks of every probability.
-    leading = counts.groupBy(*group, F.shiftright("_v", steps[0]).alias("_bucket")).agg(
+    leading = counts.groupBy(*group, F.shiftright("_v", STEPS[0]).alias("_bucket")).agg(
         F.sum("_n").alias("_n")
     )
     ranked = _with_start(leading, group, F.lit(0)).withColumn(
@@ -85,7 +83,7 @@ def exact_percentiles(
     # gap, so one running count per probability covers both of them.
     target_key = [*group, "_i"]
     carried = ["_part", "_low", "_high"]
-    for outer, inner in zip(steps, steps[1:]):
+    for outer, inner in zip(STEPS, STEPS[1:]):
         inside = counts.withColumn("_parent", F.shiftright("_v", outer)).join(
             small(chosen.withColumnRenamed("_bucket", "_parent")), [*group, "_parent"]
         )
@@ -114,3 +112,27 @@ def exact_percentiles(
     return ends.select(
         *by, p_of[F.col("_i")].alias("p"), (between / F.lit(float(10**scale))).alias("percentile")
     )
+
+
+def middle_values(numbers: DataFrame, by: str, value: str) -> DataFrame:
+    """The exact median of doubles of any size per group: ``by``, ``median``.
+
+    Distinct values are counted, dealt into ranges of group and value, and the ranges counted in
+    turn (a row for each range and group); then the one or two middle ranks are looked up. Whole
+    numbers are never formed, so neither scale nor span matters. NULL and NaN are no values.
+    """
+    counts = numbers.where(F.col(value).isNotNull() & ~F.isnan(value)).groupBy(by, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    n = int(numbers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # kept: another evaluation could draw other ranges
+    dealt = counts.repartitionByRange(n, by, "_v").withColumn("_part", F.spark_partition_id()).persist(StorageLevel.DISK_ONLY)
+    ranges = dealt.groupBy("_part", by).agg(F.sum("_n").alias("_size"))
+    whole = Window.partitionBy(by)
+    ranges = ranges.withColumns({
+        "_start": F.sum("_size").over(whole.orderBy("_part")) - F.col("_size"), "_total": F.sum("_size").over(whole)})
+    inside = dealt.join(ranges, ["_part", by])
+    end = F.col("_start") + F.sum("_n").over(Window.partitionBy("_part", by).orderBy("_v"))
+    placed = inside.withColumn("_end", end).withColumn("_first", F.col("_end") - F.col("_n"))
+    low, high = F.expr("(_total - 1) div 2"), F.expr("_total div 2")
+    at = lambda rank: F.max(F.when((F.col("_first") <= rank) & (rank < F.col("_end")), F.col("_v")))
+    ends = placed.groupBy(by).agg(at(low).alias("_below"), at(high).alias("_above"))
+    return ends.select(by, (F.col("_below") + (F.col("_above") / 2 - F.col("_below") / 2)).alias("median"))

@@ -4,19 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from floodledger.schemas import POLICY_CAP_PER_STATE
-
-# Up to this rank one window is enough: Spark keeps at most that many rows of a group per map task
-# before the shuffle, so even a group present in every task stays small.
-PRUNED_RANK = 20
 # Fan-in of the salted rounds below.
 FAN_IN = 32
 
 
+def _rest(df: DataFrame) -> list[Column]:
+    """All columns that can be sorted, to break ties."""
+    return [F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+
+
 def _leading(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
     return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
@@ -25,16 +27,15 @@ def _leading(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int)
 def top_per_group(
     df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int, rounds: int = 2
 ) -> DataFrame:
-    """The first ``n`` rows of every group, exactly.
+    """The first ``n`` rows of every group, exactly; ties in ``order`` go by the other columns.
 
-    A large ``n`` is found in rounds: each group is split into ``FAN_IN ** rounds`` hashed shares,
-    each share keeps its own first ``n``, and shares are merged ``FAN_IN`` at a time. A task of a
-    later round sees at most ``FAN_IN * n`` rows of a group, so no task receives a whole hot group.
-    The input partition is part of the hash: it spreads exact copies, and a retried task assigns
-    the same share again. ``order`` should end in a unique column, otherwise ties are cut anywhere.
+    The rows are found in rounds: each group is split into ``FAN_IN ** rounds`` hashed shares, each
+    share keeps its own first ``n``, and shares are merged ``FAN_IN`` at a time. A task of a later
+    round sees at most ``FAN_IN * n`` rows of a group, so no task receives a whole hot group. The
+    input partition is part of the hash: it spreads exact copies, and a retried task assigns the
+    same share again.
     """
-    if n <= PRUNED_RANK:
-        return _leading(df, by, order, n)
+    order = [*order, *_rest(df)]
     shares = FAN_IN**rounds
     salt = F.xxhash64(*df.columns, F.spark_partition_id())
     salted = df.withColumn("_share", F.pmod(salt, F.lit(shares)))
@@ -44,32 +45,40 @@ def top_per_group(
     return _leading(salted.drop("_share"), by, order, n)
 
 
-def cap_per_group(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column], cap: int = POLICY_CAP_PER_STATE
-) -> tuple[DataFrame, DataFrame]:
-    """The capped rows, and per group the uncapped count with a flag for groups that were cut."""
-    sizes = (
-        df.groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("rows_found"))
-        .withColumn("truncated", F.when(F.col("rows_found") > cap, 1).otherwise(0))
+def completeness(found: DataFrame, landed: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows found at the source and rows landed per group, with a flag where they differ."""
+    sides = found.select(*by, F.lit(1).alias("_found")).unionByName(landed.select(*by, F.lit(0).alias("_found")))
+    counted = sides.groupBy(*by).agg(
+        F.sum("_found").alias("rows_found"), F.count_if(F.col("_found") == 0).alias("rows_landed")
     )
-    return top_per_group(df, by, order, cap), sizes
-
-
-# Largest result window that is sorted in one place; deeper pages are reached by key.
-PAGE_WINDOW = 1_000_000
+    return counted.withColumn("truncated", (F.col("rows_found") != F.col("rows_landed")).cast("int"))
 
 
 def page(
     df: DataFrame, key: str, top: int, skip: int = 0, after: object | None = None
 ) -> DataFrame:
-    """``top`` rows in key order, after ``skip`` rows or after a key value.
+    """``top`` rows in key order, after ``skip`` rows or after a key value; ties go by the other columns.
 
-    ``after`` is a plain filter and works at any depth; ``skip`` has to pass over the skipped rows
-    and is therefore held within a window.
+    A skip is exact at any depth and sorts nothing in one place: the rows are dealt into ranges of
+    the key, the ranges are counted, and only those that the page lies in are numbered.
     """
-    if skip + top > PAGE_WINDOW:
-        raise ValueError("page too deep for skip: continue from the last key with after=")
     rows = df if after is None else df.where(F.col(key) > after)
-    rows = rows.orderBy(key)
-    return (rows.offset(skip) if skip else rows).limit(top)
+    order = [F.col(key), *_rest(df)]
+    if not skip:
+        return rows.orderBy(*order).limit(top)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # kept: another evaluation could draw other ranges
+    dealt = rows.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()).persist(StorageLevel.DISK_ONLY)
+    counts = dict(dealt.groupBy("_part").count().collect())
+    start, wanted = 0, []
+    for part in sorted(counts):
+        if start < skip + top and start + counts[part] > skip:
+            wanted.append((part, start))
+        start += counts[part]
+    if not wanted:
+        return rows.limit(0)
+    before = F.element_at(F.create_map(*[F.lit(x) for pair in wanted for x in pair]), F.col("_part"))
+    place = before + F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    numbered = dealt.where(F.col("_part").isin([p for p, _ in wanted])).withColumn("_place", place)
+    page = numbered.where((F.col("_place") > skip) & (F.col("_place") <= skip + top))
+    return page.orderBy("_place").drop("_place", "_part")

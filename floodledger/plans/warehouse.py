@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,8 @@ from floodledger.plans import dims, facts, quality, silver
 from floodledger.plans.layers import Silver, Star, read_layer
 from floodledger.schemas import SOURCE_COLUMNS, ref_flood_zone_info, ref_state_info
 from floodledger.sources.landing import (
+    FILE,
+    LOAD,
     MAX_BAD_ROWS,
     REJECTED,
     bad_row_counts,
@@ -20,7 +23,10 @@ from floodledger.sources.landing import (
     read_rejected,
     to_landed_table,
 )
-from floodledger.sources.sinks import overwrite
+from floodledger.sources.sinks import overwrite, switch
+
+#: Name of the load that replaces a table.
+FULL = "full"
 
 
 @dataclass
@@ -44,20 +50,26 @@ def land_csv(
 ) -> dict[str, int]:
     """CSV files of one entity to its bronze table, in one pass over the text.
 
-    Malformed lines go to a partition of their own; too many of them in a file fail the load.
+    Malformed lines go to a partition of their own; too many of them in a file fail the load. The
+    table is written beside the old one and takes its place after the check, so a failed load
+    changes nothing. A full load replaces all earlier loads, those of streams included.
     """
     marked = read_csv_marked(spark, source, SOURCE_COLUMNS[entity])
     path = bronze_path(out, entity)
-    total = overwrite(to_landed_table(marked, entity), path, [REJECTED])
-    counts = bad_row_counts(read_rejected(spark, path, entity))
-    check_bad_rows(counts, limit)
-    bad = counts.agg(F.coalesce(F.sum("bad_rows"), F.lit(0))).first()[0]
+    staged = f"{path}_staged_{uuid.uuid4().hex}"
+    total = overwrite(to_landed_table(marked, entity).withColumn(LOAD, F.lit(FULL)), staged, [LOAD, REJECTED])
+    per_file = bad_row_counts(read_rejected(spark, staged, entity)).select(FILE, "bad_rows").persist()
+    check_bad_rows(per_file, limit)
+    bad = per_file.agg(F.coalesce(F.sum("bad_rows"), F.lit(0))).first()[0]
+    per_file.unpersist()
+    switch(spark, staged, path)
     return {f"{entity}_raw": total - bad, f"{entity}_rejected": bad}
 
 
 def land_table(df: DataFrame, out: str, entity: str) -> dict[str, int]:
     """A table that has the bronze columns already, as the bronze table."""
-    rows = overwrite(df.withColumn(REJECTED, F.lit(0)), bronze_path(out, entity), [REJECTED])
+    landed = df.withColumns({LOAD: F.lit(FULL), REJECTED: F.lit(0)})
+    rows = overwrite(landed, bronze_path(out, entity), [LOAD, REJECTED])
     return {f"{entity}_raw": rows}
 
 

@@ -63,9 +63,8 @@ ENDPOINT = {
 # Columns that may hold the state, in the order they are tried.
 STATE_CANDIDATES = ["state", "propertyState"]
 
-# States in scope, and the row cap of the policy download per state.
+# States in scope.
 TARGET_STATES = ["FL", "LA", "TX", "NJ", "NY"]
-POLICY_CAP_PER_STATE = 200_000
 
 # Natural keys of the deduplication.
 CLAIM_KEY = ["state", "countyCode", "dateOfLoss", "amountPaidOnBuildingClaim", "amountPaidOnContentsClaim"]

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -29,21 +28,11 @@ def builder(app: str = "floodledger") -> SparkSession.Builder:
 
 
 def work_folder(spark: SparkSession, *parts: str) -> str:
-    """A new folder below the shared checkpoint folder of the session.
+    """A new folder below the shared checkpoint folder of the session, else below the warehouse.
 
-    Without ``spark.checkpoint.dir`` a local folder is made, which only a local master may use:
-    on a cluster the executors would each write to a disk nobody else can read.
+    Both are folders that the driver and all executors reach; a machine's own folder is never used.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="floodledger-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return "/".join([root.rstrip("/"), "floodledger", uuid.uuid4().hex, *parts])
-
-
-def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Write a table and read it back: cuts lineage, survives executor loss, and gives the
-    planner the real size of the table."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from floodledger.functions.cleaning import normalise_missing
+from floodledger.functions.cleaning import blank_to_null, normalise_missing
 from floodledger.schemas import (
     ENDPOINT,
     LINEAGE,
@@ -25,7 +25,13 @@ from floodledger.schemas import (
 BAD = "_bad_row"
 FILE = "_file"
 REJECTED = "rejected"
+#: Malformed rows of a file that a load puts up with, unless the caller says otherwise.
 MAX_BAD_ROWS = 100
+LOAD = "load"
+#: Distinct keys up to this number are sent to every task instead of shuffling the rows to them.
+SENT_KEYS = 10_000
+#: Quotes inside quoted values are doubled in the landed files; Spark's own default is a backslash.
+DIALECT = {"quote": '"', "escape": '"'}
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -35,6 +41,7 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], columns: Sequence[s
     """
     return (
         spark.read.schema(text_schema(list(columns)))
+        .options(**DIALECT)
         .option("header", True)
         .option("enforceSchema", False)
         .csv(path)
@@ -43,7 +50,7 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], columns: Sequence[s
 
 def read_csv_by_header(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """CSV files whose common header names the columns, every column a string."""
-    return spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    return spark.read.options(**DIALECT).option("header", True).option("enforceSchema", False).csv(path)
 
 
 def read_csv_aligned(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -69,7 +76,7 @@ def marked_schema(columns: Sequence[str]) -> T.StructType:
 
 
 # Column pruning is off: a pruned parser does not notice a wrong column count.
-MARKED_OPTIONS = {
+MARKED_OPTIONS = DIALECT | {
     "enforceSchema": False,
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": BAD,
@@ -181,24 +188,38 @@ def to_bronze(
 
 
 def to_landed_table(marked: DataFrame, entity: str, batch_id: int = 1) -> DataFrame:
-    """Bronze columns plus the partition column ``rejected``: 1 for malformed lines."""
-    rejected = F.col(BAD).isNotNull().cast("int")
-    return to_bronze(marked, entity, batch_id).withColumn(REJECTED, rejected)
+    """Bronze columns plus the partition column ``rejected``: 1 for malformed lines.
+
+    Only source columns are normalised: the text of a malformed line stays as it is, also where it
+    looks like a missing value.
+    """
+    sources = [c for c in marked.columns if c not in (BAD, FILE)]
+    clean = marked.withColumns({c: blank_to_null(F.col(c)) for c in sources})
+    landed = with_lineage(clean, ENDPOINT[entity], batch_id)
+    return landed.withColumn(REJECTED, F.col(BAD).isNotNull().cast("int"))
+
+
+def _stored(schema: T.StructType) -> T.StructType:
+    """With the partition columns of a landed table: which load, and whether malformed."""
+    return schema.add(LOAD, T.StringType()).add(REJECTED, T.IntegerType())
 
 
 def read_bronze(spark: SparkSession, path: str, entity: str) -> DataFrame:
     """The well-formed rows of a landed table; the malformed ones are pruned as a partition."""
-    rows = spark.read.schema(bronze_schema(entity).add(REJECTED, T.IntegerType())).parquet(path)
-    return rows.where(F.col(REJECTED) == 0).drop(REJECTED)
+    rows = spark.read.schema(_stored(bronze_schema(entity))).parquet(path)
+    return rows.where(F.col(REJECTED) == 0).drop(LOAD, REJECTED)
 
 
 def read_rejected(spark: SparkSession, path: str, entity: str) -> DataFrame:
     """The malformed lines of a landed table with their file, and what could be read of them."""
-    schema = text_schema([*SOURCE_COLUMNS[entity], BAD, FILE]).add(REJECTED, T.IntegerType())
+    schema = _stored(text_schema([*SOURCE_COLUMNS[entity], BAD, FILE]))
     rows = spark.read.schema(schema).parquet(path)
-    return rows.where(F.col(REJECTED) == 1).drop(REJECTED)
+    return rows.where(F.col(REJECTED) == 1).drop(LOAD, REJECTED)
 
 
 def not_loaded(incoming: DataFrame, loaded: DataFrame, key: str = "source_state") -> DataFrame:
     """Incoming rows whose state has no rows in the loaded table yet."""
-    return incoming.join(loaded.select(key).distinct(), key, "left_anti")
+    known = loaded.select(key).distinct()
+    # a list of states is short; its size is looked at all the same before it is sent
+    few = len(known.head(SENT_KEYS + 1)) <= SENT_KEYS
+    return incoming.join(F.broadcast(known) if few else known, key, "left_anti")

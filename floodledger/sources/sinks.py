@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from floodledger.operators.shares import count_by_with_total
@@ -38,6 +38,17 @@ def _write(
     return seen.get["rows_written"]
 
 
+def switch(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a finished folder in the place of another, which goes."""
+    jvm = spark.sparkContext._jvm
+    new, old = jvm.org.apache.hadoop.fs.Path(staged), jvm.org.apache.hadoop.fs.Path(path)
+    files = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(old.getParent())
+    files.delete(old, True)
+    if not files.rename(new, old):
+        raise OSError(f"{staged} could not be moved to {path}")
+
+
 def write_csv_by_state(df: DataFrame, path: str, state_column: str) -> None:
     """One CSV folder per state, with header.
 
@@ -49,6 +60,8 @@ def write_csv_by_state(df: DataFrame, path: str, state_column: str) -> None:
         .write.mode("overwrite")
         .partitionBy("_state")
         .option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)

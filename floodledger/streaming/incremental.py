@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from floodledger.operators.dedup import latest_per_key
 from floodledger.schemas import SOURCE_COLUMNS
 from floodledger.sources.landing import (
+    LOAD,
     MARKED_OPTIONS,
+    MAX_BAD_ROWS,
     REJECTED,
+    bad_row_counts,
+    check_bad_rows,
     mark_bad_rows,
     marked_schema,
     to_landed_table,
@@ -34,19 +40,29 @@ def load_new_files(
     checkpoint: str,
     entity: str,
     files_per_batch: int = 1000,
+    limit: int = MAX_BAD_ROWS,
 ) -> StreamingQuery:
-    """Append every file not loaded before to the bronze table, then stop.
+    """Add every file not loaded before to the bronze table, then stop.
 
-    The checkpoint remembers the files and the sink commits whole batches, so a run that died
-    half-way neither repeats nor loses rows when it is started again. Malformed lines go to a
-    partition of their own, as in a full load.
+    A batch is a load of its own beside the full load, named after the checkpoint and the batch: it
+    is replaced as a whole when it is written again, so a run that died half-way neither repeats
+    nor loses rows when it is started again. Malformed lines go to a partition of their own, and
+    too many of them in a file fail the batch before it is written, as in a full load.
     """
+    name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            check_bad_rows(bad_row_counts(batch), limit)
+            landed = to_landed_table(batch, entity)
+            landed.write.mode("overwrite").partitionBy(REJECTED).parquet(f"{table}/{LOAD}={name}-{batch_id}")
+        finally:
+            batch.unpersist()
+
     stream = stream_csv(spark, source, SOURCE_COLUMNS[entity], files_per_batch)
     query = (
-        to_landed_table(stream, entity)
-        .writeStream.format("parquet")
-        .partitionBy(REJECTED)
-        .option("path", table)
+        stream.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -98,7 +98,6 @@ def landed_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     rows = (
         table(spark, sf_dir, "lineitem")
-        .where(F.col("l_returnflag") == "R")
         .join(_places(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     )

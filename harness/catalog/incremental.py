@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from floodledger.schemas import CLAIM_COLUMNS, CLAIM_KEY, text_schema
-from floodledger.sources.landing import read_bronze
+from floodledger.sources.landing import DIALECT, read_bronze
 from floodledger.streaming.incremental import compact, load_new_files, read_current, upsert_new_rows
 from harness import bindings
 from harness.catalog.reading import PER_STATE, per_state
@@ -24,7 +24,7 @@ def _share(ws: Workspace, share: int):
 def _add_files(ws: Workspace, path: str, share: int) -> None:
     _share(ws, share).select(*CLAIM_COLUMNS).write.mode("append").option("header", True).option(
         "ignoreLeadingWhiteSpace", False
-    ).option("ignoreTrailingWhiteSpace", False).csv(path)
+    ).options(**DIALECT).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 @query("t01_incremental_files", "landed_claims", PER_STATE)

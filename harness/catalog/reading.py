@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from floodledger.functions.cleaning import blank_to_null
-from floodledger.operators.topn import cap_per_group, page
+from floodledger.operators.topn import completeness, page
 from floodledger.schemas import (
     CLAIM_COLUMNS,
     ENDPOINT,
@@ -122,7 +122,7 @@ def s04(ws):
         ("straight", rows.where(~turned)),
         ("reversed", rows.where(turned).select(*reversed(CLAIM_COLUMNS))),
     ):
-        part.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+        part.write.options(**landing.DIALECT).option("header", True).option("ignoreLeadingWhiteSpace", False).option(
             "ignoreTrailingWhiteSpace", False
         ).csv(f"{path}/{name}")
     return per_state(landing.read_csv_aligned(ws.spark, f"{path}/*"))
@@ -291,35 +291,29 @@ def s16(ws):
     return rows.groupBy("state", F.col("dateOfLoss").alias("loss_date")).agg(F.count(F.lit(1)).alias("n"))
 
 
-CAP = 2500
-
-
-def _policy_order():
-    return [F.asc("policyEffectiveDate"), F.asc("totalInsurancePremiumOfThePolicy"), F.asc("countyCode")]
-
-
 @query(
-    "s17_row_cap_per_state",
-    "raw_policies",
-    f"SELECT propertyState, count(*) AS n, max(policyEffectiveDate) AS last_date FROM (SELECT *, row_number() OVER"
-    f" (PARTITION BY propertyState ORDER BY policyEffectiveDate, totalInsurancePremiumOfThePolicy, countyCode) AS r"
-    f" FROM raw_policies) WHERE r <= {CAP} GROUP BY propertyState",
+    "s17_state_completeness",
+    "landed_policies raw_policies",
+    "SELECT f.propertyState, f.n AS rows_found, l.n AS rows_landed, CASE WHEN f.n <> l.n THEN 1 ELSE 0 END AS truncated FROM"
+    " (SELECT propertyState, count(*) AS n FROM landed_policies GROUP BY 1) f JOIN"
+    " (SELECT propertyState, count(*) AS n FROM raw_policies GROUP BY 1) l USING (propertyState)",
 )
 def s17(ws):
-    capped, _ = cap_per_group(ws.bronze("policies"), ["propertyState"], _policy_order(), CAP)
-    return capped.groupBy("propertyState").agg(
-        F.count(F.lit(1)).alias("n"), F.max("policyEffectiveDate").alias("last_date")
-    )
+    return completeness(landed(ws, "policies"), ws.bronze("policies"), ["propertyState"])
 
 
 @query(
     "s17_truncated_states",
-    "raw_policies",
-    f"SELECT propertyState, count(*) AS rows_found, CASE WHEN count(*) > {CAP} THEN 1 ELSE 0 END AS truncated"
-    " FROM raw_policies GROUP BY propertyState",
+    "landed_policies raw_policies",
+    "SELECT f.propertyState, f.n AS rows_found, coalesce(l.n, 0) AS rows_landed, CASE WHEN f.n <> coalesce(l.n, 0) THEN 1 ELSE 0 END AS truncated FROM"
+    " (SELECT propertyState, count(*) AS n FROM landed_policies GROUP BY 1) f LEFT JOIN"
+    " (SELECT propertyState, count(*) AS n FROM raw_policies WHERE propertyState <> 'ASIA' AND NOT (propertyState = 'EUROPE' AND construction = 'True') GROUP BY 1) l USING (propertyState)",
 )
 def s17_flags(ws):
-    return cap_per_group(ws.bronze("policies"), ["propertyState"], _policy_order(), CAP)[1]
+    """A damaged load: one state is missing as a whole, one in part."""
+    rows = ws.bronze("policies")
+    damaged = rows.where("propertyState <> 'ASIA' AND NOT (propertyState = 'EUROPE' AND construction = 'True')")
+    return completeness(landed(ws, "policies"), damaged, ["propertyState"])
 
 
 @query(
@@ -342,7 +336,7 @@ def s18_after(ws):
 
 @query("s19_csv_folder_per_state", "landed_claims", "SELECT state AS folder, count(*) AS n FROM landed_claims GROUP BY 1")
 def s19(ws):
-    stored = ws.spark.read.option("header", True).csv(csv_folder(ws, "claims"))
+    stored = ws.spark.read.options(**landing.DIALECT).option("header", True).csv(csv_folder(ws, "claims"))
     return stored.groupBy(F.col("_state").alias("folder")).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -173,8 +173,7 @@ CTES: dict[str, tuple[str, str]] = {
         "",
         _landed(
             CLAIM_COLUMNS, _CLAIM_SQL, "l_orderkey",
-            f"lineitem JOIN ({_PLACES}) ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"
-            " WHERE l_returnflag = 'R'",
+            f"lineitem JOIN ({_PLACES}) ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey",
         ),
     ),
     "landed_policies": ("", _landed(POLICY_COLUMNS, _POLICY_SQL, "o_orderkey", _PLACES)),

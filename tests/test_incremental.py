@@ -1,6 +1,8 @@
+import pytest
 from conftest import CLAIM
 from test_landing import text, write
 
+from floodledger.plans.warehouse import bronze_path, land_csv
 from floodledger.schemas import CLAIM_COLUMNS
 from floodledger.sources.landing import BAD, read_bronze, read_rejected
 from floodledger.streaming.incremental import compact, load_new_files, read_current, upsert_new_rows
@@ -23,6 +25,29 @@ def test_each_file_is_loaded_once(spark, tmp_path):
     assert row.source_state in ("FL", "TX") and row.ingestion_timestamp is not None
 
 
+def test_full_load_then_stream_then_full_load(spark, tmp_path):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    table = bronze_path(out, "claims")
+    count = lambda: read_bronze(spark, table, "claims").count()
+    write(tmp_path / "full", "TX.csv", [text(CLAIM, CLAIM_COLUMNS)] * 5)
+    land_csv(spark, str(tmp_path / "full"), out, "claims")
+    write(tmp_path / "new", "FL.csv", [text(CLAIM | {"state": "FL"}, CLAIM_COLUMNS)] * 2)
+    for _ in range(2):  # the second run is a restart without anything new
+        load_new_files(spark, str(tmp_path / "new"), table, checkpoint, "claims")
+        assert count() == 7
+    land_csv(spark, str(tmp_path / "full"), out, "claims")
+    assert count() == 5
+
+
+def test_stream_refuses_a_file_of_malformed_lines(spark, tmp_path):
+    write(tmp_path / "in", "a.csv", [text(CLAIM, CLAIM_COLUMNS), *["bad"] * 4])
+    with pytest.raises(Exception, match="malformed"):
+        load_new_files(spark, str(tmp_path / "in"), str(tmp_path / "table"), str(tmp_path / "checkpoint"), "claims", limit=3)
+    assert not (tmp_path / "table").exists()
+    load_new_files(spark, str(tmp_path / "in"), str(tmp_path / "table"), str(tmp_path / "checkpoint"), "claims", limit=4)
+    assert read_bronze(spark, str(tmp_path / "table"), "claims").count() == 1
+
+
 def test_late_batch_with_an_older_row_changes_nothing(spark, tmp_path):
     source, store, checkpoint = (str(tmp_path / n) for n in ("in", "store", "checkpoint"))
     keys, order = ["k"], ["seq"]

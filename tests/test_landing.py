@@ -70,6 +70,31 @@ def test_landing_writes_good_and_bad_rows_in_one_pass(spark, tmp_path):
     with pytest.raises(landing.TooManyBadRows):
         write(tmp_path / "in", "a.csv", ["bad", "bad"])
         land_csv(spark, str(tmp_path / "in"), out, "claims", limit=1)
+    # the refused load left the table as it was
+    assert landing.read_bronze(spark, bronze_path(out, "claims"), "claims").count() == 1
+    assert landing.read_rejected(spark, bronze_path(out, "claims"), "claims").count() == 0
+
+
+def test_lines_that_look_like_missing_values_are_malformed(spark, tmp_path):
+    write(tmp_path / "in", "a.csv", [text(CLAIM, CLAIM_COLUMNS), "NA", "null"])
+    out = str(tmp_path / "out")
+    assert land_csv(spark, str(tmp_path / "in"), out, "claims") == {"claims_raw": 1, "claims_rejected": 2}
+    rejected = landing.read_rejected(spark, bronze_path(out, "claims"), "claims")
+    assert {r[landing.BAD] for r in rejected.collect()} == {"NA", "null"}
+
+
+def test_quotes_and_commas_inside_values(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('a,b\n"x ""y"", z",2\n"5"" pipe", c \n"",\n')
+    expected = [('x "y", z', "2"), ('5" pipe', " c "), (None, None)]
+    path = str(tmp_path / "q.csv")
+    assert [tuple(r) for r in landing.read_csv(spark, path, ["a", "b"]).collect()] == expected
+    assert [tuple(r) for r in landing.read_csv_by_header(spark, path).collect()] == expected
+    marked = landing.read_csv_marked(spark, path, ["a", "b"])
+    assert landing.bad_rows(marked).count() == 0 and landing.good_rows(marked).count() == 3
+    rows = spark.createDataFrame([("TX", 'x "y", z'), ("TX", '"'), ("TX", "a,b")], "state string, v string")
+    sinks.write_csv_by_state(rows, str(tmp_path / "out"), "state")
+    stored = landing.read_csv(spark, str(tmp_path / "out") + "/*", ["state", "v"])
+    assert sorted(r.v for r in stored.collect()) == sorted(['x "y", z', '"', "a,b"])
 
 
 def test_envelope(spark, tmp_path):

@@ -4,9 +4,9 @@ from pyspark.sql import functions as F
 
 from floodledger.operators.dedup import duplicate_keys, surplus_per_key
 from floodledger.operators.drill import drill_across
-from floodledger.operators.order_stats import WIDE_STEPS, exact_percentiles
+from floodledger.operators.order_stats import exact_percentiles, middle_values
 from floodledger.operators.shares import count_by_with_total, null_counts, value_counts
-from floodledger.operators.topn import PAGE_WINDOW, cap_per_group, page, top_per_group
+from floodledger.operators.topn import completeness, page, top_per_group
 
 
 @pytest.mark.parametrize("seed, size, spread", [(1, 1, 10), (2, 2, 10), (3, 101, 5), (4, 5000, 1e9), (5, 3000, 0.5)])
@@ -15,8 +15,6 @@ def test_percentiles_match_brute_force(spark, seed, size, spread):
     df = spark.createDataFrame([(float(v),) for v in values], "v double").withColumn("v", F.col("v").cast("decimal(18,2)"))
     ps = [0.0, 0.05, 0.5, 0.95, 1.0]
     got = {r.p: r.percentile for r in exact_percentiles(df, "v", ps).collect()}
-    wide = {r.p: r.percentile for r in exact_percentiles(df, "v", ps, steps=WIDE_STEPS).collect()}
-    assert wide == got
     for p in ps:
         assert got[p] == pytest.approx(np.quantile(values, p), abs=1e-6)
 
@@ -56,19 +54,40 @@ def test_top_per_group(spark, n):
     assert {g: sorted(x) for g, x in rows.items()} == expected
 
 
-def test_cap_reports_only_groups_that_were_cut(spark):
-    df = spark.createDataFrame([("a", i) for i in range(4)] + [("b", i) for i in range(3)], "g string, k int")
-    rows, sizes = cap_per_group(df, ["g"], [F.asc("k")], 3)
-    assert rows.count() == 6
-    assert {r.g: (r.rows_found, r.truncated) for r in sizes.collect()} == {"a": (4, 1), "b": (3, 0)}
+def test_ties_go_by_the_other_columns_whatever_the_layout(spark):
+    rows = [("g", 1, i) for i in range(200)]
+    for parts in (1, 7):
+        df = spark.createDataFrame(rows, "g string, v int, id int").repartition(parts, "id")
+        assert sorted(r.id for r in top_per_group(df, ["g"], [F.desc("v")], 30).collect()) == list(range(30))
+
+
+def test_completeness_flags_groups_that_differ(spark):
+    found = spark.createDataFrame([("a",)] * 4 + [("b",)] * 3 + [(None,)], "g string")
+    landed = spark.createDataFrame([("a",)] * 3 + [("b",)] * 3 + [(None,)], "g string")
+    got = {r.g: (r.rows_found, r.rows_landed, r.truncated) for r in completeness(found, landed, ["g"]).collect()}
+    assert got == {"a": (4, 3, 1), "b": (3, 3, 0), None: (1, 1, 0)}
+
+
+@pytest.mark.parametrize("values, middle", [
+    ([1e-5, 2e-5, 3e-5], 2e-5), ([1e30, -1e30, 5.0], 5.0), ([1e308, 1.5e308], 1.25e308), ([-3.0, -1.0], -2.0), ([7.0], 7.0),
+    ([2.0] * 900 + [9.0] * 100, 2.0),
+])
+def test_medians_of_any_size(spark, values, middle):
+    df = spark.createDataFrame([("a", v) for v in values] + [("b", None), ("c", 4.0)], "g string, v double")
+    got = {r.g: r.median for r in middle_values(df, "g", "v").collect()}
+    assert got == {"a": pytest.approx(middle, rel=1e-15), "c": 4.0}
 
 
 def test_pages(spark):
     df = spark.range(100).select(F.col("id").alias("k"))
     assert [r.k for r in page(df, "k", 3, skip=10).collect()] == [10, 11, 12]
     assert [r.k for r in page(df, "k", 3, after=97).collect()] == [98, 99]
-    with pytest.raises(ValueError):
-        page(df, "k", 10, skip=PAGE_WINDOW)
+    deep = spark.range(20_000).select((F.col("id") * 7 % 20_000).alias("k"))
+    assert [r.k for r in page(deep, "k", 3, skip=19_990).collect()] == [19_990, 19_991, 19_992]
+    assert [r.k for r in page(df, "k", 5, skip=98).collect()] == [98, 99]
+    assert page(df, "k", 5, skip=100).count() == 0
+    ties = spark.createDataFrame([(1, i) for i in range(50)], "k int, id int").repartition(5)
+    assert [r.id for r in page(ties, "k", 4, skip=10).collect()] == [10, 11, 12, 13]
 
 
 def test_drill_across_meets_null_keys(spark):
