@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from floodledger.llm.store import cut
+
 # Kinds in their order, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -256,8 +258,10 @@ def marked(text: str, words: list[tuple[int, int]], spans: list[tuple[int, int,
 
 def fit(docs: DataFrame) -> Field:
     """Trains on the islands of at most ``SAMPLE`` whole documents."""
-    rows = docs.where("doc_id IS NOT NULL AND text RLIKE '[0-9@]'").select("doc_id", "text")
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).collect()
+    signed = docs.where("doc_id IS NOT NULL AND text RLIKE '[0-9@]'")
+    ids = cut(signed.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).distinct(), "sample")
+    rows = signed.select("doc_id", "text").join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]).collect()
+    rows.sort(key=lambda r: r["doc_id"])
     examples = []
     for row in rows:
         spans = base_spans(row["text"])
