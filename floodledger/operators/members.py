@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from floodledger.schemas import conform, inline_rows
+from floodledger.session import work_folder
 
 
 def distinct_union(*sides: DataFrame) -> DataFrame:
@@ -20,11 +21,24 @@ def distinct_union(*sides: DataFrame) -> DataFrame:
 def number_members(members: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """Keys 1..n in the order of the attributes.
 
-    The window has no partition, so this is for member sets (one row per distinct attribute
-    combination), not for facts.
+    The members are dealt into ranges of the attributes, the ranges are counted, and each is
+    numbered on its own from where the one before it ends, so no task sorts all members. The dealt
+    rows are written first: another evaluation could draw other ranges.
     """
-    rank = F.row_number().over(Window.orderBy(*(F.asc_nulls_first(c) for c in order)))
-    return members.withColumn(key, rank)
+    spark = members.sparkSession
+    by = [F.asc_nulls_first(c) for c in order]
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = work_folder(spark, "members")
+    dealt = members.repartitionByRange(ranges, *by).withColumn("_range", F.spark_partition_id())
+    dealt.write.parquet(path)
+    stored = spark.read.schema(dealt.schema).parquet(path)
+    # one row per range, so this window is small whatever the number of members
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = stored.groupBy("_range").count().select(
+        "_range", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_start")
+    )
+    place = F.col("_start") + F.row_number().over(Window.partitionBy("_range").orderBy(*by))
+    return stored.join(starts, "_range").withColumn(key, place.cast("int")).drop("_range", "_start")
 
 
 def without_unknown(members: DataFrame, unknown: dict[str, object]) -> DataFrame:

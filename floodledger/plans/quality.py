@@ -17,7 +17,7 @@ from floodledger.operators.lookup import is_orphan, probe_keys
 from floodledger.operators.shares import share_of_total
 from floodledger.plans.layers import Silver, Star
 from floodledger.plans.views import loss_ratio
-from floodledger.schemas import CHECK, LOSS_YEARS, conform
+from floodledger.schemas import CHECK, LOSS_YEARS, UNKNOWN_KEY, conform
 
 
 @dataclass(frozen=True)
@@ -200,6 +200,14 @@ def orphan_checks(star: Star, entity: str) -> list[Check]:
     ]
 
 
+def unknown_checks(star: Star, entity: str) -> list[Check]:
+    """Fact rows that resolved to the Unknown member, per key: no orphans, but worth a look."""
+    return [
+        Check(f"unknown_{key}", count_where(F.col(key) == UNKNOWN_KEY), "WARNING", suite="referential_integrity")
+        for key, _, _ in edges(star, entity)
+    ]
+
+
 def policy_checks(strict: bool) -> list[Check]:
     """Premium sign and exposure range. Negative premiums are refunds: a failure only if strict."""
     term = F.col("exposure")
@@ -241,6 +249,11 @@ def fact_orphans(star: Star, entity: str) -> DataFrame:
     return run_checks(probed, "referential_integrity", entity, orphan_checks(star, entity))
 
 
+def unknown_members(star: Star, entity: str) -> DataFrame:
+    """Fact rows of the Unknown member, per key, from the fact alone."""
+    return run_checks(getattr(star, f"fact_{entity}"), "referential_integrity", entity, unknown_checks(star, entity))
+
+
 def policy_rules(star: Star, strict: bool = False) -> DataFrame:
     return run_checks(star.fact_policies, "business_rules", "policies", policy_checks(strict))
 
@@ -255,11 +268,12 @@ def loss_date_range(star: Star, years: tuple[int, int] = LOSS_YEARS) -> DataFram
 
 
 def fact_checks(star: Star, entity: str, strict: bool = False) -> DataFrame:
-    """Orphans, rules and loss dates of a fact together, from one pass over it."""
+    """Orphans, Unknown members, rules and loss dates of a fact together, from one pass over it."""
     carry = {"date_key": ["full_date", "year"]} if entity == "claims" else {}
     rules = [*claim_checks(strict), loss_date_check()] if entity == "claims" else policy_checks(strict)
     probed = probe_keys(getattr(star, f"fact_{entity}"), edges(star, entity), carry)
-    return run_checks(probed, "business_rules", entity, [*orphan_checks(star, entity), *rules])
+    keys = [*orphan_checks(star, entity), *unknown_checks(star, entity)]
+    return run_checks(probed, "business_rules", entity, [*keys, *rules])
 
 
 def extreme_loss_ratios(star: Star, limit: float = 10.0, grain: str = "state") -> DataFrame:

@@ -107,7 +107,7 @@ def build_gold(layer: Silver, out: str) -> tuple[Star, dict[str, int]]:
         "dim_building_type": dims.dim_building_type(claims, policies),
         "dim_occupancy": dims.dim_occupancy(claims, policies),
     }
-    rows = {name: overwrite(df.coalesce(1), f"{path}/{name}") for name, df in tables.items()}
+    rows = {name: overwrite(df, f"{path}/{name}") for name, df in tables.items()}
     written = {name: spark.read.schema(df.schema).parquet(f"{path}/{name}") for name, df in tables.items()}
     rows["fact_claims"] = overwrite(facts.fact_claims(claims, **written), f"{path}/fact_claims")
     rows["fact_policies"] = overwrite(facts.fact_policies(policies, **written), f"{path}/fact_policies")

@@ -224,6 +224,20 @@ def qc11_found(ws):
     return quality.fact_orphans(replace(ws.star, dim_date=gap), "policies")
 
 
+def _unknown_sql(entity: str, keys: dict[str, str]) -> str:
+    return rows("referential_integrity", entity, f"fact_{entity}", *((f"unknown_{key}", n_where(f"{key} = -1"), "WARNING") for key in keys))
+
+
+@query("qc10_unknown_members_claims", "fact_claims", _unknown_sql("claims", _CLAIM_EDGES))
+def qc10_unknown(ws):
+    return quality.unknown_members(ws.star, "claims")
+
+
+@query("qc11_unknown_members_policies", "fact_policies", _unknown_sql("policies", _POLICY_EDGES))
+def qc11_unknown(ws):
+    return quality.unknown_members(ws.star, "policies")
+
+
 _PREMIUM_RULES = rows(
     "business_rules", "policies", "fact_policies",
     ("premium_not_negative", n_where("total_premium < 0"), "WARNING"), ("exposure_in_range", n_where("exposure < 0 OR exposure > 1"), "FAIL"),
@@ -397,7 +411,8 @@ _DIM_CHECKS = [
 ]
 _GOLD = [
     _layers_sql("claims"), _layers_sql("policies"), *_DIM_ROWS, *_DIM_CHECKS,
-    _orphans_sql("claims", _CLAIM_EDGES), _orphans_sql("policies", _POLICY_EDGES), _PREMIUM_RULES, _claim_rules_sql("WARNING"),
+    _orphans_sql("claims", _CLAIM_EDGES), _orphans_sql("policies", _POLICY_EDGES),
+    _unknown_sql("claims", _CLAIM_EDGES), _unknown_sql("policies", _POLICY_EDGES), _PREMIUM_RULES, _claim_rules_sql("WARNING"),
     rows("business_rules", "claims", "claims_star", ("loss_date_in_range", n_where("year NOT BETWEEN 1978 AND 2026"), "FAIL")),
     rows("business_rules", "portfolio", f"({LOSS_RATIO_LOCATION})", ("loss_ratio_sane", n_where("loss_ratio > 10"), "WARNING")),
 ]
