@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from floodledger.operators.members import number_members
 from floodledger.plans import dims, quality, views
 from floodledger.plans.warehouse import build_gold, build_silver
 from floodledger.session import work_folder
@@ -238,6 +239,22 @@ def test_orphan_is_counted_exactly_once(build):
     assert rows["referential_integrity", "claims", "orphan_date_key"] == ("PASS", 0)
 
 
+def test_rows_of_the_unknown_member_are_counted_per_key(build):
+    _, _, star = build([{}, {"dateOfLoss": "1950-01-01"}, {"occupancyType": None, "countyCode": "1"}], [{}])
+    rows = statuses(quality.unknown_members(star, "claims"))
+    assert rows["referential_integrity", "claims", "unknown_date_key"] == ("WARNING", 1)
+    assert rows["referential_integrity", "claims", "unknown_occupancy_key"] == ("WARNING", 1)
+    assert rows["referential_integrity", "claims", "unknown_location_key"] == ("PASS", 0)
+
+
+def test_members_are_numbered_in_order_across_ranges(spark):
+    members = spark.range(1000).selectExpr("CASE WHEN id > 0 THEN id * 7 % 1000 END AS a", "CAST(id AS string) AS b")
+    rows = number_members(members, "k", ["a", "b"]).orderBy("k").collect()
+    assert [r.k for r in rows] == list(range(1, 1001))
+    assert [r.a for r in rows] == [None, *range(1, 1000)]
+    assert number_members(members.limit(0), "k", ["a"]).count() == 0
+
+
 def test_repeated_dimension_key_is_found(build):
     _, _, star = build([{}], [{}])
     twice = star.dim_occupancy.unionByName(star.dim_occupancy.where("occupancy_key = -1"))
