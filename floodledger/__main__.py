@@ -15,12 +15,14 @@ from floodledger.functions.cleaning import normalise_missing
 def main() -> None:
     parser = argparse.ArgumentParser(prog="floodledger")
     commands = parser.add_subparsers(dest="command", required=True)
-    full = commands.add_parser("run", help="landed CSV folders to bronze, silver, gold and checks")
+    full = commands.add_parser("run", help="folders of landed files to bronze, silver, gold and checks")
     full.add_argument("claims")
     full.add_argument("policies")
     full.add_argument("out")
     full.add_argument("--strict", action="store_true", help="negative amounts are failures")
     full.add_argument("--keep-going", action="store_true", help="do not stop on failed checks")
+    full.add_argument("--only-new", action="store_true", help="leave out files landed before, build what they change")
+    full.add_argument("--kind", choices=["csv", "json", "jsonl"], default="csv", help="CSV, one JSON page per file, or per line")
     single = commands.add_parser("profile", help="profile of landed CSV files")
     single.add_argument("entity", choices=["claims", "policies"])
     single.add_argument("source")
@@ -32,6 +34,7 @@ def main() -> None:
         result = run(
             spark, options.claims, options.policies, options.out,
             strict=options.strict, stop_on_failure=not options.keep_going,
+            only_new=options.only_new, kind=options.kind,
         )
         for table, rows in result.rows.items():
             print(f"{table}: {rows}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,23 +11,29 @@ from pyspark.sql import functions as F
 
 from floodledger.plans import dims, facts, quality, silver
 from floodledger.plans.layers import Silver, Star, read_layer
-from floodledger.schemas import SOURCE_COLUMNS, ref_flood_zone_info, ref_state_info
+from floodledger.schemas import ENVELOPE, SOURCE_COLUMNS, ref_flood_zone_info, ref_state_info
 from floodledger.sources.landing import (
     FILE,
     LOAD,
     MAX_BAD_ROWS,
     REJECTED,
+    as_path,
     bad_row_counts,
+    by_header,
     check_bad_rows,
+    first_lines,
     read_bronze,
-    read_csv_marked,
+    read_csv_marked_aligned,
+    read_envelope_marked,
     read_rejected,
     to_landed_table,
 )
-from floodledger.sources.sinks import overwrite, switch
+from floodledger.sources.sinks import exists, overwrite, remove, switch
 
-#: Name of the load that replaces a table.
+#: Names of loads begin so: those that replace a table, and those that add files to it.
 FULL = "full"
+NEW = "new"
+CLEANED = {"claims": silver.clean_claims, "policies": silver.clean_policies}
 
 
 @dataclass
@@ -45,45 +52,94 @@ def bronze_path(out: str, entity: str) -> str:
     return f"{out}/bronze/{entity}_raw"
 
 
-def land_csv(
-    spark: SparkSession, source: str, out: str, entity: str, limit: int = MAX_BAD_ROWS
+def land_files(
+    spark: SparkSession,
+    source: str,
+    out: str,
+    entity: str,
+    limit: int = MAX_BAD_ROWS,
+    only_new: bool = False,
+    kind: str = "csv",
 ) -> dict[str, int]:
-    """CSV files of one entity to its bronze table, in one pass over the text.
+    """Files of one entity to its bronze table, in one pass over the text.
 
-    Malformed lines go to a partition of their own; too many of them in a file fail the load. The
-    table is written beside the old one and takes its place after the check, so a failed load
-    changes nothing. A full load replaces all earlier loads, those of streams included.
+    ``kind`` is csv, json (a file is one page) or jsonl (a line is one page). CSV columns are taken
+    by name from the header of each file. Malformed lines or pages go to a partition of their own; too many of them in a file fail the load. A load is written beside the table and
+    takes its place after the check, so a failed load changes nothing. A full load replaces all
+    earlier loads, those of streams included. With ``only_new`` the files that the table has rows
+    of are left out, and the others are added as a load of their own.
     """
-    marked = read_csv_marked(spark, source, SOURCE_COLUMNS[entity])
     path = bronze_path(out, entity)
-    staged = f"{path}_staged_{uuid.uuid4().hex}"
-    total = overwrite(to_landed_table(marked, entity).withColumn(LOAD, F.lit(FULL)), staged, [LOAD, REJECTED])
-    per_file = bad_row_counts(read_rejected(spark, staged, entity)).select(FILE, "bad_rows").persist()
-    check_bad_rows(per_file, limit)
-    bad = per_file.agg(F.coalesce(F.sum("bad_rows"), F.lit(0))).first()[0]
-    per_file.unpersist()
-    switch(spark, staged, path)
+    only_new = only_new and exists(spark, path)
+    lines = first_lines(spark, source, path if only_new else None)
+    if not lines:
+        if only_new:
+            return {f"{entity}_raw": 0, f"{entity}_rejected": 0}
+        raise FileNotFoundError(f"no files with text in {source}")
+    columns = SOURCE_COLUMNS[entity]
+    if kind == "csv":
+        marked = read_csv_marked_aligned(spark, by_header(lines), columns)
+    else:
+        marked = read_envelope_marked(spark, [as_path(f) for f in lines], ENVELOPE[entity], columns, kind == "json")
+    name = f"{NEW if only_new else FULL}-{uuid.uuid4().hex}"
+    staged = f"{path}_staged_{name}"
+    load = f"{LOAD}={name}"
+    try:
+        total = overwrite(to_landed_table(marked, entity), f"{staged}/{load}", [REJECTED])
+        per_file = bad_row_counts(read_rejected(spark, staged, entity)).select(FILE, "bad_rows").persist()
+        check_bad_rows(per_file, limit)
+        bad = per_file.agg(F.coalesce(F.sum("bad_rows"), F.lit(0))).first()[0]
+        per_file.unpersist()
+        if only_new:
+            switch(spark, f"{staged}/{load}", f"{path}/{load}")
+        else:
+            switch(spark, staged, path)
+    finally:
+        remove(spark, staged)
     return {f"{entity}_raw": total - bad, f"{entity}_rejected": bad}
 
 
+def land_csv(
+    spark: SparkSession, source: str, out: str, entity: str, limit: int = MAX_BAD_ROWS, only_new: bool = False
+) -> dict[str, int]:
+    """``land_files`` for CSV."""
+    return land_files(spark, source, out, entity, limit, only_new)
+
+
 def land_table(df: DataFrame, out: str, entity: str) -> dict[str, int]:
     """A table that has the bronze columns already, as the bronze table."""
-    landed = df.withColumns({LOAD: F.lit(FULL), REJECTED: F.lit(0)})
+    landed = df.withColumns({LOAD: F.lit(f"{FULL}-{uuid.uuid4().hex}"), REJECTED: F.lit(0)})
     rows = overwrite(landed, bronze_path(out, entity), [LOAD, REJECTED])
     return {f"{entity}_raw": rows}
 
 
+def loads(spark: SparkSession, out: str, entity: str) -> set[str]:
+    """Names of the loads in a bronze table: as many as there were loads and stream batches."""
+    table = spark.read.schema(f"{LOAD} string, {REJECTED} int").parquet(bronze_path(out, entity))
+    return {row[LOAD] for row in table.select(LOAD).distinct().collect()}
+
+
+def built_from(spark: SparkSession, mark: str) -> set[str] | None:
+    """Names of the loads that a table was last built from, None if it was not finished."""
+    if not exists(spark, mark):
+        return None
+    return {row[LOAD] for row in spark.read.schema(f"{LOAD} string").parquet(mark).collect()}
+
+
+def mark_built(spark: SparkSession, mark: str, names: set[str]) -> None:
+    overwrite(spark.createDataFrame([(n,) for n in sorted(names)], f"{LOAD} string"), mark)
+
+
 def build_silver(
     bronze: dict[str, DataFrame],
     out: str,
     states: DataFrame | None = None,
     zones: DataFrame | None = None,
+    entities: Iterable[str] = CLEANED,
 ) -> tuple[Silver, dict[str, int]]:
-    """Clean both entities and write them with the reference tables."""
+    """Clean the entities and write them with the reference tables."""
     spark = bronze["claims"].sparkSession
-    tables = {
-        "claims_cleaned": silver.clean_claims(bronze["claims"]),
-        "policies_cleaned": silver.clean_policies(bronze["policies"]),
+    tables = {f"{entity}_cleaned": CLEANED[entity](bronze[entity]) for entity in entities} | {
         "ref_state_info": ref_state_info(spark) if states is None else states,
         "ref_flood_zone_info": ref_flood_zone_info(spark) if zones is None else zones,
     }
@@ -123,19 +179,38 @@ def run(
     zones: DataFrame | None = None,
     strict: bool = False,
     stop_on_failure: bool = False,
+    only_new: bool = False,
+    kind: str = "csv",
 ) -> Result:
-    """Everything in order. Inputs are CSV folders, or tables that already have bronze columns."""
+    """Everything in order. Inputs are folders of files, or tables that already have bronze columns.
+
+    With ``only_new`` a run takes up where earlier ones stopped: files landed before are left out,
+    and a cleaned table or the star is built only if bronze has loads that it was not built from.
+    """
     result = Result(out)
+    taken: dict[str, set[str]] = {}
     for entity, source in (("claims", claims), ("policies", policies)):
         if isinstance(source, str):
-            result.rows |= land_csv(spark, source, out, entity)
+            result.rows |= land_files(spark, source, out, entity, only_new=only_new, kind=kind)
         else:
             result.rows |= land_table(source, out, entity)
         result.bronze[entity] = read_bronze(spark, bronze_path(out, entity), entity)
-    result.silver, rows = build_silver(result.bronze, out, states, zones)
-    result.rows |= rows
-    result.star, rows = build_gold(result.silver, out)
+        taken[entity] = loads(spark, out, entity)
+    marks = {entity: f"{out}/silver/{entity}_built_from" for entity in taken}
+    stale = [e for e in taken if not only_new or built_from(spark, marks[e]) != taken[e]]
+    result.silver, rows = build_silver(result.bronze, out, states, zones, stale)
     result.rows |= rows
+    for entity in stale:
+        mark_built(spark, marks[entity], taken[entity])
+    everything = {f"{entity} {name}" for entity, names in taken.items() for name in names}
+    star_mark = f"{out}/gold/built_from"
+    given = states is not None or zones is not None
+    if stale or given or built_from(spark, star_mark) != everything:
+        result.star, rows = build_gold(result.silver, out)
+        result.rows |= rows
+        mark_built(spark, star_mark, everything)
+    else:
+        result.star = read_layer(spark, f"{out}/gold", Star)
     checks = quality.silver_suite(result.bronze, result.silver).unionByName(
         quality.gold_suite(result.bronze, result.silver, result.star, strict)
     )

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+import csv
+import re
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +31,8 @@ REJECTED = "rejected"
 #: Malformed rows of a file that a load puts up with, unless the caller says otherwise.
 MAX_BAD_ROWS = 100
 LOAD = "load"
+#: As the size of a split: every file is one task of its own.
+WHOLE_FILE = 1 << 40
 #: Distinct keys up to this number are sent to every task instead of shuffling the rows to them.
 SENT_KEYS = 10_000
 #: Quotes inside quoted values are doubled in the landed files; Spark's own default is a backslash.
@@ -53,21 +58,53 @@ def read_csv_by_header(spark: SparkSession, path: str | Sequence[str]) -> DataFr
     return spark.read.options(**DIALECT).option("header", True).option("enforceSchema", False).csv(path)
 
 
+def first_lines(spark: SparkSession, path: str | Sequence[str], landed: str | None = None) -> dict[str, str]:
+    """File and first line of all files, or of those that a landed table has no rows of.
+
+    One job with a task per file, which stops after the line. Files without text are left out. The
+    driver holds as much as it does for the list of files of any scan.
+    """
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # of one line each
+            if batch.num_rows and (batch.column(0)[0].as_py() or "").strip():
+                yield batch
+                return
+
+    own = spark.newSession()
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        own.conf.set(key, str(WHOLE_FILE))
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    text = own.read.text(path).select("value", F.col("_metadata.file_path").alias(FILE))
+    lines = text.mapInArrow(first, text.schema)
+    if landed is not None:
+        known = own.read.schema(_stored(text_schema([FILE]))).parquet(landed).select(FILE).distinct()
+        lines = lines.join(known, FILE, "left_anti")
+    return {row[FILE]: row["value"] for row in lines.collect()}
+
+
+def as_path(file: str) -> str:
+    """A file as Spark reports it, as a path to read: decoded, and without wildcards."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(file))
+
+
+def by_header(lines: dict[str, str]) -> dict[tuple[str, ...], list[str]]:
+    """The files of every header."""
+    files: dict[tuple[str, ...], list[str]] = {}
+    for file, line in sorted(lines.items()):
+        files.setdefault(tuple(next(csv.reader([line]))), []).append(as_path(file))
+    return files
+
+
 def read_csv_aligned(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """CSV files whose headers differ in order or content, aligned by column name.
 
-    Only header lines are looked at one by one, several at a time; files with the same header are
-    then read together, so the plan has one scan per distinct header.
+    Files with the same header are read together: the plan has one scan per distinct header.
     """
-    files = sorted(spark.read.option("header", True).csv(path).inputFiles())
+    files = by_header(first_lines(spark, path))
     if not files:
-        raise FileNotFoundError(f"no CSV files in {path}")
-    with ThreadPoolExecutor(16) as pool:
-        headers = list(pool.map(lambda f: tuple(read_csv_by_header(spark, f).columns), files))
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for header, file in zip(headers, files):
-        by_header.setdefault(header, []).append(file)
-    parts = [read_csv_by_header(spark, same) for same in by_header.values()]
+        raise FileNotFoundError(f"no CSV files with a header in {path}")
+    parts = [read_csv_by_header(spark, same) for same in files.values()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -102,6 +139,41 @@ def read_csv_marked(
     return mark_bad_rows(reader.option("header", header).csv(path))
 
 
+def _names(header: Sequence[str], columns: Sequence[str]) -> list[str]:
+    """Names for the columns of a header: wanted ones as spelt here, no empty, repeated or reserved ones."""
+    wanted = {c.lower(): c for c in columns}
+    used = {BAD, FILE, LOAD, REJECTED}
+    names = []
+    for i, text in enumerate(header):
+        name = wanted.get(text.strip().lower(), text.strip())
+        if not name or name.lower() in used:
+            name = f"_column_{i}"
+        used.add(name.lower())
+        names.append(name)
+    return names
+
+
+def read_csv_marked_aligned(
+    spark: SparkSession, files: dict[tuple[str, ...], list[str]], columns: Sequence[str]
+) -> DataFrame:
+    """Like ``read_csv_marked`` for files with various headers, aligned by name.
+
+    Columns that a file lacks are NULL, further ones are kept. A file with none of the columns, one
+    without a header for instance, is an error.
+    """
+    parts = []
+    for header, same in files.items():
+        names = _names(header, columns)
+        if not set(names) & set(columns):
+            raise ValueError(f"none of the expected columns in the header of {same[0]}")
+        # the header has been looked at already, and its names may have been mended
+        options = MARKED_OPTIONS | {"enforceSchema": True, "header": True}
+        rows = mark_bad_rows(spark.read.schema(marked_schema(names)).options(**options).csv(same))
+        lacking = {c: F.lit(None).cast("string") for c in columns if c not in names}
+        parts.append(rows.withColumns(lacking))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def good_rows(marked: DataFrame) -> DataFrame:
     return marked.where(F.col(BAD).isNull()).drop(BAD, FILE)
 
@@ -142,10 +214,26 @@ def read_envelope(
     A page without the entity has no rows. By default a file is one page; with ``multi_line=False``
     a line is one page and large files are split between tasks.
     """
+    marked = read_envelope_marked(spark, path, entity, columns, multi_line)
+    return marked.where(F.col(BAD).isNull()).drop(BAD, FILE)
+
+
+def read_envelope_marked(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    entity: str,
+    columns: Sequence[str],
+    multi_line: bool = True,
+) -> DataFrame:
+    """Like ``read_envelope`` with two more columns: the text of a page that is no JSON, and the file."""
     record = text_schema(list(columns))
-    page = T.StructType([T.StructField(entity, T.ArrayType(record))])
-    pages = spark.read.schema(page).option("multiLine", multi_line).json(path)
-    return pages.select(F.explode(entity).alias("_record")).select("_record.*")
+    page = T.StructType([T.StructField(entity, T.ArrayType(record)), T.StructField(BAD, T.StringType())])
+    reader = spark.read.schema(page).option("columnNameOfCorruptRecord", BAD)
+    pages = reader.option("multiLine", multi_line).json(path)
+    # a page that is no JSON is one row without a record; one without the entity has no rows
+    records = F.when(F.col(BAD).isNotNull(), F.array(F.lit(None).cast(record))).otherwise(F.col(entity))
+    exploded = pages.select(F.explode(records).alias("_record"), BAD, F.col("_metadata.file_path").alias(FILE))
+    return exploded.select("_record.*", BAD, FILE)
 
 
 def select_source(

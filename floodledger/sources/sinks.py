@@ -38,11 +38,26 @@ def _write(
     return seen.get["rows_written"]
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it takes it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _files(spark, path)
+    return files.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    files, place = _files(spark, path)
+    files.delete(place, True)
+
+
 def switch(spark: SparkSession, staged: str, path: str) -> None:
     """Put a finished folder in the place of another, which goes."""
-    jvm = spark.sparkContext._jvm
-    new, old = jvm.org.apache.hadoop.fs.Path(staged), jvm.org.apache.hadoop.fs.Path(path)
-    files = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    (_, new), (files, old) = _files(spark, staged), _files(spark, path)
     files.mkdirs(old.getParent())
     files.delete(old, True)
     if not files.rename(new, old):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from floodledger.functions.cleaning import blank_to_null
 from floodledger.operators.topn import completeness, page
+from floodledger.plans.warehouse import bronze_path, land_files
 from floodledger.schemas import (
     CLAIM_COLUMNS,
     ENDPOINT,
@@ -115,6 +116,11 @@ def s03_counts(ws):
 @query("s04_files_with_other_column_order", "landed_claims", PER_STATE)
 def s04(ws):
     """Half of the files have their columns reversed and are still aligned by name."""
+    return per_state(landing.read_csv_aligned(ws.spark, f"{turned_files(ws)}/*"))
+
+
+def turned_files(ws: Workspace) -> str:
+    """Claims in two folders: states with A have their columns reversed."""
     rows = landed(ws, "claims")
     turned = F.substring("state", 1, 1) == "A"
     path = ws.scratch("turned")
@@ -125,7 +131,17 @@ def s04(ws):
         part.write.options(**landing.DIALECT).option("header", True).option("ignoreLeadingWhiteSpace", False).option(
             "ignoreTrailingWhiteSpace", False
         ).csv(f"{path}/{name}")
-    return per_state(landing.read_csv_aligned(ws.spark, f"{path}/*"))
+    return path
+
+
+@query("s04_landed_in_two_loads", "landed_claims", PER_STATE)
+def s04_landed(ws):
+    """The straight files first, then all new files of both folders, then nothing new."""
+    path, out = turned_files(ws), ws.scratch("landed")
+    land_files(ws.spark, f"{path}/straight", out, "claims")
+    for _ in range(2):
+        land_files(ws.spark, f"{path}/*", out, "claims", only_new=True)
+    return per_state(landing.read_bronze(ws.spark, bronze_path(out, "claims"), "claims"))
 
 
 @query(
@@ -281,6 +297,13 @@ def s15(ws):
     return per_state(landing.read_envelope(ws.spark, page_folder(ws), entity, CLAIM_COLUMNS, multi_line=False))
 
 
+@query("s15_landed_pages", "landed_claims", PER_STATE)
+def s15_landed(ws):
+    out = ws.scratch("landed")
+    land_files(ws.spark, page_folder(ws), out, "claims", kind="jsonl")
+    return per_state(landing.read_bronze(ws.spark, bronze_path(out, "claims"), "claims"))
+
+
 @query(
     "s16_source_filter_and_projection",
     "raw_claims",

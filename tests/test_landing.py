@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from floodledger import run
 from floodledger.plans.profile import profile_entity
-from floodledger.plans.warehouse import bronze_path, land_csv
-from floodledger.schemas import CLAIM_COLUMNS, ENDPOINT, POLICY_COLUMNS
+from floodledger.plans.warehouse import bronze_path, land_csv, land_files
+from floodledger.schemas import CLAIM_COLUMNS, ENDPOINT, ENVELOPE, POLICY_COLUMNS
 from floodledger.sources import landing, sinks
 
 
@@ -143,6 +143,66 @@ def test_whole_run_from_files(spark, tmp_path):
     assert result.checks.where("status = 'FAIL'").count() == 0
 
 
+def test_landing_takes_columns_from_each_header(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    write(source, "a b[1].csv", [text(CLAIM, CLAIM_COLUMNS)])
+    turned = ["", "extra", "extra", "_file", *(" STATE" if c == "state" else c for c in CLAIM_COLUMNS[::-1] if c != "yearOfLoss")]
+    claim = CLAIM | {" STATE": "FL"}
+    row = ["", "1", "2", "x", *(claim[c] or "" for c in turned[4:])]
+    write(source, "b.csv", [",".join(row), "bad"], turned)
+    (source / "empty.csv").write_text("")
+    assert land_csv(spark, str(source), out, "claims") == {"claims_raw": 2, "claims_rejected": 1}
+    rows = {r.source_state: r for r in landing.read_bronze(spark, bronze_path(out, "claims"), "claims").collect()}
+    assert {k: (r.state, r.countyCode, r.yearOfLoss, r.dateOfLoss[:10]) for k, r in rows.items()} == {
+        "TX": ("TX", "48201", "2017", "2017-08-25"), "FL": ("FL", "48201", None, "2017-08-25"),
+    }
+    write(tmp_path / "other", "c.csv", ["1,2"], ["x", "y"])
+    with pytest.raises(ValueError, match="none of the expected columns"):
+        land_csv(spark, str(tmp_path / "other"), out, "claims")
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "d.csv").write_text("\n")
+    with pytest.raises(FileNotFoundError):
+        land_csv(spark, str(tmp_path / "none"), out, "claims")
+    assert landing.read_bronze(spark, bronze_path(out, "claims"), "claims").count() == 2
+
+
+def test_run_takes_up_where_it_stopped(spark, tmp_path):
+    claims, policies, out = str(tmp_path / "claims"), str(tmp_path / "policies"), str(tmp_path / "out")
+    write(tmp_path / "claims", "TX.csv", [text(CLAIM, CLAIM_COLUMNS)] * 2)
+    write(tmp_path / "policies", "TX.csv", [text(POLICY, POLICY_COLUMNS)], POLICY_COLUMNS)
+    first = run(spark, claims, policies, out, only_new=True)
+    assert (first.rows["claims_raw"], first.rows["fact_claims"], first.rows["fact_policies"]) == (2, 1, 1)
+    again = run(spark, claims, policies, out, only_new=True)
+    assert again.rows["claims_raw"] == 0 and not {"claims_cleaned", "policies_cleaned", "fact_claims"} & set(again.rows)
+    assert again.star.fact_claims.count() == 1 and again.checks.where("status = 'FAIL'").count() == 0
+    write(tmp_path / "claims", "FL.csv", [text(CLAIM | {"state": "FL"}, CLAIM_COLUMNS)], CLAIM_COLUMNS)
+    more = run(spark, claims, policies, out, only_new=True)
+    assert (more.rows["claims_raw"], more.rows["claims_cleaned"], more.rows["fact_claims"]) == (1, 2, 2)
+    assert "policies_cleaned" not in more.rows and more.bronze["claims"].count() == 3
+    # a refused file leaves the table as it was, and is tried again once mended
+    write(tmp_path / "claims", "NY.csv", ["bad"] * 101)
+    with pytest.raises(landing.TooManyBadRows):
+        land_csv(spark, claims, out, "claims", only_new=True)
+    assert landing.read_bronze(spark, bronze_path(out, "claims"), "claims").count() == 3
+    assert sorted(p.name for p in (tmp_path / "out" / "bronze").iterdir()) == ["claims_raw", "policies_raw"]
+    write(tmp_path / "claims", "NY.csv", [text(CLAIM | {"state": "NY"}, CLAIM_COLUMNS)], CLAIM_COLUMNS)
+    assert land_csv(spark, claims, out, "claims", only_new=True)["claims_raw"] == 1
+    assert land_csv(spark, claims, out, "claims")["claims_raw"] == 4
+
+
+def test_pages_are_landed(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / "1.json").write_text(json.dumps({ENVELOPE["claims"]: [CLAIM, CLAIM | {"state": "FL"}]}, indent=1))
+    (source / "2.json").write_text(json.dumps({"metadata": {}}))
+    (source / "3.json").write_text("{broken")
+    assert land_files(spark, str(source), out, "claims", kind="json") == {"claims_raw": 2, "claims_rejected": 1}
+    assert [r[landing.BAD] for r in landing.read_rejected(spark, bronze_path(out, "claims"), "claims").collect()] == ["{broken"]
+    (source / "4.json").write_text(json.dumps({ENVELOPE["claims"]: [CLAIM]}))
+    assert land_files(spark, str(source), out, "claims", only_new=True, kind="json")["claims_raw"] == 1
+    assert landing.read_bronze(spark, bronze_path(out, "claims"), "claims").count() == 3
+
+
 def test_profile(spark):
     rows = [CLAIM, CLAIM | {"countyCode": None, "amountPaidOnBuildingClaim": "10"}, CLAIM | {"state": "FL", "amountPaidOnBuildingClaim": "40", "dateOfLoss": "bad"}]
     df = spark.createDataFrame([tuple(r[c] for c in CLAIM_COLUMNS) for r in rows], ", ".join(f"{c} string" for c in CLAIM_COLUMNS))
