@@ -1,17 +1,17 @@
 """Approximate nearest neighbours with balanced posting lists.
 
-A bounded sample is split, balanced, into clusters; their centroids are the only part in memory,
-tied into a graph of near centroids. Every vector goes to the list of its nearest centroid, and
-boundary vectors to several: all whose distance is within a ratio of the nearest, unless a centroid
-already chosen is closer to the new one than the vector is. A query walks the graph to its nearest
-centroids and reads the lists within a ratio of the best distance. Lists are spread over tasks by
-a salt that grows with their size, so copies of one vector are no hot list.
+A bounded sample is split, balanced, into clusters; their centroids are the only part in memory.
+Every vector goes to the list of its nearest centroid, and boundary vectors to several: all whose
+distance is within a ratio of the nearest, unless a centroid already chosen is closer to the new one
+than the vector is. A query reads all lists within a ratio of its best distance, however many these
+are, measured against every centroid. Neighbouring lists share bins of a bounded size, long lists
+are dealt over several; a query goes once to every bin that holds one of its lists and is compared
+with all of the bin. So queries multiply by bins, not by lists, and copies of one vector are no hot
+list.
 """
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,12 +27,12 @@ LIST = 100
 MOST = 4096
 #: Squared distances up to this times the nearest: lists that a vector is put in, and the most of them.
 REPLICA_RATIO, REPLICAS = 1.25, 4
-#: The same for the lists that a query reads.
-QUERY_RATIO, PROBES = 1.7, 96
-DEGREE = 16
-BREADTH = 192
-#: Members of a list that one task searches.
-MEMBERS = 4096
+#: The same for the lists that a query reads, and the least number of them.
+QUERY_RATIO, LEAST_LISTS = 1.7, 8
+#: Numbers in the vectors of a bin, which one task searches at a time: least and most (32 MB).
+LEAST_VALUES, MOST_VALUES = 1 << 18, 1 << 22
+#: Queries that are measured together.
+TOGETHER = 64
 
 
 def balanced(x: np.ndarray, k: int, rng) -> np.ndarray:
@@ -78,63 +78,28 @@ def nearest(x: np.ndarray, centroids: np.ndarray, k: int) -> tuple[np.ndarray, n
     return np.concatenate(ids), np.concatenate(dist)
 
 
-class Graph:
-    """Centroids tied to their near ones both ways, walked best first."""
-
-    def __init__(self, centroids: np.ndarray):
-        self.centroids = centroids
-        near, _ = nearest(centroids, centroids, DEGREE + 1)
-        links = [set() for _ in centroids]
-        for i, row in enumerate(near):
-            for j in row:
-                if i != j:
-                    links[i].add(int(j))
-                    links[int(j)].add(i)
-        self.links = [np.array(sorted(s), np.int64) for s in links]
-        self.entries = self._entries()
-
-    def _entries(self) -> np.ndarray:
-        """One centroid of every part of the graph, and some spread ones."""
-        seen, out = np.zeros(len(self.links), bool), []
-        for i in range(len(self.links)):
-            if not seen[i]:
-                out.append(i)
-                stack = [i]
-                seen[i] = True
-                while stack:
-                    for j in self.links[stack.pop()]:
-                        if not seen[j]:
-                            seen[j] = True
-                            stack.append(int(j))
-        return np.unique(np.array(out + list(range(0, len(self.links), max(1, len(self.links) // 16))), np.int64))
-
-    def search(self, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        def distances(ids):
-            return ((self.centroids[ids] - q) ** 2).sum(axis=1)
-
-        seen = np.zeros(len(self.links), bool)
-        seen[self.entries] = True
-        found = list(zip(distances(self.entries).tolist(), self.entries.tolist()))
-        todo = list(found)
-        heapq.heapify(todo)
-        best = [(-d, i) for d, i in found]
-        heapq.heapify(best)
-        while len(best) > BREADTH:
-            heapq.heappop(best)
-        while todo:
-            d, i = heapq.heappop(todo)
-            if len(best) >= BREADTH and d > -best[0][0]:
-                break
-            new = self.links[i][~seen[self.links[i]]]
-            seen[new] = True
-            for dist, j in zip(distances(new).tolist(), new.tolist()):
-                if len(best) < BREADTH or dist < -best[0][0]:
-                    heapq.heappush(todo, (dist, j))
-                    heapq.heappush(best, (-dist, j))
-                    if len(best) > BREADTH:
-                        heapq.heappop(best)
-        order = sorted((-d, i) for d, i in best)[:k]
-        return np.array([i for _, i in order], np.int64), np.array([d for d, _ in order])
+def read_lists(x: np.ndarray, centroids: np.ndarray, ratio: float) -> np.ndarray:
+    """Whether a row's query reads a list: no farther than ``ratio`` times the best, or of the nearest few."""
+    d = np.maximum((x**2).sum(axis=1)[:, None] - 2 * x @ centroids.T + (centroids**2).sum(axis=1), 0)
+    few = min(LEAST_LISTS, len(centroids)) - 1
+    few = np.partition(d, few, axis=1)[:, few]
+    return d <= np.maximum(ratio * d.min(axis=1), few)[:, None] + 1e-12
+
+
+def bins(sizes: dict[int, int], per: int) -> dict[int, tuple[int, int]]:
+    """First bin and number of bins of every list: following lists fill a bin of ``per`` members, a longer list has bins of its own."""
+    out, at, room = {}, -1, 0
+    for i in sorted(sizes):
+        if sizes[i] > per:
+            shares = -(-sizes[i] // per)
+            out[i] = (at + 1, shares)
+            at, room = at + shares, 0
+            continue
+        if sizes[i] > room:
+            at, room = at + 1, per
+        out[i] = (at, 1)
+        room -= sizes[i]
+    return out
 
 
 def matrix(column, n: int) -> np.ndarray:
@@ -177,10 +142,10 @@ def neighbours(rows: DataFrame, queries: str, k: int = 5, vector: str = "embeddi
     n = rows.count()
     x = unit(np.array([r["v"] for r in sample if len(r["v"]) == dim]))
     centroids = balanced(x, max(1, min(MOST, n // LIST, len(x) // 4)), np.random.default_rng(7))
-    sent = spark.sparkContext.broadcast(Graph(centroids))
+    sent = spark.sparkContext.broadcast(centroids)
 
     def assign(batches):
-        own = sent.value.centroids
+        own = sent.value
         between = None
         for batch in batches:
             if not batch.num_rows:
@@ -198,55 +163,69 @@ def neighbours(rows: DataFrame, queries: str, k: int = 5, vector: str = "embeddi
             row, at = np.nonzero(keep)
             yield pa.RecordBatch.from_arrays([pa.array(ids[row, at].astype(np.int32)), *[batch.column(c).take(pa.array(row)) for c in ("vec_id", "v")]], names=["list", "vec_id", "v"])
 
+    posted = cut(rows.mapInArrow(assign, "list int, vec_id long, v array<double>"), "postings")
+    sizes = {r[0]: r[1] for r in posted.groupBy("list").count().collect()}  # a row for each list, MOST at most
+    per = max(1, min(MOST_VALUES // dim, max(LEAST_VALUES // dim, sum(sizes.values()) // (2 * partitions(rows)))))
+    place = bins(sizes, per)
+    held = spark.sparkContext.broadcast(place)
+
     def probe(batches):
-        graph = sent.value
+        own, places = sent.value, held.value
+        step = max(1, MOST_VALUES // dim)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = unit(matrix(batch.column("v"), batch.num_rows))
-            lists, row = [], []
-            for i, q in enumerate(x):
-                ids, dist = graph.search(q, PROBES)
-                near = ids[dist <= query_ratio * dist[0] + 1e-12] if len(ids) else ids
-                lists.append(near)
-                row.append(np.full(len(near), i))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lists).astype(np.int32)), *[batch.column(c).take(pa.array(np.concatenate(row))) for c in ("vec_id", "v")]], names=["list", "vec_id", "v"])
-
-    posted = cut(rows.mapInArrow(assign, "list int, vec_id long, v array<double>"), "postings")
-    asked = cut(rows.where(queries).mapInArrow(probe, "list int, vec_id long, v array<double>"), "probes")
-    shares = posted.groupBy("list").agg(F.count("*").alias("n")).select("list", F.ceil(F.col("n") / MEMBERS).cast("int").alias("shares"))
-    shares = F.broadcast(cut(shares, "shares"))  # a row for each list, MOST at most
-    members = posted.join(shares, "list").select("list", F.expr("pmod(xxhash64(vec_id), shares)").cast("int").alias("share"), F.lit(False).alias("asks"), "vec_id", "v")
-    calls = asked.join(shares, "list").select("list", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(True).alias("asks"), "vec_id", "v")
-    work = members.unionByName(calls).repartition(partitions(rows), "list", "share").sortWithinPartitions("list", "share", "asks", "vec_id")
+            for lo in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(lo, TOGETHER)
+                x = unit(matrix(part.column("v"), part.num_rows))
+                asked = [np.unique([b for i in np.flatnonzero(near).tolist() if i in places for b in range(places[i][0], sum(places[i]))]) for near in read_lists(x, own, query_ratio)]
+                row, at = np.repeat(np.arange(len(asked)), [len(a) for a in asked]), np.concatenate(asked).astype(np.int32)
+                for a in range(0, len(row), step):
+                    yield pa.RecordBatch.from_arrays([pa.array(at[a : a + step]), *[part.column(c).take(pa.array(row[a : a + step])) for c in ("vec_id", "v")]], names=["bin", "vec_id", "v"])
+
+    shares = F.broadcast(cut(spark.createDataFrame([(i, *b) for i, b in place.items()], "list int, first int, shares int"), "shares"))
+    members = posted.join(shares, "list").select(F.expr("first + pmod(xxhash64(vec_id), shares)").cast("int").alias("bin"), F.lit(False).alias("asks"), "vec_id", "v")
+    calls = rows.where(queries).mapInArrow(probe, "bin int, vec_id long, v array<double>").select("bin", F.lit(True).alias("asks"), "vec_id", "v")
+    work = members.unionByName(calls).repartition(partitions(rows), "bin").sortWithinPartitions("bin", "asks", "vec_id")
     found = work.mapInArrow(search_rows(k), "query_id long, vec_id long, score double")
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+def distinct(ids: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Each vector of an id once (lists of one bin can share it), and the most vectors that one id has."""
+    mixed = (np.ascontiguousarray(x).view(np.uint64) * (2 * np.arange(x.shape[1], dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))).sum(axis=1)
+    order = np.lexsort((mixed, ids))
+    ids, x, mixed = ids[order], x[order], mixed[order]
+    new = np.concatenate([[True], (ids[1:] != ids[:-1]) | (mixed[1:] != mixed[:-1]) | (x[1:] != x[:-1]).any(axis=1)])
+    ids, x = ids[new], x[new]
+    return ids, x, int(np.unique(ids, return_counts=True)[1].max())
+
+
 def cosine(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (x * q).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((q * q).sum()))
 
 
 def search_rows(k: int):
-    """The best of one list's share for every query that reads it."""
+    """The best of one bin for every query that reads it."""
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
-    def answer(ids, x, names, queries):
+    def answer(ids, x, most, names, queries):
         out = ([], [], [])
         if not len(ids):
             return None
-        near = unit(x)
-        for lo in range(0, len(names), 64):
-            sims = unit(queries[lo : lo + 64]) @ near.T
-            for name, q, s in zip(names[lo : lo + 64], queries[lo : lo + 64], sims):
+        near, wide = unit(x), k * most
+        for lo in range(0, len(names), TOGETHER):
+            sims = unit(queries[lo : lo + TOGETHER]) @ near.T
+            for name, q, s in zip(names[lo : lo + TOGETHER], queries[lo : lo + TOGETHER], sims):
                 s[ids == name] = -2.0
                 # rounding must not decide ties: everything near the k-th is measured again
-                least = np.partition(s, len(s) - k)[len(s) - k] if len(s) > k else -1.5
+                least = np.partition(s, len(s) - wide)[len(s) - wide] if len(s) > wide else -1.5
                 pick = np.flatnonzero((s >= least - 1e-9) & (s > -1.5))
                 exact = cosine(x[pick], q)
-                best = np.lexsort((ids[pick], -exact))[:k]
+                best = np.lexsort((ids[pick], -exact))
+                if most > 1:
+                    best = best[np.sort(np.unique(ids[pick][best], return_index=True)[1])]
+                best = best[:k]
                 out[0].append(np.full(len(best), name))
                 out[1].append(ids[pick][best])
                 out[2].append(exact[best])
@@ -257,24 +236,24 @@ def search_rows(k: int):
     def run(batches):
         now, ids, vectors, x = None, [], [], None
         for batch in batches:
-            key = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("list", "share", "asks")], axis=1)
+            key = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("bin", "asks")], axis=1)
             if not len(key):
                 continue
             bounds = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)]))
             for lo, hi in zip(bounds, np.append(bounds[1:], len(key))):
                 part = batch.slice(lo, hi - lo)
-                unit_key = tuple(key[lo, :2])
-                if unit_key != now:
-                    now, ids, vectors, x = unit_key, [], [], None
+                if key[lo, 0] != now:
+                    now, ids, vectors, x = key[lo, 0], [], [], None
                 names = part.column("vec_id").to_numpy()
                 block = matrix(part.column("v"), hi - lo)
-                if not key[lo, 2]:
+                if not key[lo, 1]:
                     ids.append(names)
                     vectors.append(block)
                 elif vectors:
                     if x is None:
-                        x, held = np.concatenate(vectors), np.concatenate(ids)
-                    if (result := answer(held, x, names, block)) is not None:
+                        held, x, most = distinct(np.concatenate(ids), np.concatenate(vectors))
+                        ids, vectors = ids[:1], vectors[:1]
+                    if (result := answer(held, x, most, names, block)) is not None:
                         yield result
 
     return run

@@ -307,6 +307,23 @@ def test_neighbours_against_brute_force(spark):
     assert vectors.neighbours(few.limit(0), "vec_id = 0", 5).count() == 0
 
 
+@pytest.mark.parametrize("each", [20, 4])  # 500 and 2,500 lists
+def test_neighbours_in_many_lists_without_clusters(spark, monkeypatch, each):
+    monkeypatch.setattr(vectors, "LIST", each)
+    x = np.random.default_rng(5).normal(size=(10_000, 64))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = vectors.neighbours(table, "vec_id % 100 = 0", 5).collect()
+    sims = (u := x / np.linalg.norm(x, axis=1, keepdims=True))[::100] @ u.T
+    sims[np.arange(100), np.arange(100) * 100] = -9
+    best = {(q * 100, int(v)) for q, row in enumerate(sims) for v in np.argsort(-row)[:5]}
+    assert len(got) == 500 and len(best & {(r.query_id, r.vec_id) for r in got}) >= 0.95 * 500
+
+
+def test_bins_hold_lists_whole_or_alone():
+    sizes = {0: 3, 1: 4, 2: 4, 4: 25, 5: 1, 6: 9}
+    assert vectors.bins(sizes, 10) == {0: (0, 1), 1: (0, 1), 2: (1, 1), 4: (2, 3), 5: (5, 1), 6: (5, 1)}
+
+
 # ------------------------------------------------------------------ suffix runs
 
 
