@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floodledger.llm.decontaminate import without_items
-from floodledger.llm.mixing import in_mixed_order
+from floodledger.llm.mixing import in_mixed_order, in_stretches
 from floodledger.llm.ngram_join import similar_documents
 from floodledger.llm.packing import packed
 from floodledger.llm.quality import accepted
@@ -45,8 +45,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids in packed rows."""
-    return packed(docs, 2048)
+    """Token ids in packed rows; by pack_id they follow the order of the mixture, whatever files the rows came in."""
+    return packed(in_stretches(docs.select(*COLUMNS)), 2048, stretch="stretch")
 
 
 STAGES = [

@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
-from floodledger.llm.store import cut
+from floodledger.llm.store import cut, partitions
 
 #: Hash buckets that a source is dealt into to number its rows: no task sees a whole source.
 BUCKETS_HEX = 3
 BLOCK_ROWS = 8
+#: Rows that stand together where the order of a mixture has to outlast files.
+STRETCH_ROWS = 1024
 #: A default weight is a whole number of so many parts.
 PARTS = 1000
 
@@ -141,3 +143,16 @@ def in_mixed_order(docs: DataFrame, weights: dict[str | None, int] | None = None
     """The rows of ``docs``, sorted by their place in the mixture."""
     mixed = mix_sources(docs, weights)
     return mixed.orderBy("position").select(*docs.columns)
+
+
+def in_stretches(docs: DataFrame, weights: dict[str | None, int] | None = None) -> DataFrame:
+    """The rows of ``docs`` with ``stretch``: the place in the mixture in steps of ``STRETCH_ROWS``.
+
+    Files do not keep the order of rows, so the places are worked out anew; they depend on the rows
+    and the weights only. A stretch is in one partition, partitions follow each other and are sorted.
+    """
+    n = max(1, -(-docs.count() // STRETCH_ROWS))
+    wide = min(n, partitions(docs))
+    placed = mix_sources(docs, weights).withColumn("stretch", F.expr(f"position div {STRETCH_ROWS}"))
+    dealt = placed.repartitionById(wide, F.expr(f"cast(stretch * {wide} div {n} as int)"))
+    return dealt.sortWithinPartitions("position").select(*[c for c in docs.columns if c != "stretch"], "stretch")

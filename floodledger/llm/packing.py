@@ -90,16 +90,22 @@ ARROW = pa.schema([
 ROWS_OUT = 512
 
 
-def pack_window(docs: list[tuple[int | None, np.ndarray]], length: int, pad: int, first: int) -> Iterator[pa.RecordBatch]:
-    whole, short = [], []
-    for doc, ids in docs:
+def pack_window(docs: list[tuple[int | None, np.ndarray]], length: int, pad: int, first: int, in_order: bool = False) -> Iterator[pa.RecordBatch]:
+    """``in_order``: rows go by the first of ``docs`` that they hold, not by length."""
+    whole, short, places = [], [], []
+    for n, (doc, ids) in enumerate(docs):
         full = len(ids) // length * length
-        whole += [(doc, o, ids[o : o + length]) for o in range(0, full, length)]
+        whole += [(n, doc, o, ids[o : o + length]) for o in range(0, full, length)]
         if full < len(ids):
             short.append((doc, full, ids[full:]))
-    rows = [[p] for p in whole]
+            places.append(n)
+    rows, firsts = [[p[1:]] for p in whole], [p[0] for p in whole]
     if short:
-        rows += [[short[i] for i in row] for row in best_fit_decreasing(np.array([len(p[2]) for p in short]), length)]
+        found = best_fit_decreasing(np.array([len(p[2]) for p in short]), length)
+        rows += [[short[i] for i in (sorted(row) if in_order else row)] for row in found]
+        firsts += [min(places[i] for i in row) for row in found]
+    if in_order:
+        rows = [rows[i] for i in np.argsort(firsts, kind="stable")]
     for lo in range(0, len(rows), ROWS_OUT):
         part = rows[lo : lo + ROWS_OUT]
         matrix = np.full((len(part), length), pad, part[0][0][2].dtype)
@@ -120,7 +126,7 @@ def pack_window(docs: list[tuple[int | None, np.ndarray]], length: int, pad: int
         ], schema=ARROW)
 
 
-def packed(docs: DataFrame, length: int = 2048, vocabulary: str = VOCABULARY, pattern: str | None = None, end: int = 50256, pad: int = 50256) -> DataFrame:
+def packed(docs: DataFrame, length: int = 2048, vocabulary: str = VOCABULARY, pattern: str | None = None, end: int = 50256, pad: int = 50256, stretch: str | None = None) -> DataFrame:
     """One row for each packed row of ``length`` ids.
 
     ``ids`` are little-endian unsigned numbers of two bytes (four if the vocabulary needs it),
@@ -130,6 +136,9 @@ def packed(docs: DataFrame, length: int = 2048, vocabulary: str = VOCABULARY, pa
     among the document's ids, so all pieces of a document together give it back. Every document
     ends with ``end``; a null or empty text is that id alone. A null doc_id stays null; repeated
     rows are packed again. ``pack_id`` holds the number of the task's partition and a counter.
+    ``stretch`` names a column of whole numbers by whose values the rows of every task stand together,
+    in the order that is to be kept: then no packed row has documents of two values, and ``pack_id``
+    holds the value and a counter that goes by each packed row's first document.
     The vocabulary is read on the driver and sent (some MB whatever the data).
     """
     if pattern is None:
@@ -142,17 +151,22 @@ def packed(docs: DataFrame, length: int = 2048, vocabulary: str = VOCABULARY, pa
         enc = encoder(*sent.value)
         kind = np.dtype("<u2") if max(enc.n_vocab, end + 1, pad + 1) <= 1 << 16 else np.dtype("<u4")
         base = TaskContext.get().partitionId() << 32
-        held, tokens, rows = [], 0, 0
+        held, tokens, rows, now = [], 0, 0, None
 
         def flush():
             nonlocal held, tokens, rows
-            for batch in pack_window(held, length, pad, base + rows):
+            for batch in pack_window(held, length, pad, base + rows, stretch is not None):
                 rows += batch.num_rows
                 yield batch
             held, tokens = [], 0
 
         for batch in batches:
-            for doc, text in zip(batch.column("doc_id"), batch.column("text")):
+            values = batch.column(stretch).to_pylist() if stretch else [None] * batch.num_rows
+            for doc, text, value in zip(batch.column("doc_id"), batch.column("text"), values):
+                if value != now:
+                    if held:
+                        yield from flush()
+                    now, base, rows = value, value << 32, 0
                 ids = np.array(enc.encode_ordinary(text.as_py() or "") + [end], kind)
                 held.append((doc.as_py(), ids))
                 tokens += len(ids)
@@ -161,4 +175,4 @@ def packed(docs: DataFrame, length: int = 2048, vocabulary: str = VOCABULARY, pa
         if held:
             yield from flush()
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return docs.select("doc_id", "text", *([stretch] if stretch else [])).mapInArrow(run, SCHEMA)

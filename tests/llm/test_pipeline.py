@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from floodledger.llm import packing
+from floodledger.llm import mixing, packing
 from floodledger.llm.store import cut
 
 SF = "/root/testdata/sf0.001"
@@ -54,3 +54,18 @@ def test_run(spark):
     assert out.columns[:2] == ["pack_id", "ids"] and out.count() > 0
     assert np.frombuffer(out.first().ids, "<u2").size == 2048
     assert packing.SCHEMA.startswith("pack_id long")
+
+
+def test_packs_follow_the_mixture_over_many_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(mixing, "STRETCH_ROWS", 64)
+    docs = spark.range(900).selectExpr("id AS doc_id", "repeat(concat('text ', id, ' '), cast(1 + id % 400 as int)) AS text", "'en' AS lang", "IF(id % 9 = 0, 'small', 'large') AS source", "10L AS n_chars")
+    place = {r.doc_id: r.position for r in mixing.mix_sources(docs).collect()}
+    for i in range(7):  # what mixing leaves, in files of several sizes
+        mixing.in_mixed_order(docs).where(f"doc_id % 28 BETWEEN {i * (i + 1) // 2} AND {(i + 1) * (i + 2) // 2 - 1}").coalesce(1).write.mode("append").parquet(str(tmp_path / "mixed"))
+    packs = sorted(corpus_pipeline.tokens(spark, spark.read.parquet(str(tmp_path / "mixed")), SF).collect(), key=lambda r: r.pack_id)
+    assert len({r.pack_id for r in packs}) == len(packs) and {d for r in packs for d in r.doc_ids} == set(range(900))
+    stretches = [{place[d] // 64 for d in r.doc_ids} for r in packs]
+    assert all(len(s) == 1 for s in stretches)
+    assert [min(s) for s in stretches] == sorted(min(s) for s in stretches)
+    firsts = [(min(place[d] for d in r.doc_ids)) for r in packs]
+    assert firsts == sorted(firsts)
