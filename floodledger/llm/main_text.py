@@ -21,8 +21,6 @@ from pyspark.sql import DataFrame
 OWN, OWN_INSIDE = 0.6, 0.3
 #: Weight of paths outside of the article on pages that have one.
 OUTSIDE = 0.0
-#: A path below this fused ratio holds no content on any page (a line of 60 characters with a stop).
-FLOOR = 60.0
 #: Share of the page's best fused ratio that content paths reach, without and with an article.
 SHARE, SHARE_INSIDE = 0.12, 0.05
 #: Punctuation that running text has, ASCII and wide.
@@ -209,7 +207,7 @@ def main_text(page: str) -> str:
     nodes = [b for b in blocks(page) if not b[1]]
     fused = ratios(nodes)
     best = max(fused.values(), default=0.0)
-    least = SHARE_INSIDE * best if any(b[2] for b in nodes) else max(FLOOR, SHARE * best)
+    least = SHARE_INSIDE * best if any(b[2] for b in nodes) else SHARE * best
     return "\n".join(b[3] for b in nodes if fused[b[2], b[0]] >= least)
 
 

@@ -404,6 +404,11 @@ def test_main_text():
     main_text.main_text("<div>" * 3000 + LINE)
 
 
+@pytest.mark.parametrize("lines", [["短い段落です。", "次の段落、です。"], ["这是短段落。", "第二段，也短。"], ["He left.", "She stayed."]])
+def test_short_paragraphs_without_article(lines):
+    assert main_text.main_text("<body><nav><a>x</a></nav><div>" + "".join(f"<p>{x}</p>" for x in lines) + "</div><footer>y</footer>") == "\n".join(lines)
+
+
 def test_extracted_awkward(spark):
     pages = spark.createDataFrame([(1, "u", None), (2, None, ""), (None, "u", f"<article>{LINE}</article>"), (1, "u", None)], "page_id long, url string, html string").withColumn("text", F.lit("other"))
     assert sorted(((r.page_id, r.url, r.n_chars) for r in main_text.extracted(pages).collect()), key=str) == sorted([(1, "u", 0), (2, None, 0), (None, "u", len(LINE) - 1), (1, "u", 0)], key=str)
