@@ -168,3 +168,89 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from floodledger.llm.personal import personal_data
 
     return personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of all documents."""
+    from floodledger.llm.toxicity import scored
+
+    return scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of five filters in all 120 orders, by source."""
+    from floodledger.llm.filter_audit import audit
+
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op12_filter_audit"] = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS part,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+        (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+        + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t))::INT
+        + 8 * regexp_matches(t, '[#$%&*|]')::INT
+        + 16 * coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false)::INT AS mask
+    FROM d LEFT JOIN l USING (doc_id)
+),
+n AS (SELECT part, mask, good, toxic, count(*) AS n FROM f GROUP BY ALL),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS b),
+perm AS (
+    SELECT p.x || q.x || r.x || s.x || t.x AS filter_order, [p.b, q.b, r.b, s.b, t.b] AS bits
+    FROM letter p, letter q, letter r, letter s, letter t WHERE p.b + q.b + r.b + s.b + t.b = 31 AND p.b | q.b | r.b | s.b | t.b = 31
+),
+step AS (
+    SELECT filter_order, bits[k] AS bit, coalesce(list_sum(bits[1:k - 1]), 0)::INT AS before, k::INT AS step
+    FROM (SELECT *, unnest(range(1, 6)) AS k FROM perm)
+),
+counts AS (
+    SELECT part, filter_order, step, bit, sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+        sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN n ELSE 0 END)::BIGINT AS removed,
+        sum(CASE WHEN mask & before > 0 AND mask & bit > 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+        sum(CASE WHEN mask = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+        sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN n * good ELSE 0 END)::BIGINT AS good_lost,
+        sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN n * toxic ELSE 0 END)::BIGINT AS toxic_lost
+    FROM n, step GROUP BY part, filter_order, step, bit
+)
+SELECT * EXCLUDE (bit), sum(removed) OVER (PARTITION BY part, bit)::BIGINT AS shapley FROM counts
+"""
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents rearranged for fill-in-the-middle training and put back, as digests."""
+    from pyspark.sql import functions as F
+
+    from floodledger.llm.fill_middle import fill_in_middle, restored
+
+    back = restored(fill_in_middle(table(spark, sf_dir, "documents")))
+    return back.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+ORACLES["op13_fill_in_middle"] = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u, sha256('7:' || doc_id) AS h
+    FROM documents WHERE doc_id IS NOT NULL
+),
+g AS (
+    SELECT doc_id, t, u, len(u) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(u) + 1) AS x, ('0x' || substr(h, 9, 8))::BIGINT % (len(u) + 1) AS y,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 100 THEN 'plain'
+            WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM d
+),
+p AS (
+    SELECT doc_id, t, n::BIGINT AS n, form, array_to_string(u[1:least(x, y)], '') AS pre,
+        array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS mid, array_to_string(u[greatest(x, y) + 1:n], '') AS suf FROM g
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM p
+"""
