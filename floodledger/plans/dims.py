@@ -10,6 +10,7 @@ from floodledger.functions.cleaning import or_unknown
 from floodledger.operators.members import (
     distinct_union,
     number_members,
+    registered,
     with_unknown,
     without_unknown,
 )
@@ -50,11 +51,23 @@ def dim_date(spark: SparkSession, start: str = DATE_RANGE[0], end: str = DATE_RA
     return with_unknown(date_attributes(date_series(spark, start, end)), unknown, GOLD["dim_date"])
 
 
+def _keyed(members: DataFrame, key: str, registry: str | None) -> DataFrame:
+    """Members with keys: numbered anew, or by a registry that keeps the keys given before.
+
+    ``registry`` is the folder of the registries of all dimensions.
+    """
+    if registry is None:
+        return number_members(members, key, members.columns)
+    return registered(members, key, f"{registry}/{key}")
+
+
 def county_or_default(county):
     return F.coalesce(county, F.lit(NO_COUNTY))
 
 
-def dim_location(claims: DataFrame, policies: DataFrame, states: DataFrame) -> DataFrame:
+def dim_location(
+    claims: DataFrame, policies: DataFrame, states: DataFrame, registry: str | None = None
+) -> DataFrame:
     """State and county pairs of both entities; a missing county is a member of its state."""
     members = distinct_union(
         *(
@@ -65,37 +78,35 @@ def dim_location(claims: DataFrame, policies: DataFrame, states: DataFrame) -> D
             for side, state in ((claims, "state"), (policies, "propertyState"))
         )
     )
-    named = members.join(states, "state_abbrev", "left").withColumns(
+    known = without_unknown(members, {"state_abbrev": "ZZ", "county_fips": NO_COUNTY})
+    named = _keyed(known, "location_key", registry).join(states, "state_abbrev", "left").withColumns(
         {"state_name": or_unknown(F.col("state_name")), "fema_region": F.coalesce("fema_region", F.lit(0))}
     )
-    known = without_unknown(named, {"state_abbrev": "ZZ", "county_fips": NO_COUNTY})
-    numbered = number_members(known, "location_key", ["state_abbrev", "county_fips"])
     return with_unknown(
-        numbered, (UNKNOWN_KEY, "ZZ", UNKNOWN, NO_COUNTY, 0), GOLD["dim_location"]
+        named, (UNKNOWN_KEY, "ZZ", UNKNOWN, NO_COUNTY, 0), GOLD["dim_location"]
     )
 
 
-def dim_flood_zone(claims: DataFrame, policies: DataFrame, zones: DataFrame) -> DataFrame:
+def dim_flood_zone(
+    claims: DataFrame, policies: DataFrame, zones: DataFrame, registry: str | None = None
+) -> DataFrame:
     """Zone codes of both entities with their category, which follows from the code alone."""
     members = distinct_union(
         *(
-            side.where(F.col("floodZone").isNotNull()).select(
-                F.col("floodZone").alias("flood_zone_code"),
-                derive.zone_category(F.col("floodZone")).alias("zone_category"),
-            )
+            side.where(F.col("floodZone").isNotNull()).select(F.col("floodZone").alias("flood_zone_code"))
             for side in (claims, policies)
         )
     )
-    described = members.join(zones, "zone_category", "left").withColumns(
+    known = _keyed(without_unknown(members, {"flood_zone_code": UNKNOWN}), "flood_zone_key", registry)
+    categorised = known.withColumn("zone_category", derive.zone_category(F.col("flood_zone_code")))
+    described = categorised.join(zones, "zone_category", "left").withColumns(
         {
             "zone_description": F.coalesce("zone_description", F.lit("Zone not mapped")),
             "is_special_flood_hazard": F.coalesce("is_special_flood_hazard", F.lit(0)),
         }
     )
-    known = without_unknown(described, {"flood_zone_code": UNKNOWN})
-    numbered = number_members(known, "flood_zone_key", ["flood_zone_code"])
     return with_unknown(
-        numbered, (UNKNOWN_KEY, UNKNOWN, UNKNOWN, "Zone not mapped", 0), GOLD["dim_flood_zone"]
+        described, (UNKNOWN_KEY, UNKNOWN, UNKNOWN, "Zone not mapped", 0), GOLD["dim_flood_zone"]
     )
 
 
@@ -118,33 +129,30 @@ def with_building_attributes(df: DataFrame) -> DataFrame:
     )
 
 
-def dim_building_type(claims: DataFrame, policies: DataFrame) -> DataFrame:
+def dim_building_type(claims: DataFrame, policies: DataFrame, registry: str | None = None) -> DataFrame:
     members = distinct_union(
         *(with_building_attributes(side).select(*BUILDING) for side in (claims, policies))
     )
     unknown = (UNKNOWN, UNKNOWN, UNKNOWN, 0, UNKNOWN)
     known = without_unknown(members, dict(zip(BUILDING, unknown)))
     return with_unknown(
-        number_members(known, "building_type_key", BUILDING),
+        _keyed(known, "building_type_key", registry),
         (UNKNOWN_KEY, *unknown),
         GOLD["dim_building_type"],
     )
 
 
-def dim_occupancy(claims: DataFrame, policies: DataFrame) -> DataFrame:
+def dim_occupancy(claims: DataFrame, policies: DataFrame, registry: str | None = None) -> DataFrame:
     """Occupancy codes of both entities. A missing code is no member: facts use the Unknown row."""
     code = F.col("occupancyType")
     members = distinct_union(
         *(
-            side.where(code.isNotNull()).select(
-                code.alias("occupancy_type"), derive.residential_flag(code).alias("residential_flag")
-            )
-            for side in (claims, policies)
+            side.where(code.isNotNull()).select(code.alias("occupancy_type")) for side in (claims, policies)
         )
     )
-    known = without_unknown(members, {"occupancy_type": UNKNOWN})
+    known = _keyed(without_unknown(members, {"occupancy_type": UNKNOWN}), "occupancy_key", registry)
     return with_unknown(
-        number_members(known, "occupancy_key", ["occupancy_type"]),
+        known.withColumn("residential_flag", derive.residential_flag(F.col("occupancy_type"))),
         (UNKNOWN_KEY, UNKNOWN, 0),
         GOLD["dim_occupancy"],
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from floodledger.functions import derive
 from floodledger.operators.lookup import resolve_key
 from floodledger.plans.dims import BUILDING, county_or_default, with_building_attributes
-from floodledger.schemas import GOLD, conform
+from floodledger.schemas import BUCKET, GOLD, ROW_KEY, conform
 
 
 def _resolve(
@@ -36,18 +36,12 @@ def _resolve(
     return fact
 
 
-def _surrogate() -> Column:
-    """A unique key without shuffle or global order.
+def fact_claims(claims: DataFrame, **dims: DataFrame) -> DataFrame:
+    """Claims with their dimension keys; takes the five dimensions by name.
 
-    The number is assigned while the written silver table is scanned, and is stored with the row;
-    a hash of the natural key would collide at the row counts this is meant for.
+    The key of a fact row is the identity of its cleaned row, so every build gives it the same key.
     """
-    return F.monotonically_increasing_id() + 1
-
-
-def fact_claims(claims: DataFrame, **dims: DataFrame) -> DataFrame:
-    """Claims with their dimension keys; takes the five dimensions by name."""
-    numbered = claims.withColumn("claim_sk", _surrogate())
+    numbered = claims.withColumn("claim_sk", F.col(ROW_KEY))
     fact = _resolve(numbered, "state", {"date_key": F.col("dateOfLoss")}, **dims)
     renamed = fact.withColumnsRenamed(
         {
@@ -60,12 +54,12 @@ def fact_claims(claims: DataFrame, **dims: DataFrame) -> DataFrame:
             "yearOfLoss": "year_of_loss",
         }
     )
-    return conform(renamed, GOLD["fact_claims"])
+    return conform(renamed, GOLD["fact_claims"], [BUCKET])
 
 
 def fact_policies(policies: DataFrame, **dims: DataFrame) -> DataFrame:
     """Policies with their dimension keys; the date dimension plays two roles."""
-    numbered = policies.withColumn("policy_sk", _surrogate())
+    numbered = policies.withColumn("policy_sk", F.col(ROW_KEY))
     dates = {
         "effective_date_key": F.col("policyEffectiveDate"),
         "termination_date_key": F.col("policyTerminationDate"),
@@ -80,4 +74,4 @@ def fact_policies(policies: DataFrame, **dims: DataFrame) -> DataFrame:
             "crsClassificationCode": "crs_class",
         }
     ).withColumn("policy_count", F.lit(1))
-    return conform(renamed, GOLD["fact_policies"])
+    return conform(renamed, GOLD["fact_policies"], [BUCKET])

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from floodledger.functions import derive
@@ -17,8 +18,11 @@ INGESTED = "ingestion_timestamp"
 
 def clean_claims(raw: DataFrame, key: Sequence[str] = CLAIM_KEY) -> DataFrame:
     """Latest row per claim key with a usable loss date, typed and enriched."""
-    usable = raw.select(*CLAIM_COLUMNS, INGESTED).where(to_date(F.col("dateOfLoss")).isNotNull())
-    kept = latest_per_key(usable, key, [INGESTED])
+    return typed_claims(latest_per_key(usable(raw, ENTITIES["claims"]), key, [INGESTED]))
+
+
+def typed_claims(kept: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Typed and enriched rows; ``carry`` names columns to hand through behind them."""
     zone = derive.flood_zone(F.col("ratedFloodZone"), F.col("floodZoneCurrent"))
     typed = kept.select(
         to_date(F.col("dateOfLoss")).alias("dateOfLoss"),
@@ -38,6 +42,7 @@ def clean_claims(raw: DataFrame, key: Sequence[str] = CLAIM_KEY) -> DataFrame:
         code(F.col("numberOfFloorsInTheInsuredBuilding")).alias("numberOfFloors"),
         F.trim("elevatedBuildingIndicator").alias("elevatedBuildingIndicator"),
         code(F.col("basementEnclosureCrawlspaceType")).alias("basementEnclosureCrawlspaceType"),
+        *carry,
     )
     enriched = typed.withColumns(
         {
@@ -47,15 +52,16 @@ def clean_claims(raw: DataFrame, key: Sequence[str] = CLAIM_KEY) -> DataFrame:
             "is_special_flood_hazard": derive.special_hazard(F.col("floodZone")),
         }
     )
-    return conform(enriched, SILVER["claims_cleaned"])
+    return conform(enriched, SILVER["claims_cleaned"], carry)
 
 
 def clean_policies(raw: DataFrame, key: Sequence[str] = POLICY_KEY) -> DataFrame:
     """Latest row per policy key with a usable effective date, typed and enriched."""
-    usable = raw.select(*POLICY_COLUMNS, INGESTED).where(
-        to_date(F.col("policyEffectiveDate")).isNotNull()
-    )
-    kept = latest_per_key(usable, key, [INGESTED])
+    return typed_policies(latest_per_key(usable(raw, ENTITIES["policies"]), key, [INGESTED]))
+
+
+def typed_policies(kept: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Typed and enriched rows; ``carry`` names columns to hand through behind them."""
     zone = derive.flood_zone(F.col("ratedFloodZone"), F.col("floodZoneCurrent"))
     typed = kept.select(
         code(F.col("propertyState")).alias("propertyState"),
@@ -76,6 +82,7 @@ def clean_policies(raw: DataFrame, key: Sequence[str] = POLICY_KEY) -> DataFrame
         derive.year_built(F.col("originalConstructionDate")).alias("yearBuilt"),
         F.trim("elevatedBuildingIndicator").alias("elevatedBuildingIndicator"),
         code(F.col("basementEnclosureCrawlspaceType")).alias("basementEnclosureCrawlspaceType"),
+        *carry,
     )
     enriched = typed.withColumns(
         {
@@ -84,7 +91,48 @@ def clean_policies(raw: DataFrame, key: Sequence[str] = POLICY_KEY) -> DataFrame
             "is_special_flood_hazard": derive.special_hazard(F.col("floodZone")),
         }
     )
-    return conform(enriched, SILVER["policies_cleaned"])
+    return conform(enriched, SILVER["policies_cleaned"], carry)
+
+
+@dataclass(frozen=True)
+class Entity:
+    """What the cleaning of an entity goes by."""
+
+    columns: list[str]
+    key: list[str]
+    date: str
+    typed: Callable[..., DataFrame]
+
+
+ENTITIES = {
+    "claims": Entity(CLAIM_COLUMNS, CLAIM_KEY, "dateOfLoss", typed_claims),
+    "policies": Entity(POLICY_COLUMNS, POLICY_KEY, "policyEffectiveDate", typed_policies),
+}
+
+
+def usable(raw: DataFrame, entity: Entity) -> DataFrame:
+    """The source columns and ingestion time of the rows whose date can be read."""
+    return raw.select(*entity.columns, INGESTED).where(to_date(F.col(entity.date)).isNotNull())
+
+
+def _key_hash(key: Sequence[str]) -> Column:
+    # in the order in which the dedup deals rows to tasks, so a task of it holds whole buckets
+    return F.hash(*reversed(key))
+
+
+def bucket_of(key: Sequence[str], buckets: int) -> Column:
+    return F.pmod(_key_hash(key), F.lit(buckets))
+
+
+def row_key(key: Sequence[str]) -> Column:
+    """128 bits of the landed key as hexadecimal digits, the same in every build.
+
+    The first 32 bits are the hash that buckets go by: two keys that collided would share a bucket
+    at any number of buckets, so looking for collisions inside buckets finds them all.
+    """
+    spelled = F.concat_ws("|", *(F.coalesce(F.concat(F.length(k), F.lit(":"), F.col(k)), F.lit("-")) for k in key))
+    lead = F.hex(F.pmod(_key_hash(key).cast("bigint"), F.lit(1 << 32)))
+    return F.concat(F.lower(F.lpad(lead, 8, "0")), F.substring(F.md5(spelled), 1, 24))
 
 
 def rejected(raw: DataFrame, date_column: str) -> DataFrame:

@@ -22,6 +22,11 @@ def _or_zero(name: str):
     return F.coalesce(F.col(name), F.lit(0))
 
 
+def _rows(fact: DataFrame):
+    """The number of fact rows, also of a fact that stands for sums of rows."""
+    return F.sum("row_count") if "row_count" in fact.columns else F.count(F.lit(1))
+
+
 def _year(star: Star, key: str = "date_key") -> tuple[DataFrame, str]:
     return star.dim_date.select(F.col("date_key").alias(key), "year"), key
 
@@ -68,7 +73,7 @@ def frequency_severity(star: Star) -> DataFrame:
     by = ["zone_category", "year"]
     claims = _total(
         star.fact_claims, [_year(star), zones], by,
-        claim_count=F.count(F.lit(1)), total_paid=F.sum("amount_paid_total"),
+        claim_count=_rows(star.fact_claims), total_paid=F.sum("amount_paid_total"),
     )
     exposure = _total(
         star.fact_policies, [_year(star, "effective_date_key"), zones], by,
@@ -159,7 +164,7 @@ def premium_adequacy(
         star.fact_policies, edges, keys,
         total_exposure=F.sum("exposure"),
         premium=F.sum("total_premium"),
-        policy_count=F.count(F.lit(1)),
+        policy_count=_rows(star.fact_policies),
     )
     joined = drill_across(claims, policies, keys).withColumns(
         {
@@ -185,7 +190,7 @@ def claims_development(star: Star) -> DataFrame:
     year = F.col("year_of_loss")
     totals = _total(
         star.fact_claims.where(year.isNotNull()), [], ["year_of_loss"],
-        claim_count=F.count(F.lit(1)),
+        claim_count=_rows(star.fact_claims),
         total_paid=F.sum("amount_paid_total"),
         total_building_paid=F.sum("amount_paid_building"),
         total_contents_paid=F.sum("amount_paid_contents"),
@@ -210,13 +215,13 @@ def portfolio_summary(star: Star) -> DataFrame:
     # policy_sk is unique by construction, so counting rows counts policies
     policies = _total(
         star.fact_policies, [_year(star, "effective_date_key")], ["year"],
-        total_policies=F.count(F.lit(1)),
+        total_policies=_rows(star.fact_policies),
         total_exposure=F.sum("exposure"),
         total_premium=F.sum("total_premium"),
     )
     claims = _total(
         star.fact_claims, [_year(star)], ["year"],
-        total_claims_paid=F.sum("amount_paid_total"), claim_count=F.count(F.lit(1)),
+        total_claims_paid=F.sum("amount_paid_total"), claim_count=_rows(star.fact_claims),
     )
     yearly = policies.join(claims, "year", "left").withColumns(
         {"total_claims_paid": _or_zero("total_claims_paid"), "claim_count": _or_zero("claim_count")}
@@ -248,7 +253,8 @@ def portfolio_summary(star: Star) -> DataFrame:
 
 def earned_premium(star: Star, place: str = "state_name") -> DataFrame:
     """Premium earned over the time in force, per place and effective year."""
-    earned = derive.earned_premium(F.col("total_premium"), F.col("exposure"))
+    summed = "earned_premium" in star.fact_policies.columns
+    earned = F.col("earned_premium") if summed else derive.earned_premium(F.col("total_premium"), F.col("exposure"))
     places = (star.dim_location.select("location_key", place), "location_key")
     return _total(
         star.fact_policies, [_year(star, "effective_date_key"), places], [place, "year"],

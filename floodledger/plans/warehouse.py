@@ -9,9 +9,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floodledger.plans import dims, facts, quality, silver
-from floodledger.plans.layers import Silver, Star, read_layer
-from floodledger.schemas import ENVELOPE, SOURCE_COLUMNS, ref_flood_zone_info, ref_state_info
+from floodledger.plans import condensed, dims, facts, merge, quality
+from floodledger.plans.layers import Silver, Star, read_layer, read_table
+from floodledger.plans.silver import ENTITIES
+from floodledger.schemas import BUCKET, ENVELOPE, SOURCE_COLUMNS, ref_flood_zone_info, ref_state_info
+from floodledger.session import at_once
 from floodledger.sources.landing import (
     FILE,
     LOAD,
@@ -33,7 +35,6 @@ from floodledger.sources.sinks import exists, overwrite, remove, switch
 #: Names of loads begin so: those that replace a table, and those that add files to it.
 FULL = "full"
 NEW = "new"
-CLEANED = {"claims": silver.clean_claims, "policies": silver.clean_policies}
 
 
 @dataclass
@@ -106,11 +107,13 @@ def land_csv(
     return land_files(spark, source, out, entity, limit, only_new)
 
 
-def land_table(df: DataFrame, out: str, entity: str) -> dict[str, int]:
-    """A table that has the bronze columns already, as the bronze table."""
-    landed = df.withColumns({LOAD: F.lit(f"{FULL}-{uuid.uuid4().hex}"), REJECTED: F.lit(0)})
-    rows = overwrite(landed, bronze_path(out, entity), [LOAD, REJECTED])
-    return {f"{entity}_raw": rows}
+def land_table(df: DataFrame, out: str, entity: str, only_new: bool = False) -> dict[str, int]:
+    """A table that has the bronze columns already, as the bronze table or as a further load of it."""
+    path, name = bronze_path(out, entity), f"{NEW if only_new else FULL}-{uuid.uuid4().hex}"
+    if only_new and exists(df.sparkSession, path):
+        return {f"{entity}_raw": overwrite(df.withColumn(REJECTED, F.lit(0)), f"{path}/{LOAD}={name}", [REJECTED])}
+    landed = df.withColumns({LOAD: F.lit(name), REJECTED: F.lit(0)})
+    return {f"{entity}_raw": overwrite(landed, path, [LOAD, REJECTED])}
 
 
 def loads(spark: SparkSession, out: str, entity: str) -> set[str]:
@@ -119,57 +122,114 @@ def loads(spark: SparkSession, out: str, entity: str) -> set[str]:
     return {row[LOAD] for row in table.select(LOAD).distinct().collect()}
 
 
-def built_from(spark: SparkSession, mark: str) -> set[str] | None:
-    """Names of the loads that a table was last built from, None if it was not finished."""
-    if not exists(spark, mark):
-        return None
-    return {row[LOAD] for row in spark.read.schema(f"{LOAD} string").parquet(mark).collect()}
-
-
-def mark_built(spark: SparkSession, mark: str, names: set[str]) -> None:
-    overwrite(spark.createDataFrame([(n,) for n in sorted(names)], f"{LOAD} string"), mark)
-
-
 def build_silver(
     bronze: dict[str, DataFrame],
     out: str,
     states: DataFrame | None = None,
     zones: DataFrame | None = None,
-    entities: Iterable[str] = CLEANED,
+    entities: Iterable[str] = tuple(ENTITIES),
+    buckets: int | None = None,
 ) -> tuple[Silver, dict[str, int]]:
-    """Clean the entities and write them with the reference tables."""
+    """Clean the entities and write them, in buckets of their keys, with the reference tables."""
     spark = bronze["claims"].sparkSession
-    tables = {f"{entity}_cleaned": CLEANED[entity](bronze[entity]) for entity in entities} | {
+    buckets = buckets or merge.default_buckets(spark)
+    path = f"{out}/silver"
+    rebuild = lambda e: lambda: merge.rebuild(bronze[e], f"{path}/{e}_cleaned", e, buckets)
+    rows = at_once(spark, {f"{e}_cleaned": rebuild(e) for e in entities})
+    return _with_references(spark, path, states, zones, rows)
+
+
+def _with_references(
+    spark: SparkSession, path: str, states: DataFrame | None, zones: DataFrame | None, rows: dict[str, int]
+) -> tuple[Silver, dict[str, int]]:
+    references = {
         "ref_state_info": ref_state_info(spark) if states is None else states,
         "ref_flood_zone_info": ref_flood_zone_info(spark) if zones is None else zones,
     }
-    rows = {name: overwrite(df, f"{out}/silver/{name}") for name, df in tables.items()}
-    return read_layer(spark, f"{out}/silver", Silver), rows
+    rows = rows | {name: overwrite(df, f"{path}/{name}") for name, df in references.items()}
+    return read_layer(spark, path, Silver), rows
+
+
+FACTS = {"fact_claims": (facts.fact_claims, "claims_cleaned"), "fact_policies": (facts.fact_policies, "policies_cleaned")}
+
+
+def _write_dims(claims: DataFrame, policies: DataFrame, layer: Silver, path: str) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """The dimensions with all members known so far and those of the given rows; known ones keep their keys."""
+    spark, registry = claims.sparkSession, f"{path}/members"
+    tables = {
+        "dim_date": lambda: dims.dim_date(spark),
+        "dim_location": lambda: dims.dim_location(claims, policies, layer.ref_state_info, registry),
+        "dim_flood_zone": lambda: dims.dim_flood_zone(claims, policies, layer.ref_flood_zone_info, registry),
+        "dim_building_type": lambda: dims.dim_building_type(claims, policies, registry),
+        "dim_occupancy": lambda: dims.dim_occupancy(claims, policies, registry),
+    }
+    write = lambda name: lambda: overwrite(tables[name](), f"{path}/{name}")
+    rows = at_once(spark, {name: write(name) for name in tables})
+    return {name: read_table(spark, path, name) for name in tables}, rows
 
 
 def build_gold(layer: Silver, out: str) -> tuple[Star, dict[str, int]]:
-    """Build and write the dimensions, then the facts against the written dimensions.
+    """Build and write the dimensions, then the facts against the written dimensions, then the facts' sums.
 
-    Facts are not partitioned by year or state: no view prunes on them, and a hot state or year
-    would end up in a few large partitions. Parquet statistics still skip row groups.
+    Facts are stored in the buckets of the cleaned tables and not by year or state: no view prunes on
+    these, and a hot state or year would end up in a few large partitions. Parquet statistics still
+    skip row groups.
     """
-    claims, policies = layer.claims_cleaned, layer.policies_cleaned
-    spark = claims.sparkSession
     path = f"{out}/gold"
-    tables = {
-        "dim_date": dims.dim_date(spark),
-        "dim_location": dims.dim_location(claims, policies, layer.ref_state_info),
-        "dim_flood_zone": dims.dim_flood_zone(claims, policies, layer.ref_flood_zone_info),
-        "dim_building_type": dims.dim_building_type(claims, policies),
-        "dim_occupancy": dims.dim_occupancy(claims, policies),
-    }
-    rows = {name: overwrite(df, f"{path}/{name}") for name, df in tables.items()}
-    written = {name: spark.read.schema(df.schema).parquet(f"{path}/{name}") for name, df in tables.items()}
-    rows["fact_claims"] = overwrite(facts.fact_claims(claims, **written), f"{path}/fact_claims")
-    rows["fact_policies"] = overwrite(facts.fact_policies(policies, **written), f"{path}/fact_policies")
+    written, rows = _write_dims(layer.claims_cleaned, layer.policies_cleaned, layer, path)
+    spark = layer.claims_cleaned.sparkSession
+    write = lambda name, build, source: lambda: overwrite(build(getattr(layer, source), **written), f"{path}/{name}", [BUCKET])
+    rows |= at_once(spark, {name: write(name, *how) for name, how in FACTS.items()})
+    star = read_layer(spark, path, Star)
+    condensed.write_all(star, path)
+    return star, rows
+
+
+def merge_gold(layer: Silver, out: str, touched: dict[str, list[int]]) -> tuple[Star, dict[str, int]]:
+    """Bring the star up to date after some buckets of the cleaned tables have changed.
+
+    Only their rows are looked at for new members, only their fact buckets are written, and only what these
+    change is added to the sums.
+    """
+    path, spark = f"{out}/gold", layer.claims_cleaned.sparkSession
+    changed = {e: read_table(spark, f"{out}/silver", f"{e}_cleaned", touched[e]) for e in ENTITIES}
+    written, rows = _write_dims(changed["claims"], changed["policies"], layer, path)
+
+    def update(name: str, entity: str) -> int:
+        build, _ = FACTS[name]
+        # what went is counted before its buckets are overwritten, what came after
+        load = f"load={NEW}-{uuid.uuid4().hex}"
+        staged = f"{path}/condensed_staged/{name}"
+        went = condensed.sums(condensed.signed(read_table(spark, path, name, touched[entity]), name, -1), name)
+        overwrite(went, f"{staged}/{load}-went", [condensed.GRAIN])
+        overwrite(build(changed[entity], **written), f"{path}/{name}", [BUCKET], touched_only=True)
+        came = condensed.sums(condensed.signed(read_table(spark, path, name, touched[entity]), name, 1), name)
+        overwrite(came, f"{staged}/{load}-came", [condensed.GRAIN])
+        for part in ("went", "came"):
+            switch(spark, f"{staged}/{load}-{part}", f"{condensed.folder(path, name)}/{load}-{part}")
+        return read_table(spark, path, name).count()
+
+    each = zip(FACTS, ENTITIES)
+    rows |= at_once(spark, {name: lambda n=name, e=entity: update(n, e) for name, entity in each if touched[entity]})
+    remove(spark, f"{path}/condensed_staged")
     return read_layer(spark, path, Star), rows
 
 
+def _lacks(
+    spark: SparkSession, mark: str, names: set[str], only_new: bool, buckets: int
+) -> tuple[set[str] | None, int]:
+    """The loads that a table was not built from and its number of buckets; None for the loads if they cannot be merged."""
+    built = merge.built_from(spark, mark) if only_new else None
+    if built is None or not built[0] <= names:
+        return None, buckets
+    return names - built[0], built[1]
+
+
+def _unmark_star(spark: SparkSession, out: str) -> None:
+    for entity in ENTITIES:
+        merge.unmark(spark, f"{out}/gold/{entity}_built_from")
+
+
 def run(
     spark: SparkSession,
     claims: str | DataFrame,
@@ -181,11 +241,14 @@ def run(
     stop_on_failure: bool = False,
     only_new: bool = False,
     kind: str = "csv",
+    checks: bool = True,
 ) -> Result:
     """Everything in order. Inputs are folders of files, or tables that already have bronze columns.
 
-    With ``only_new`` a run takes up where earlier ones stopped: files landed before are left out,
-    and a cleaned table or the star is built only if bronze has loads that it was not built from.
+    With ``only_new`` a run takes up where earlier ones stopped: files landed before are left out, a
+    table given is a further load, and the loads that a cleaned table or the star lacks are merged
+    into the buckets that they touch. What a run that died left unfinished is built anew. ``checks=False``
+    leaves out the suites, for the loads before the last of several.
     """
     result = Result(out)
     taken: dict[str, set[str]] = {}
@@ -193,29 +256,59 @@ def run(
         if isinstance(source, str):
             result.rows |= land_files(spark, source, out, entity, only_new=only_new, kind=kind)
         else:
-            result.rows |= land_table(source, out, entity)
+            result.rows |= land_table(source, out, entity, only_new)
         result.bronze[entity] = read_bronze(spark, bronze_path(out, entity), entity)
         taken[entity] = loads(spark, out, entity)
-    marks = {entity: f"{out}/silver/{entity}_built_from" for entity in taken}
-    stale = [e for e in taken if not only_new or built_from(spark, marks[e]) != taken[e]]
-    result.silver, rows = build_silver(result.bronze, out, states, zones, stale)
+
+    buckets = merge.default_buckets(spark)
+    # the loads of an entity that its cleaned table, or the star, has not taken in; None: it has to be built anew
+    silver_lacks, silver_buckets = {}, {}
+    for entity, names in taken.items():
+        silver_lacks[entity], silver_buckets[entity] = _lacks(spark, f"{out}/silver/{entity}_built_from", names, only_new, buckets)
+    rows: dict[str, int] = {}
+    for entity, new in silver_lacks.items():
+        if new is None or new:
+            path, mark = f"{out}/silver/{entity}_cleaned", f"{out}/silver/{entity}_built_from"
+            merge.unmark(spark, mark)
+            if new is None:
+                rows[f"{entity}_cleaned"] = merge.rebuild(result.bronze[entity], path, entity, silver_buckets[entity])
+            else:
+                fresh = merge.of_loads(spark, bronze_path(out, entity), entity, new)
+                touched = merge.touched_buckets(fresh, entity, silver_buckets[entity])
+                rows[f"{entity}_cleaned"] = merge.merge(fresh, path, entity, silver_buckets[entity], touched)
+            merge.mark_built(spark, mark, taken[entity], silver_buckets[entity])
+    result.silver, rows = _with_references(spark, f"{out}/silver", states, zones, rows)
     result.rows |= rows
-    for entity in stale:
-        mark_built(spark, marks[entity], taken[entity])
-    everything = {f"{entity} {name}" for entity, names in taken.items() for name in names}
-    star_mark = f"{out}/gold/built_from"
+
     given = states is not None or zones is not None
-    if stale or given or built_from(spark, star_mark) != everything:
+    star_lacks = {}
+    for entity, names in taken.items():
+        mark = f"{out}/gold/{entity}_built_from"
+        star_lacks[entity], known = _lacks(spark, mark, names, only_new, buckets)
+        if silver_lacks[entity] is None or known != silver_buckets[entity]:
+            star_lacks[entity] = None
+    if None in star_lacks.values():
+        _unmark_star(spark, out)
         result.star, rows = build_gold(result.silver, out)
-        result.rows |= rows
-        mark_built(spark, star_mark, everything)
+    elif given or any(star_lacks.values()):
+        touched = {}
+        for entity, new in star_lacks.items():
+            fresh = merge.of_loads(spark, bronze_path(out, entity), entity, new)
+            touched[entity] = merge.touched_buckets(fresh, entity, silver_buckets[entity]) if new else []
+        _unmark_star(spark, out)
+        result.star, rows = merge_gold(result.silver, out, touched)
     else:
-        result.star = read_layer(spark, f"{out}/gold", Star)
-    checks = quality.silver_suite(result.bronze, result.silver).unionByName(
+        result.star, rows = read_layer(spark, f"{out}/gold", Star), {}
+    result.rows |= rows
+    for entity, names in taken.items():
+        merge.mark_built(spark, f"{out}/gold/{entity}_built_from", names, silver_buckets[entity])
+    if not checks:
+        return result
+    suites = quality.silver_suite(result.bronze, result.silver).unionByName(
         quality.gold_suite(result.bronze, result.silver, result.star, strict)
     )
-    result.rows["checks"] = overwrite(checks, f"{out}/checks")
-    result.checks = spark.read.schema(checks.schema).parquet(f"{out}/checks")
+    result.rows["checks"] = overwrite(suites, f"{out}/checks")
+    result.checks = spark.read.schema(suites.schema).parquet(f"{out}/checks")
     if stop_on_failure:
         quality.raise_on_failure(result.checks)
     return result

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from functools import lru_cache
 
 import pyarrow as pa
@@ -171,6 +172,10 @@ SILVER = {
     ),
 }
 
+#: Identity of a cleaned row, and the folder that it is stored in.
+ROW_KEY, BUCKET = "row_key", "bucket"
+STORED = f"{ROW_KEY} string, {BUCKET} int"
+
 GOLD = {
     "dim_date": (
         "date_key int, full_date date, year int, quarter int, month int, month_name string,"
@@ -189,13 +194,13 @@ GOLD = {
     ),
     "dim_occupancy": "occupancy_key int, occupancy_type string, residential_flag int",
     "fact_claims": (
-        "claim_sk bigint, date_key int, location_key int, flood_zone_key int, building_type_key int,"
+        "claim_sk string, date_key int, location_key int, flood_zone_key int, building_type_key int,"
         " occupancy_key int, amount_paid_building decimal(18,2), amount_paid_contents decimal(18,2),"
         " amount_paid_total decimal(18,2), total_building_coverage decimal(18,2),"
         " total_contents_coverage decimal(18,2), cause_of_damage string, year_of_loss int"
     ),
     "fact_policies": (
-        "policy_sk bigint, effective_date_key int, termination_date_key int, location_key int,"
+        "policy_sk string, effective_date_key int, termination_date_key int, location_key int,"
         " flood_zone_key int, building_type_key int, occupancy_key int, total_premium decimal(18,2),"
         " deductible_amount decimal(18,2), building_coverage decimal(18,2),"
         " contents_coverage decimal(18,2), exposure decimal(8,6), crs_class string, policy_count int"
@@ -224,8 +229,12 @@ def ref_flood_zone_info(spark: SparkSession) -> DataFrame:
     return inline_rows(spark, ZONE_ROWS, SILVER["ref_flood_zone_info"])
 
 
-def conform(df: DataFrame, ddl: str) -> DataFrame:
-    """Order and type the columns as the table schema says; a missing column is an error."""
+def conform(df: DataFrame, ddl: str, carry: Sequence[str] = ()) -> DataFrame:
+    """Order and type the columns as the table schema says; a missing column is an error.
+
+    ``carry`` names columns to keep behind them as they are.
+    """
     return df.selectExpr(
-        *(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in struct(ddl))
+        *(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in struct(ddl)),
+        *(f"`{c}`" for c in carry),
     )

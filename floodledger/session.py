@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -27,6 +30,15 @@ def builder(app: str = "floodledger") -> SparkSession.Builder:
     return b
 
 
+def at_once(spark: SparkSession, steps: Mapping[str, Callable[[], object]]) -> dict[str, object]:
+    """Results of a few independent steps whose jobs share the executors, so short ones do not wait for each other."""
+    if not steps:
+        return {}
+    with ThreadPoolExecutor(len(steps)) as pool:
+        started = {name: pool.submit(inheritable_thread_target(spark)(step)) for name, step in steps.items()}
+        return {name: step.result() for name, step in started.items()}
+
+
 def work_folder(spark: SparkSession, *parts: str) -> str:
     """A new folder below the shared checkpoint folder of the session, else below the warehouse.
 

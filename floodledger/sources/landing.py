@@ -292,9 +292,11 @@ def _stored(schema: T.StructType) -> T.StructType:
     return schema.add(LOAD, T.StringType()).add(REJECTED, T.IntegerType())
 
 
-def read_bronze(spark: SparkSession, path: str, entity: str) -> DataFrame:
-    """The well-formed rows of a landed table; the malformed ones are pruned as a partition."""
+def read_bronze(spark: SparkSession, path: str, entity: str, loads: Sequence[str] | None = None) -> DataFrame:
+    """The well-formed rows of a landed table, or of some of its loads; the others are pruned as partitions."""
     rows = spark.read.schema(_stored(bronze_schema(entity))).parquet(path)
+    if loads is not None:
+        rows = rows.where(F.col(LOAD).isin(list(loads)))
     return rows.where(F.col(REJECTED) == 0).drop(LOAD, REJECTED)
 
 

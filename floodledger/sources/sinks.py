@@ -56,12 +56,25 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def switch(spark: SparkSession, staged: str, path: str) -> None:
-    """Put a finished folder in the place of another, which goes."""
-    (_, new), (files, old) = _files(spark, staged), _files(spark, path)
+    """Put a finished folder in the place of another, which goes.
+
+    The old folder is moved aside first and deleted last; if the new one cannot be moved the old one goes back.
+    """
+    (_, new), (files, old), (_, aside) = _files(spark, staged), _files(spark, path), _files(spark, f"{path}_aside")
     files.mkdirs(old.getParent())
-    files.delete(old, True)
-    if not files.rename(new, old):
+    if files.exists(old):
+        files.delete(aside, True)
+        if not files.rename(old, aside):
+            raise OSError(f"{path} could not be moved aside")
+    try:
+        moved = files.rename(new, old)
+    except Exception:
+        moved = False
+    if not moved:
+        if files.exists(aside) and not files.exists(old):
+            files.rename(aside, old)
         raise OSError(f"{staged} could not be moved to {path}")
+    files.delete(aside, True)
 
 
 def write_csv_by_state(df: DataFrame, path: str, state_column: str) -> None:

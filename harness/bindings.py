@@ -159,6 +159,32 @@ def bronze(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     return to_bronze(landed, entity, ingested=ingestion_time(F.col(INGEST_SEQ))).drop(INGEST_SEQ)
 
 
+#: Loads of a delivery in parts, and the columns outside of the keys that outdated versions differ in.
+LOADS = 3
+OUTDATED = {
+    "claims": {"occupancyType": "9", "ratedFloodZone": "V99", "totalBuildingInsuranceCoverage": "1.00"},
+    "policies": {"occupancyType": "9", "ratedFloodZone": "V99"},
+}
+
+
+def delivery(bronze: DataFrame, entity: str, load: int) -> DataFrame:
+    """The bronze rows of one of several loads, by their ingestion second.
+
+    The last part comes first, so later loads hold older versions of some keys. The first load also
+    has an outdated version of every row, older than all others and with other values: what the
+    loads leave behind is what all rows together give.
+    """
+    second = F.unix_timestamp("ingestion_timestamp")
+    part = bronze.where(second % LOADS == LOADS - 1 - load)
+    if load:
+        return part
+    old = bronze.withColumns(
+        {c: F.lit(v) for c, v in OUTDATED[entity].items()}
+        | {"ingestion_timestamp": F.timestamp_seconds(second - 1_000_000_000)}
+    )
+    return part.unionByName(old)
+
+
 def state_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regions as the state reference table."""
     return table(spark, sf_dir, "region").select(

@@ -5,6 +5,7 @@ from harness.catalog import (  # noqa: F401
     columns,
     incremental,
     joins,
+    merged,
     quality,
     reading,
     star,

@@ -10,6 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from floodledger.plans.condensed import condensed_star
 from floodledger.plans.layers import Silver, Star
 from floodledger.plans.warehouse import Result, build_gold, build_silver, run
 from floodledger.schemas import bronze_schema
@@ -56,6 +57,19 @@ class Workspace:
     def policies(self) -> DataFrame:
         return self.silver.policies_cleaned
 
+    @cached_property
+    def merged(self) -> Result:
+        """The rows in three loads, newest first; the first has outdated versions of later rows as well."""
+        out, result = self.scratch("merged"), None
+        for load in range(bindings.LOADS):
+            given = {e: bindings.delivery(self.bronze(e), e, load) for e in ("claims", "policies")}
+            result = run(self.spark, given["claims"], given["policies"], out, self.states, only_new=True, checks=False)
+        return result
+
+    def condensed(self, grain: str) -> Star:
+        """The star of the merged loads with the merged sums in the place of facts."""
+        return condensed_star(self.merged.star, f"{self.merged.path}/gold", grain)
+
     def scratch(self, name: str) -> str:
         """A new folder for files a query writes and reads back."""
         return work_folder(self.spark, name)
