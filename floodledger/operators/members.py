@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from floodledger.schemas import conform, inline_rows
-from floodledger.session import work_folder
+from floodledger.session import written
 from floodledger.sources.sinks import exists, overwrite, remove, switch
 
 
@@ -30,10 +30,7 @@ def number_members(members: DataFrame, key: str, order: Sequence[str], after: in
     spark = members.sparkSession
     by = [F.asc_nulls_first(c) for c in order]
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = work_folder(spark, "members")
-    dealt = members.repartitionByRange(ranges, *by).withColumn("_range", F.spark_partition_id())
-    dealt.write.parquet(path)
-    stored = spark.read.schema(dealt.schema).parquet(path)
+    stored = written(members.repartitionByRange(ranges, *by).withColumn("_range", F.spark_partition_id()), "members")
     # one row per range, so this window is small whatever the number of members
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = stored.groupBy("_range").count().select(

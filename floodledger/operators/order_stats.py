@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from floodledger.session import written
+
 # Low bits dropped in each step. Values are whole numbers; the last step looks at the values.
 STEPS = (42, 21, 0)
 
@@ -123,8 +124,8 @@ def middle_values(numbers: DataFrame, by: str, value: str) -> DataFrame:
     """
     counts = numbers.where(F.col(value).isNotNull() & ~F.isnan(value)).groupBy(by, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
     n = int(numbers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # kept: another evaluation could draw other ranges
-    dealt = counts.repartitionByRange(n, by, "_v").withColumn("_part", F.spark_partition_id()).persist(StorageLevel.DISK_ONLY)
+    # written: another evaluation could draw other ranges
+    dealt = written(counts.repartitionByRange(n, by, "_v").withColumn("_part", F.spark_partition_id()), "ranges")
     ranges = dealt.groupBy("_part", by).agg(F.sum("_n").alias("_size"))
     whole = Window.partitionBy(by)
     ranges = ranges.withColumns({

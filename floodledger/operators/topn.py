@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from floodledger.session import written
+
 # Fan-in of the salted rounds below.
 FAN_IN = 32
 
@@ -67,8 +68,8 @@ def page(
     if not skip:
         return rows.orderBy(*order).limit(top)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # kept: another evaluation could draw other ranges
-    dealt = rows.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()).persist(StorageLevel.DISK_ONLY)
+    # written: another evaluation could draw other ranges
+    dealt = written(rows.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), "pages")
     counts = dict(dealt.groupBy("_part").count().collect())
     start, wanted = 0, []
     for part in sorted(counts):

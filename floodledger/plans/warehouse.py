@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from floodledger.plans import condensed, dims, facts, merge, quality
 from floodledger.plans.layers import Silver, Star, read_layer, read_table
 from floodledger.plans.silver import ENTITIES
-from floodledger.schemas import BUCKET, ENVELOPE, SOURCE_COLUMNS, ref_flood_zone_info, ref_state_info
+from floodledger.schemas import BUCKET, ref_flood_zone_info, ref_state_info
 from floodledger.session import at_once
 from floodledger.sources.landing import (
     FILE,
@@ -20,15 +20,11 @@ from floodledger.sources.landing import (
     MAX_BAD_ROWS,
     REJECTED,
     as_path,
-    bad_row_counts,
-    by_header,
-    check_bad_rows,
     first_lines,
+    land_lines,
+    list_files,
     read_bronze,
-    read_csv_marked_aligned,
-    read_envelope_marked,
-    read_rejected,
-    to_landed_table,
+    unseen_files,
 )
 from floodledger.sources.sinks import exists, overwrite, remove, switch
 
@@ -67,37 +63,30 @@ def land_files(
     ``kind`` is csv, json (a file is one page) or jsonl (a line is one page). CSV columns are taken
     by name from the header of each file. Malformed lines or pages go to a partition of their own; too many of them in a file fail the load. A load is written beside the table and
     takes its place after the check, so a failed load changes nothing. A full load replaces all
-    earlier loads, those of streams included. With ``only_new`` the files that the table has rows
-    of are left out, and the others are added as a load of their own.
+    earlier loads, those of streams included. With ``only_new`` the files that earlier loads took in as
+    they are now are left out without being opened, and the others, changed ones included, are added
+    as a load of their own: the newest row of a key counts.
     """
-    path = bronze_path(out, entity)
+    path, ledger = bronze_path(out, entity), f"{out}/landed_files/{entity}"
     only_new = only_new and exists(spark, path)
-    lines = first_lines(spark, source, path if only_new else None)
+    if only_new:
+        files = unseen_files(spark, source, path, ledger, loads(spark, out, entity))
+    else:
+        files = list_files(spark, source)
+    # the list of files is fixed before they are read: one that comes meanwhile belongs to the next load
+    listed = [tuple(row) for row in files.select(FILE, "length", "changed").collect()]
+    lines = first_lines(spark, [as_path(row[0]) for row in listed]) if listed else {}
     if not lines:
         if only_new:
             return {f"{entity}_raw": 0, f"{entity}_rejected": 0}
         raise FileNotFoundError(f"no files with text in {source}")
-    columns = SOURCE_COLUMNS[entity]
-    if kind == "csv":
-        marked = read_csv_marked_aligned(spark, by_header(lines), columns)
-    else:
-        marked = read_envelope_marked(spark, [as_path(f) for f in lines], ENVELOPE[entity], columns, kind == "json")
     name = f"{NEW if only_new else FULL}-{uuid.uuid4().hex}"
-    staged = f"{path}_staged_{name}"
-    load = f"{LOAD}={name}"
-    try:
-        total = overwrite(to_landed_table(marked, entity), f"{staged}/{load}", [REJECTED])
-        per_file = bad_row_counts(read_rejected(spark, staged, entity)).select(FILE, "bad_rows").persist()
-        check_bad_rows(per_file, limit)
-        bad = per_file.agg(F.coalesce(F.sum("bad_rows"), F.lit(0))).first()[0]
-        per_file.unpersist()
-        if only_new:
-            switch(spark, f"{staged}/{load}", f"{path}/{load}")
-        else:
-            switch(spark, staged, path)
-    finally:
-        remove(spark, staged)
-    return {f"{entity}_raw": total - bad, f"{entity}_rejected": bad}
+    good, bad = land_lines(spark, lines, path, entity, name, limit, kind, whole=not only_new)
+    if not only_new:
+        remove(spark, ledger)
+    noted = spark.createDataFrame(listed, f"{FILE} string, length bigint, changed timestamp")
+    overwrite(noted, f"{ledger}/{LOAD}={name}")
+    return {f"{entity}_raw": good, f"{entity}_rejected": bad}
 
 
 def land_csv(

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -48,3 +48,10 @@ def work_folder(spark: SparkSession, *parts: str) -> str:
     if not root:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return "/".join([root.rstrip("/"), "floodledger", uuid.uuid4().hex, *parts])
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows from a table in the work folder, so that they stay the same whatever executors are lost."""
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

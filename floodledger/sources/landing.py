@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from floodledger.functions.cleaning import blank_to_null, normalise_missing
 from floodledger.schemas import (
     ENDPOINT,
+    ENVELOPE,
     LINEAGE,
     SOURCE_COLUMNS,
     STATE_CANDIDATES,
@@ -24,6 +25,7 @@ from floodledger.schemas import (
     struct,
     text_schema,
 )
+from floodledger.sources.sinks import exists, overwrite, remove, switch
 
 BAD = "_bad_row"
 FILE = "_file"
@@ -58,8 +60,38 @@ def read_csv_by_header(spark: SparkSession, path: str | Sequence[str]) -> DataFr
     return spark.read.options(**DIALECT).option("header", True).option("enforceSchema", False).csv(path)
 
 
-def first_lines(spark: SparkSession, path: str | Sequence[str], landed: str | None = None) -> dict[str, str]:
-    """File and first line of all files, or of those that a landed table has no rows of.
+def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """The files below a path with length and time of change, as ``_file, length, changed``; none is opened."""
+    found = spark.read.format("binaryFile").load(path)
+    return found.select(
+        F.col("_metadata.file_path").alias(FILE),
+        F.col("_metadata.file_size").alias("length"),
+        F.col("_metadata.file_modification_time").alias("changed"),
+    )
+
+
+def unseen_files(spark: SparkSession, path: str | Sequence[str], landed: str, ledger: str, loads: Iterable[str]) -> DataFrame:
+    """The files of a path that no load of a landed table has taken in as they are now.
+
+    The ledger says what length and time of change a file had when it was landed. Of loads that it does not
+    know (those of streams, or of a run that died before it wrote there) the rows name the files.
+    """
+    listed, loads = list_files(spark, path), set(loads)
+    noted = set()
+    if exists(spark, ledger):
+        known = spark.read.schema(f"{FILE} string, length bigint, changed timestamp, {LOAD} string").parquet(ledger)
+        known = known.where(F.col(LOAD).isin(list(loads)))
+        noted = {row[LOAD] for row in known.select(LOAD).distinct().collect()}
+        listed = listed.join(known.drop(LOAD), [FILE, "length", "changed"], "left_anti")
+    if loads - noted:
+        rows = spark.read.schema(_stored(text_schema([FILE]))).parquet(landed)
+        rows = rows.where(F.col(LOAD).isin(list(loads - noted)))
+        listed = listed.join(rows.select(FILE).distinct(), FILE, "left_anti")
+    return listed
+
+
+def first_lines(spark: SparkSession, path: str | Sequence[str]) -> dict[str, str]:
+    """File and first line of all files.
 
     One job with a task per file, which stops after the line. Files without text are left out. The
     driver holds as much as it does for the list of files of any scan.
@@ -76,11 +108,7 @@ def first_lines(spark: SparkSession, path: str | Sequence[str], landed: str | No
         own.conf.set(key, str(WHOLE_FILE))
     own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
     text = own.read.text(path).select("value", F.col("_metadata.file_path").alias(FILE))
-    lines = text.mapInArrow(first, text.schema)
-    if landed is not None:
-        known = own.read.schema(_stored(text_schema([FILE]))).parquet(landed).select(FILE).distinct()
-        lines = lines.join(known, FILE, "left_anti")
-    return {row[FILE]: row["value"] for row in lines.collect()}
+    return {row[FILE]: row["value"] for row in text.mapInArrow(first, text.schema).collect()}
 
 
 def as_path(file: str) -> str:
@@ -174,6 +202,32 @@ def read_csv_marked_aligned(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def land_lines(
+    spark: SparkSession, lines: dict[str, str], path: str, entity: str, name: str, limit: int, kind: str = "csv", whole: bool = False
+) -> tuple[int, int]:
+    """Files, known by their first lines, as a load of the table at ``path``; returns good and malformed rows.
+
+    The load is written beside the table and takes its place after the check of malformed rows: that of the load
+    of the same name, or with ``whole`` that of the table.
+    """
+    columns = SOURCE_COLUMNS[entity]
+    if kind == "csv":
+        marked = read_csv_marked_aligned(spark, by_header(lines), columns)
+    else:
+        marked = read_envelope_marked(spark, [as_path(f) for f in lines], ENVELOPE[entity], columns, kind == "json")
+    staged, load = f"{path}_staged_{name}", f"{LOAD}={name}"
+    try:
+        total = overwrite(to_landed_table(marked, entity), f"{staged}/{load}", [REJECTED])
+        per_file = bad_row_counts(read_rejected(spark, staged, entity)).select(FILE, "bad_rows").persist()
+        check_bad_rows(per_file, limit)
+        bad = per_file.agg(F.coalesce(F.sum("bad_rows"), F.lit(0))).first()[0]
+        per_file.unpersist()
+        switch(spark, staged if whole else f"{staged}/{load}", path if whole else f"{path}/{load}")
+    finally:
+        remove(spark, staged)
+    return total - bad, bad
+
+
 def good_rows(marked: DataFrame) -> DataFrame:
     return marked.where(F.col(BAD).isNull()).drop(BAD, FILE)
 

@@ -5,32 +5,12 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from floodledger.operators.dedup import latest_per_key
-from floodledger.schemas import SOURCE_COLUMNS
-from floodledger.sources.landing import (
-    LOAD,
-    MARKED_OPTIONS,
-    MAX_BAD_ROWS,
-    REJECTED,
-    bad_row_counts,
-    check_bad_rows,
-    mark_bad_rows,
-    marked_schema,
-    to_landed_table,
-)
-
-
-def stream_csv(
-    spark: SparkSession, path: str, columns: Sequence[str], files_per_batch: int = 1000
-) -> DataFrame:
-    """New CSV files of a folder as a stream of strings, malformed lines marked."""
-    reader = spark.readStream.schema(marked_schema(columns)).options(**MARKED_OPTIONS)
-    stream = reader.option("header", True).option("maxFilesPerTrigger", files_per_batch).csv(path)
-    return mark_bad_rows(stream)
+from floodledger.sources.landing import FILE, MAX_BAD_ROWS, as_path, first_lines, land_lines
 
 
 def load_new_files(
@@ -41,26 +21,28 @@ def load_new_files(
     entity: str,
     files_per_batch: int = 1000,
     limit: int = MAX_BAD_ROWS,
+    kind: str = "csv",
 ) -> StreamingQuery:
     """Add every file not loaded before to the bronze table, then stop.
 
-    A batch is a load of its own beside the full load, named after the checkpoint and the batch: it
-    is replaced as a whole when it is written again, so a run that died half-way neither repeats
-    nor loses rows when it is started again. Malformed lines go to a partition of their own, and
-    too many of them in a file fail the batch before it is written, as in a full load.
+    The stream is one of files, not of their rows: a batch lands its files as a batch load does, by
+    the header of each file, from a folder beside the table. It is a load of its own named after the
+    checkpoint and the batch, and replaced as a whole when it is written again, so a run that died half-way neither repeats
+    nor loses rows when it is started again. Too many malformed lines in a file fail the batch
+    before the table changes.
     """
     name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.DISK_ONLY)
-        try:
-            check_bad_rows(bad_row_counts(batch), limit)
-            landed = to_landed_table(batch, entity)
-            landed.write.mode("overwrite").partitionBy(REJECTED).parquet(f"{table}/{LOAD}={name}-{batch_id}")
-        finally:
-            batch.unpersist()
-
-    stream = stream_csv(spark, source, SOURCE_COLUMNS[entity], files_per_batch)
+        files = [as_path(row[FILE]) for row in batch.select(FILE).collect()]
+        lines = first_lines(spark, files) if files else {}
+        if lines:
+            land_lines(spark, lines, table, entity, f"{name}-{batch_id}", limit, kind)
+
+    # the contents are never asked for
+    whole = "path string, modificationTime timestamp, length bigint, content binary"
+    reader = spark.readStream.format("binaryFile").schema(whole).option("maxFilesPerTrigger", files_per_batch)
+    stream = reader.load(source).select(F.col("_metadata.file_path").alias(FILE))
     query = (
         stream.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)

@@ -484,13 +484,18 @@ def f15(ws):
 
 @query(
     "f16_current_time",
-    "claims",
-    "SELECT state, count(*) AS n, count(*) AS before_now FROM claims GROUP BY 1",
+    "raw_claims",
+    "SELECT state, count(*) AS n, count(*) FILTER (WHERE to_timestamp(1700000000 + ingest_seq) < now()) AS before_now,"
+    " CAST(max(1700000000 + ingest_seq) AS BIGINT) AS newest FROM raw_claims GROUP BY 1",
 )
 def f16(ws):
-    """Every ingestion time lies before the current time."""
-    rows = ws.claims.withColumn("now", F.current_timestamp())
-    return rows.groupBy("state").agg(n_rows(), F.count_if(F.col("dateOfLoss").cast("timestamp") < F.col("now")).alias("before_now"))
+    """Ingestion times by state, and how many of them lie before the current time."""
+    rows = ws.bronze("claims").withColumn("now", F.current_timestamp())
+    return rows.groupBy("state").agg(
+        n_rows(),
+        F.count_if(F.col("ingestion_timestamp") < F.col("now")).alias("before_now"),
+        F.unix_timestamp(F.max("ingestion_timestamp")).alias("newest"),
+    )
 
 
 @query(

@@ -5,10 +5,12 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from floodledger.plans import quality, views
 from harness.catalog.star import LOSS_RATIO_LOCATION, LOSS_RATIO_STATE
-from harness.registry import query
+from harness.catalog import star  # noqa: F401  (its SQL is taken below)
+from harness.registry import ORACLES, query
 from harness.sql import percent2
 
 
@@ -336,16 +338,47 @@ def qc19(ws):
     return views.top_of_view(ws.star, "vw_claims_development").select("year_of_loss", "claim_count", "total_paid")
 
 
+#: View, query with its comparison SQL, measure to show.
+SHOWN = [
+    ("vw_loss_ratio_by_state", "v01_loss_ratio_by_location", "total_claims_paid"),
+    ("vw_claims_frequency_severity", "v02_frequency_severity", "total_paid"),
+    ("vw_large_loss_concentration", "v03_large_loss_concentration", "large_loss_total"),
+    ("vw_severity_by_flood_zone", "v04_severity_by_zone", "avg_severity"),
+    ("vw_premium_adequacy", "v05_premium_adequacy", "total_claims"),
+    ("vw_claims_development", "v06_claims_development", "total_paid"),
+    ("vw_portfolio_summary", "v07_portfolio_summary", "total_premium"),
+]
+AMOUNTS = {"large_loss_total", "avg_severity", "total_claims"}
+
+
+def _leading(name: str, of: str, measure: str) -> str:
+    order = views.TOP_ORDER[name]
+    by = ", ".join(f"{c[1:]} DESC NULLS LAST" if c.startswith("-") else f"{c} ASC NULLS FIRST" for c in order)
+    item = " || '/' || ".join(f"COALESCE(CAST({c.lstrip('-')} AS VARCHAR), 'none')" for c in order if c.lstrip("-") not in AMOUNTS)
+    return (
+        f"SELECT '{name}' AS view, CAST(row_number() OVER (ORDER BY {by}) AS INT) AS place, {item} AS item,"
+        f" round(CAST({measure} AS DOUBLE), 4) AS measure FROM ({ORACLES[of]}) QUALIFY place <= 5"
+    )
+
+
 @query(
     "qc19_all_views_answer",
-    "claims_star policies_star",
-    " UNION ALL ".join(f"SELECT '{v}' AS view, 5 AS n" for v in views.VIEWS),
+    "",
+    " UNION ALL ".join(_leading(*shown) for shown in SHOWN),
 )
 def qc19_all(ws):
-    parts = [
-        views.top_of_view(ws.star, name).agg(F.count(F.lit(1)).cast("int").alias("n")).select(F.lit(name).alias("view"), "n")
-        for name in views.VIEWS
-    ]
+    """The five leading rows of every view: what they are of, and a measure."""
+    parts = []
+    for name, _, measure in SHOWN:
+        order = [c.lstrip("-") for c in views.TOP_ORDER[name]]
+        signs = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in views.TOP_ORDER[name]]
+        item = F.concat_ws("/", *(F.coalesce(F.col(c).cast("string"), F.lit("none")) for c in order if c not in AMOUNTS))
+        place = F.row_number().over(Window.orderBy(*signs))  # over five rows
+        parts.append(
+            views.top_of_view(ws.star, name).select(
+                F.lit(name).alias("view"), place.alias("place"), item.alias("item"), F.round(F.col(measure).cast("double"), 4).alias("measure")
+            )
+        )
     return quality.union(parts)
 
 

@@ -7,16 +7,16 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from floodledger.functions.cleaning import blank_to_null
 from floodledger.operators.topn import completeness, page
 from floodledger.plans.warehouse import bronze_path, land_files
 from floodledger.schemas import (
     CLAIM_COLUMNS,
     ENDPOINT,
     ENVELOPE,
+    MISSING_TOKENS,
     POLICY_COLUMNS,
-    conform,
     SILVER,
+    conform,
     ref_flood_zone_info,
 )
 from floodledger.sources import landing, sinks
@@ -144,19 +144,30 @@ def s04_landed(ws):
     return per_state(landing.read_bronze(ws.spark, bronze_path(out, "claims"), "claims"))
 
 
+_TOKENS = ", ".join(f"'{t}'" for t in MISSING_TOKENS)
+#: Rows of a column until the first token comes again: as many without a token as there are tokens.
+_CYCLE = 2 * len(MISSING_TOKENS)
+
+
 @query(
     "s05_missing_tokens",
-    "landed_claims raw_claims",
-    "SELECT l.n AS blanks_landed, r.n AS missing_after FROM"
-    " (SELECT count(*) FILTER (WHERE amountPaidOnContentsClaim = '') AS n FROM landed_claims) l,"
-    " (SELECT count(*) FILTER (WHERE amountPaidOnContentsClaim IS NULL) AS n FROM raw_claims) r",
+    "landed_claims",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", token, count(*) AS n FROM (SELECT CASE WHEN x IS NULL OR x IN ({_TOKENS}) THEN coalesce(s, 'landed') ELSE 'kept' END AS token"
+        f" FROM (SELECT [{_TOKENS}][(ingest_seq + {i}) % {_CYCLE} + 1] AS s, coalesce(s, {c}) AS x FROM landed_claims)) GROUP BY token"
+        for i, c in enumerate(CLAIM_COLUMNS)
+    ),
 )
 def s05(ws):
-    text = F.col("amountPaidOnContentsClaim")
-    return landed(ws, "claims").agg(
-        F.count_if(text == "").alias("blanks_landed"),
-        F.count_if(blank_to_null(text).isNull()).alias("missing_after"),
-    )
+    """Every token put into every column, in turn with the landed values: what is missing afterwards, by column and token."""
+    tokens = F.array(*map(F.lit, MISSING_TOKENS))
+    rows = bindings.landed_claims(ws.spark, ws.sf_dir)
+    seeds = {c: F.get(tokens, ((F.col(bindings.INGEST_SEQ) + i) % _CYCLE).cast("int")) for i, c in enumerate(CLAIM_COLUMNS)}
+    seeded = rows.select(*(F.coalesce(s, F.col(c)).alias(c) for c, s in seeds.items()), *(s.alias(f"_{c}") for c, s in seeds.items()))
+    clean = landing.normalise_missing(seeded.withColumns({f"_{c}": F.coalesce(F.concat(F.lit("="), f"_{c}"), F.lit("=landed")) for c in CLAIM_COLUMNS}))
+    outcome = lambda c: F.when(F.col(c).isNull(), F.substring(f"_{c}", 2, 99)).otherwise("kept")
+    each = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), outcome(c).alias("token")) for c in CLAIM_COLUMNS)))
+    return clean.select(each.alias("cell")).groupBy("cell.column", "cell.token").agg(F.count("*").alias("n"))
 
 
 @query(

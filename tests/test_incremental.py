@@ -68,3 +68,14 @@ def test_late_batch_with_an_older_row_changes_nothing(spark, tmp_path):
     stream_in.write.mode("append").parquet(source)
     upsert_new_rows(spark.readStream.schema("k string, seq int, v string").parquet(source), compacted, checkpoint, keys, order)
     assert {r.k: r.v for r in read_current(spark, compacted, keys, order).collect()} == {"a": "newest", "b": "b2", None: "n"}
+
+
+def test_columns_of_streamed_files_go_by_name(spark, tmp_path):
+    turned = list(reversed(CLAIM_COLUMNS))
+    write(tmp_path / "in", "a.csv", [text(CLAIM, turned)], turned)
+    few = [c for c in CLAIM_COLUMNS if c != "countyCode"]
+    write(tmp_path / "in", "b.csv", [text(CLAIM | {"state": "FL"}, few)], few)
+    load_new_files(spark, str(tmp_path / "in"), str(tmp_path / "table"), str(tmp_path / "checkpoint"), "claims")
+    rows = {r.state: r for r in read_bronze(spark, str(tmp_path / "table"), "claims").collect()}
+    assert {s: r.countyCode for s, r in rows.items()} == {"TX": "48201", "FL": None}
+    assert {r.dateOfLoss for r in rows.values()} == {CLAIM["dateOfLoss"]}

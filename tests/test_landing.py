@@ -216,3 +216,29 @@ def test_profile(spark):
     assert amounts == {"min": 10.0, "max": 45000.0, "mean": pytest.approx(45050 / 3), "median": 40.0}
     assert out["values", "state", "1", "TX"] == 2 and out["values", "state", "2", "FL"] == 1
     assert ("dates", "dateOfLoss", "min", "2017-08-25") in out
+
+
+def test_files_are_told_by_length_and_time(spark, tmp_path, monkeypatch):
+    import os
+
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    write(source, "a.csv", [text(CLAIM, CLAIM_COLUMNS)])
+    write(source, "b [1].csv", [text(CLAIM | {"state": "FL"}, CLAIM_COLUMNS)])
+    assert land_csv(spark, str(source), out, "claims", only_new=True)["claims_raw"] == 2
+    with monkeypatch.context() as m:  # without news no file is opened
+        from floodledger.plans import warehouse
+
+        m.setattr(warehouse, "first_lines", lambda *a: 1 / 0)
+        assert land_csv(spark, str(source), out, "claims", only_new=True)["claims_raw"] == 0
+    # a changed file is landed again under its name, and counts with its new rows
+    write(source, "a.csv", [text(CLAIM | {"occupancyType": "3"}, CLAIM_COLUMNS), text(CLAIM | {"state": "NY"}, CLAIM_COLUMNS)])
+    assert land_csv(spark, str(source), out, "claims", only_new=True)["claims_raw"] == 2
+    os.utime(source / "a.csv", (1, 1))
+    assert land_csv(spark, str(source), out, "claims", only_new=True)["claims_raw"] == 2
+    assert land_csv(spark, str(source), out, "claims", only_new=True)["claims_raw"] == 0
+    # loads that the ledger does not know are asked for their files
+    landing.remove(spark, f"{out}/landed_files/claims")
+    assert land_csv(spark, str(source), out, "claims", only_new=True)["claims_raw"] == 0
+    # a full load forgets the earlier ones
+    assert land_csv(spark, str(source), out, "claims")["claims_raw"] == 3
+    assert land_csv(spark, str(source), out, "claims", only_new=True)["claims_raw"] == 0
