@@ -509,3 +509,72 @@ def test_packed_rows_give_the_texts_back(spark, awkward, empty, monkeypatch):
         assert ids[-1] == 50256 and enc.decode(ids[:-1]) == (text or "")
     assert len(pieces[6, 0]) == 2
     assert packing.packed(empty, 128).count() == 0
+
+
+BODY = "".join(f"<p>{LINE}</p>" for _ in range(4))
+
+
+def test_body_beside_a_teaser_article():
+    page = f"<body><nav><a>Home</a></nav><div class=story>{BODY}</div><article><h3>Teaser</h3><p>Read this now</p></article><footer>c</footer>"
+    assert main_text.main_text(page) == "\n".join([LINE.strip()] * 4)
+
+
+@pytest.mark.parametrize("wrapper", ['<div class="page has-sidebar">', '<div class="post-side share">', '<div id=side><section class="widget">'])
+def test_names_of_wrappers_only_weigh(wrapper):
+    assert main_text.main_text(f"<body>{wrapper}<nav><a>x</a></nav><div>{BODY}</div>").startswith(LINE.strip())
+    assert main_text.main_text(f"<body><nav><a>x</a></nav>{wrapper}{BODY}</div><footer>x</footer>").count(LINE.strip()) == 4
+
+
+@pytest.mark.parametrize("tag", ['<p title="a"">', "<p title='it's'>", "<p a=b\"c>", '<p "x">', "<p title = 'a>b' >", "<p =x>", "<p a= >"])
+def test_tags_end_where_they_end(tag):
+    assert main_text.main_text(f"{tag}One sentence, here.</p><p>Two sentences, there.</p>") == "One sentence, here.\nTwo sentences, there."
+
+
+@pytest.mark.parametrize("page", ["<div>x" * 20_000, "<b>" * 20_000 + "</i>" * 20_000 + "x", "<p>" + "<span>" * 20_000 + "<hr>" * 20_000 + "<li>x" * 20_000, "<p " + 'a b="c' * 50_000, "<a " * 50_000])
+def test_time_grows_with_the_page_alone(page):
+    import time
+
+    start = time.process_time()
+    main_text.main_text(page)
+    assert time.process_time() - start < 3
+
+
+def test_the_ratios_decide(monkeypatch):
+    """Plain boxes without telling names: short ones go by their ratio, and stay if it is taken out."""
+    boxes = "".join(f"<div class=c{c}><span>{w}</span></div>" for c, w in zip("xyz", ("Log in", "Weather", "Top 10")))
+    page = f"<body>{boxes}<div class=t>{BODY}</div><div class=e><i>More</i></div>"
+    assert main_text.main_text(page) == "\n".join([LINE.strip()] * 4)
+    monkeypatch.setattr(main_text, "ratios", lambda paths, found: dict.fromkeys(range(len(paths.parent)), 1.0))
+    assert "Log in" in main_text.main_text(page)
+
+
+def test_weighed_pieces_do_not_break_a_line():
+    assert main_text.main_text(f"<article>{BODY}<p>{LINE}<button>Copy</button> and the rest.</p></article>").endswith(f"{LINE}and the rest.")
+    assert main_text.main_text(f"<article>{BODY}<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> hold.</p></article>").endswith("Let x=1 hold.")
+
+
+def test_sums_of_regions_match_brute_force():
+    rng = random.Random(6)
+    for _ in range(30):
+        page = "".join(rng.choice(["<div>", "</div>", "<p>", "<section id=a>", "</section>", "words, words. ", "x ", "<aside>", "</aside>", "<article>"]) for _ in range(80))
+        paths, found = main_text.page_pieces(page)
+        own = [[0.0, 0.0, 0.0] for _ in paths.parent]
+        for path, _, text in found:
+            own[path][0] += len(text.strip())
+            own[path][1] += 1
+        above = [[i] for i in range(len(paths.parent))]
+        for i in range(1, len(paths.parent)):
+            above[i] = [i, *above[paths.parent[i]]]
+        for i in range(len(paths.parent)):
+            if own[i][1] and i and (paths.article[i] or not paths.top[i]):
+                value = None
+                for j in reversed(above[i]):
+                    if paths.top[j] and not (paths.article[j] or paths.main[j]):
+                        value = None
+                        continue
+                    below = [k for k in range(len(paths.parent)) if j in above[k]]
+                    n = sum(own[k][1] for k in below)
+                    ratio = sum(own[k][0] for k in below) / n
+                    value = ratio if value is None or paths.top[j] else main_text.OWN * ratio + (1 - main_text.OWN) * value
+                want = main_text.OWN * own[i][0] / own[i][1] + (1 - main_text.OWN) * value
+                assert main_text.smoothed(paths, own)[0][i] == pytest.approx(want)
