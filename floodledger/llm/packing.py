@@ -8,6 +8,7 @@ packed like a short document. Nothing is shuffled and nothing is cut off.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -82,6 +83,30 @@ def encoder(vocabulary: bytes, pattern: str):
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+#: From this many white-space characters in a row on, the run is taken out before the tokenizer's pattern meets it.
+RUN = 100_000
+#: White space as the tokenizer's pattern means it.
+BLANK = "[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
+
+
+def encoded(enc, text: str) -> list[int]:
+    """The ids of a text.
+
+    The pattern tries a run of white space from its end backwards and overflows the stack on very
+    long ones. It makes one piece of a run up to its last character, or of the whole run at the end of the
+    text, whatever stands around it: such a piece is encoded without the pattern.
+    """
+    if len(text) < RUN:
+        return enc.encode_ordinary(text)
+    ids, at = [], 0
+    for run in re.finditer(f"{BLANK}{{{RUN},}}", text):
+        cut = run.end() if run.end() == len(text) else run.end() - 1
+        ids += enc.encode_ordinary(text[at : run.start()])
+        ids += enc._encode_single_piece(text[run.start() : cut].encode())
+        at = cut
+    return ids + enc.encode_ordinary(text[at:])
+
+
 SCHEMA = "pack_id long, ids binary, n_tokens int, cu_seqlens array<int>, position_resets array<int>, doc_ids array<long>, doc_offsets array<long>"
 ARROW = pa.schema([
     ("pack_id", pa.int64()), ("ids", pa.binary()), ("n_tokens", pa.int32()), ("cu_seqlens", pa.list_(pa.int32())),
@@ -141,12 +166,16 @@ def packed(docs: DataFrame, length: int = 2048, vocabulary: str = VOCABULARY, pa
     holds the value and a counter that goes by each packed row's first document.
     The vocabulary is read on the driver and sent (some MB whatever the data).
     """
-    if pattern is None:
-        from public_tokenizers import PATTERN as pattern
+    from public_tokenizers import PATTERN as default
+
+    pattern = pattern or default
     with open(vocabulary, "rb") as f:
         raw = f.read()
     sent = docs.sparkSession.sparkContext.broadcast((raw, pattern))
 
+    # another pattern may split runs in other ways
+    encode = encoded if pattern == default else lambda enc, text: enc.encode_ordinary(text)
+
     def run(batches):
         enc = encoder(*sent.value)
         kind = np.dtype("<u2") if max(enc.n_vocab, end + 1, pad + 1) <= 1 << 16 else np.dtype("<u4")
@@ -167,7 +196,7 @@ def packed(docs: DataFrame, length: int = 2048, vocabulary: str = VOCABULARY, pa
                     if held:
                         yield from flush()
                     now, base, rows = value, value << 32, 0
-                ids = np.array(enc.encode_ordinary(text.as_py() or "") + [end], kind)
+                ids = np.array(encode(enc, text.as_py() or "") + [end], kind)
                 held.append((doc.as_py(), ids))
                 tokens += len(ids)
                 if tokens >= WINDOW:
