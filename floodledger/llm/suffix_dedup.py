@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from floodledger.llm.arrays import U64, by_key, mix, runs, slices, text_buffer
+from floodledger.llm.arrays import BASE, U64, by_key, mix, runs, slices, text_buffer
 from floodledger.llm.store import cut, partitions, sent
 
 LENGTH = 50
@@ -77,7 +77,8 @@ def stretches(data: np.ndarray, offsets: np.ndarray):
     a, r = anchor[starts], row[starts]
     change = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (r[1:] != r[:-1])]))
     last = np.append(change[1:], len(starts)) - 1
-    return r[change], starts[change], starts[last], a[change], whole[a[change]]
+    # the least of many hashes lies near zero; mixed once more, anchors spread over all buckets
+    return r[change], starts[change], starts[last], a[change], mix(whole[a[change]] + BASE)
 
 
 def bucket_of(hashes: np.ndarray, n: int) -> np.ndarray:
