@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from floodledger.llm.arrays import U64, grams, shingle_sets, slices, text_buffer, words
-from floodledger.llm.store import cut
+from floodledger.llm.store import cut, shared, taken
 
 #: Items that are sent to the executors at once (their texts, whole); more items take more passes.
 ITEM_BYTES = 8 << 20
@@ -99,7 +99,7 @@ def _blocks(items: DataFrame) -> Iterator[list]:
 def _indexes(docs: DataFrame, items: DataFrame, threshold: float, width: int):
     for block in _blocks(items.where("item_id IS NOT NULL")):
         index = Index([r[0] for r in block], [r[1] or "" for r in block], width, threshold)
-        yield docs.sparkSession.sparkContext.broadcast(index)
+        yield shared(docs.sparkSession, index)
 
 
 def contained_items(docs: DataFrame, items: DataFrame, threshold: float = 0.8, width: int = 5) -> DataFrame:
@@ -117,7 +117,7 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = 0.8, w
     for sent in _indexes(docs, items, threshold, width):
 
         def run(batches, sent=sent):
-            index = sent.value
+            index = taken(sent)
             for batch in batches:
                 ids, found = batch.column("doc_id"), []
                 for lo, _, data, offsets in slices(*text_buffer(batch.column("text"))):
@@ -136,7 +136,7 @@ def without_items(docs: DataFrame, items: DataFrame, threshold: float = 0.8, wid
     for sent in _indexes(docs, items, threshold, width):
 
         def run(batches, sent=sent):
-            index = sent.value
+            index = taken(sent)
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
                 for lo, _, data, offsets in slices(*text_buffer(batch.column("text"))):

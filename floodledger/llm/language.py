@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from floodledger.llm.arrays import BASE, U64, mix, powers, slices, text_buffer
 from floodledger.llm.quality import held_out
-from floodledger.llm.store import cut
+from floodledger.llm.store import cut, shared, taken
 
 #: Labelled documents of each language that the frequencies are taken from.
 SAMPLE = 400
@@ -167,11 +167,11 @@ def identified(docs: DataFrame) -> DataFrame:
     chosen language's share of the evidence. Rows are learned from if they have a language and are
     not held out. Repeated rows are identified each.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(fit(docs))
+    sent = shared(docs.sparkSession, fit(docs))
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
     def run(batches):
-        model = sent.value
+        model = taken(sent)
         for batch in batches:
             texts = batch.column("text")
             for lo, hi, data, offsets in slices(*lowered(texts)):

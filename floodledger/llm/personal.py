@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from floodledger.llm.store import cut
+from floodledger.llm.store import cut, shared, taken
 
 # Kinds in their order, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -297,11 +297,11 @@ def personal_data(docs: DataFrame) -> DataFrame:
     Offsets count code points. A null or empty text has no spans: zeros, the digest of nothing, and
     an empty string. Repeated rows each give a row.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(fit(docs))
+    sent = shared(docs.sparkSession, fit(docs))
     schema = pa.schema([("doc_id", pa.int64())] + [(f"n_{k}", pa.int64()) for k in KINDS] + [("base_sha256", pa.string()), ("spans", pa.string())])
 
     def run(batches):
-        field = sent.value
+        field = taken(sent)
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):

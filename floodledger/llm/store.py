@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floodledger.session import work_folder
@@ -25,6 +26,18 @@ def sent(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= SENT_IDS else ids
 
 
+def shared(spark: SparkSession, thing):
+    """Sends an object to every executor by value, its class included; ``taken`` gives it back in a task.
+
+    A plain broadcast names the class, which workers without a copy of this package cannot find.
+    """
+    return spark.sparkContext.broadcast(cloudpickle.dumps(thing))
+
+
+def taken(sent):
+    return cloudpickle.loads(sent.value)
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

@@ -578,3 +578,74 @@ def test_sums_of_regions_match_brute_force():
                     value = ratio if value is None or paths.top[j] else main_text.OWN * ratio + (1 - main_text.OWN) * value
                 want = main_text.OWN * own[i][0] / own[i][1] + (1 - main_text.OWN) * value
                 assert main_text.smoothed(paths, own)[0][i] == pytest.approx(want)
+
+
+def test_long_runs_are_encoded_as_short_ones(monkeypatch):
+    from public_tokenizers import PATTERN
+
+    with open(packing.VOCABULARY, "rb") as f:
+        enc = packing.encoder(f.read(), PATTERN)
+    rng = random.Random(9)
+    with monkeypatch.context() as m:
+        m.setattr(packing, "RUN", 5)
+        for _ in range(3000):
+            text = "".join(rng.choice([" ", "\n", "\t", "  ", " \n", "a", "é", "'s", "!", "1", "　", "\x1c", "\x85", "中"]) * rng.randint(1, 9) for _ in range(rng.randint(0, 9)))
+            assert packing.encoded(enc, text) == enc.encode_ordinary(text)
+    for c, n in ((" ", 10**7), ("\n", 10**6), (" \n", 10**6), ("a", 10**6), ("!", 10**6), ("中", 10**6)):
+        text = f"x{c * n}y{c * n}"
+        assert enc.decode(packing.encoded(enc, text)) == text
+
+
+def test_long_white_space_is_packed(spark):
+    rows = [(1, " " * 1_000_000), (2, "\n" * 1_000_000 + "x"), (3, "plain")]
+    out = packing.packed(frame(spark, rows, extra=False), 2048).agg(F.sum("n_tokens")).first()[0]
+    assert out == 1_000_001 + 1_000_002 + 2
+
+
+def test_anchors_spread_over_the_buckets():
+    rng = np.random.default_rng(3)
+    text = rng.choice(np.frombuffer(b"abcdefghij klmnop", np.uint8), 2_000_000)
+    hashes = suffix_dedup.stretches(text, np.array([0, len(text)]))[4]
+    for n in (16, 200):
+        sizes = np.bincount(suffix_dedup.bucket_of(hashes, n), minlength=n)
+        assert sizes.max() < 2 * sizes.mean()
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    import os
+    import subprocess
+    import sys
+    import textwrap
+
+    from floodledger import __file__ as package
+
+    code = textwrap.dedent("""
+        import sys
+        from pyspark.sql import SparkSession
+        sys.path.insert(0, sys.argv[1])
+        spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2")
+            .config("spark.checkpoint.dir", sys.argv[2]).config("spark.sql.warehouse.dir", sys.argv[2]).getOrCreate())
+        from floodledger.llm import decontaminate, filter_audit, fill_middle, language, main_text, packing, personal, quality, toxicity
+        docs = spark.createDataFrame([(i, f"word {i} mail a{i}@b.org and more words here today", "en", "s", 9) for i in range(30)], "doc_id long, text string, lang string, source string, n_chars long")
+        labels = spark.createDataFrame([(i, i % 2, i % 3 // 2) for i in range(30)], "doc_id long, quality int, toxic int")
+        items = spark.createDataFrame([(1, "and more words here today")], "item_id long, text string")
+        pages = spark.createDataFrame([(1, "u", "<p>x")], "page_id long, url string, html string")
+        for df in (personal.personal_data(docs), language.identified(docs), decontaminate.contained_items(docs, items), quality.scored(docs, labels),
+                   toxicity.scored(docs, labels), fill_middle.fill_in_middle(docs), packing.packed(docs), main_text.extracted(pages)):
+            print(df.count())
+        def probe(batches):
+            try:
+                import floodledger
+                found = True
+            except ImportError:
+                found = False
+            import pyarrow as pa
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([found])], names=["found"])
+        assert [r.found for r in spark.range(1).coalesce(1).mapInArrow(probe, "found boolean").collect()] == [False]
+    """)
+    (tmp_path / "job.py").write_text(code)
+    env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "PYSPARK_GATEWAY_PORT", "PYSPARK_GATEWAY_SECRET")}
+    root = os.path.dirname(os.path.dirname(package))
+    done = subprocess.run([sys.executable, str(tmp_path / "job.py"), root, str(tmp_path / "shared")], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-3000:]
