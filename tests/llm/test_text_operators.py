@@ -319,6 +319,51 @@ def test_neighbours_in_many_lists_without_clusters(spark, monkeypatch, each):
     assert len(got) == 500 and len(best & {(r.query_id, r.vec_id) for r in got}) >= 0.95 * 500
 
 
+def test_graph_finds_the_near_centroids_and_reads_few_lists_of_clustered_rows():
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(1000, 32))
+    x = vectors.unit(centres[rng.integers(0, 1000, 12_000)] + 0.3 * rng.normal(size=(12_000, 32)))
+    asked, rest = x[:300], x[300:]
+    centroids = vectors.balanced(rest, 1000, rng)
+    graph = vectors.Graph(centroids)
+    ids, dist = vectors.nearest(asked, centroids, 8)
+    row, node = graph.search(asked, 1.0)
+    found = set(zip(row.tolist(), node.tolist()))
+    assert np.mean([(i, int(c)) in found for i, own in enumerate(ids) for c in own]) >= 0.99
+    ratio = vectors.fitted_ratio(asked[:150], rest, centroids, 5)
+    row, node = graph.search(asked[150:], ratio)
+    at, lists = vectors.replicas(rest, centroids)
+    sizes = np.bincount(lists, minlength=len(centroids))
+    assert sizes[node].sum() <= 0.2 * len(asked[150:]) * sizes.sum()
+    reads, held = set(zip(row.tolist(), node.tolist())), {}
+    for a, c in zip(at.tolist(), lists.tolist()):
+        held.setdefault(a, []).append(c)
+    near = np.argsort(-(asked[150:] @ rest.T), axis=1)[:, :5]
+    assert np.mean([any((q, c) in reads for c in held[int(v)]) for q, own in enumerate(near) for v in own]) >= 0.95
+
+
+def test_graph_of_equal_and_of_few_centroids():
+    same = np.vstack([np.ones((40, 4)), -np.ones((40, 4))]) / 2
+    row, node = vectors.Graph(same).search(np.array([[0.5] * 4, [-0.5] * 4]), 1.5)
+    assert {(0, i) for i in range(40)} | {(1, i) for i in range(40, 80)} <= set(zip(row.tolist(), node.tolist()))
+    row, node = vectors.Graph(same[:1]).search(same[:3], 1.5)
+    assert row.tolist() == [0, 1, 2] and node.tolist() == [0, 0, 0]
+
+
+def test_neighbours_of_tiny_and_huge_vectors(spark):
+    x = np.random.default_rng(2).normal(size=(40, 8))
+    far = [1e-200 if i % 3 == 0 else 1e200 if i % 3 == 1 else 1.0 for i in range(40)]
+    table = spark.createDataFrame([(i, (v * f).tolist()) for i, (v, f) in enumerate(zip(x, far))], "vec_id long, embedding array<double>")
+    names = {"bin": F.lit(1), "asks": F.lit(True), "v": F.lit("x"), "lists": F.lit(0)}
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in vectors.neighbours(table.withColumns(names), "vec_id < 5", 3).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for q in range(5):
+        sims = u @ u[q]
+        sims[q] = -9
+        for rank, v in enumerate(np.argsort(-sims)[:3], 1):
+            assert got[q, rank][0] == v and abs(got[q, rank][1] - sims[v]) < 1e-12
+
+
 def test_bins_hold_lists_whole_or_alone():
     sizes = {0: 3, 1: 4, 2: 4, 4: 25, 5: 1, 6: 9}
     assert vectors.bins(sizes, 10) == {0: (0, 1), 1: (0, 1), 2: (1, 1), 4: (2, 3), 5: (5, 1), 6: (5, 1)}
