@@ -164,11 +164,11 @@ class Graph:
         return row[order], node[order]
 
 
-def fitted_ratio(asked: np.ndarray, x: np.ndarray, centroids: np.ndarray, k: int, own: np.ndarray | None = None) -> float:
-    """The least ratio of squared distances with which ``asked`` find ``RECALL`` of their ``k`` nearest of ``x``.
+def needed_ratios(asked: np.ndarray, x: np.ndarray, centroids: np.ndarray, k: int, own: np.ndarray | None = None) -> np.ndarray:
+    """The ratio of squared distances that ``asked`` need for each of their ``k`` nearest of ``x``.
 
     ``own`` numbers the rows of ``x`` that ``asked`` are, which are then no neighbours of themselves. In a
-    sample neighbours lie farther away than in the whole table, so the ratio errs to the wide side.
+    sample neighbours lie farther away than in the whole table, so the ratios err to the wide side.
     """
     row, lists = replicas(x, centroids)
     starts = np.searchsorted(row, np.arange(len(x) + 1))
@@ -185,7 +185,16 @@ def fitted_ratio(asked: np.ndarray, x: np.ndarray, centroids: np.ndarray, k: int
             for i in found:
                 least = away[lists[starts[i] : starts[i + 1]]].min()
                 needed.append(1.0 if least <= free else least / max(best, 1e-12))
-    return float(np.quantile(needed, RECALL, method="higher")) if needed else 1.0
+    return np.array(needed)
+
+
+def fitted_ratio(apart: np.ndarray, among: np.ndarray, share: float) -> float:
+    """The least ratio that suffices for ``RECALL`` of all, if ``share`` of the queries are as ``among``, the others as ``apart``."""
+    values = np.concatenate([apart, among, [1.0]])
+    weights = np.concatenate([np.full(len(apart), (1 - share) / max(len(apart), 1)), np.full(len(among), share / max(len(among), 1)), [0.0]])
+    order = np.argsort(values, kind="stable")
+    reached = np.cumsum(weights[order])
+    return float(values[order][min(np.searchsorted(reached, RECALL * reached[-1] - 1e-9), len(order) - 1)])
 
 
 def bins(sizes: dict[int, int], per: int) -> dict[int, tuple[int, int]]:
@@ -258,7 +267,7 @@ def neighbours(rows: DataFrame, queries: str, k: int = 5, vector: str = "embeddi
     if ratio is None:
         # a row that helped to place its centroid lies nearer to it than others do: queries are of both sorts
         some = rng.permutation(len(fit))[:HELD_OUT]
-        ratio = max(fitted_ratio(x[apart], fit, centroids, k), fitted_ratio(fit[some], fit, centroids, k, some))
+        ratio = fitted_ratio(needed_ratios(x[apart], fit, centroids, k), needed_ratios(fit[some], fit, centroids, k, some), len(fit) / max(n, len(fit)))
     sent = spark.sparkContext.broadcast(centroids)
 
     def assign(batches):

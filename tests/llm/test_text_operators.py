@@ -330,7 +330,8 @@ def test_graph_finds_the_near_centroids_and_reads_few_lists_of_clustered_rows():
     row, node = graph.search(asked, 1.0)
     found = set(zip(row.tolist(), node.tolist()))
     assert np.mean([(i, int(c)) in found for i, own in enumerate(ids) for c in own]) >= 0.99
-    ratio = vectors.fitted_ratio(asked[:150], rest, centroids, 5)
+    ratio = vectors.fitted_ratio(vectors.needed_ratios(asked[:150], rest, centroids, 5), np.array([9.0]), 0.0)
+    assert vectors.fitted_ratio(np.array([2.0]), np.array([3.0]), 0.01) == 2 and vectors.fitted_ratio(np.array([2.0]), np.array([3.0]), 0.1) == 3
     row, node = graph.search(asked[150:], ratio)
     at, lists = vectors.replicas(rest, centroids)
     sizes = np.bincount(lists, minlength=len(centroids))
