@@ -192,6 +192,93 @@ def test_field_learns_spans_and_adds_to_the_base(spark, empty):
     assert personal.personal_data(empty).count() == 0
 
 
+def labelled(n):
+    rng = random.Random(8)
+    out = []
+    for i in range(n):
+        card = "4" + "".join(rng.choice("0123456789") for _ in range(14))
+        card = next(card + c for c in "0123456789" if personal.luhn(card + c))
+        name = "".join(rng.choice("abcdefghij") for _ in range(6))
+        out.append(f"the page of {name}.{i}@mail.example.com, or call +1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)} from 10.0.{i % 250}.7; pay {card} on page {i} of {i + 3}")
+    return out
+
+
+def test_field_adds_rewritten_spans_and_leaves_look_alikes():
+    texts = labelled(160)
+    field = personal.trained(texts[:120])
+    found = right = wanted = 0
+    for text in texts[120:]:
+        for kind, a, b in personal.base_spans(text):
+            for form in range(personal.FORMS):
+                if (other := personal.rewritten(kind, text[a:b], form)) is None:
+                    continue
+                cue = personal.CUES[kind + 1][form % 4]
+                made = f"so {cue} {other} then"
+                base, spans = personal.all_spans(field, made)
+                added = [s for s in spans if s not in base]
+                wanted += not base
+                found += len(added)
+                right += added == [(kind, 4 + len(cue), 4 + len(cue) + len(other))]
+    assert right >= 0.8 * wanted and right >= 0.95 * found
+    for clean in ("on 2024-01-15 we met", "see page 12 of 345", "order 20240115 came", "look at example.com", "version 10.2.3 of it"):
+        assert personal.all_spans(field, clean) == ([], [])
+
+
+def test_long_words_and_islands_are_read_whole():
+    field = personal.trained(labelled(60))
+    name = "n" * 500
+    assert [text[a:b] for text in (f"x {name}@mail.example.com y",) for a, b in next(personal.islands(text))] == [f"{name}@mail.example.com"]
+    rows = " ".join(str(i) for i in range(500))
+    made = f"{rows} call (555) 123-4567"
+    assert sum(len(w) for w in personal.islands(made)) == 502
+    field.sure = min(field.sure, 2.0)
+    alone = {made[a:b] for _, a, b in personal.all_spans(field, "call (555) 123-4567")[1] for made in ["call (555) 123-4567"]}
+    assert alone == {"(555) 123-4567"} and any(made[a:b] == "(555) 123-4567" for _, a, b in personal.all_spans(field, made)[1])
+    for hard in ("1" + ")" * 300_000, "1 " * 50_000, "a at " * 50_000, "x at y.com " * 10_000):  # no quadratic time
+        list(personal.islands(hard))
+
+
+def segmentations(n):
+    """All segmentations of ``n`` words with types; words outside of entities stand alone."""
+    if n == 0:
+        yield []
+    for width in range(1, min(n, personal.LONGEST) + 1):
+        for rest in segmentations(n - width):
+            for t in range(len(personal.KINDS) + 1):
+                if t or width == 1:
+                    yield [*rest, (n - width, n, t)]
+
+
+def test_dynamic_program_and_gradient_against_all_segmentations():
+    rng = np.random.default_rng(6)
+    text = "12 a@b 3.4 77 9"
+    words = [(m.start(), m.end()) for m in re.finditer("[^ ]+", text)]
+    field = personal.Field()
+    found = field.segments(text, words)
+    for f in {f for fs in found.values() for f in fs}:
+        field.weights[f] = rng.normal(size=5)
+    field.moves = rng.normal(size=(5, 5))
+    scores = {k: field.score(f, k[1] - k[0]) for k, f in found.items()}
+
+    def value(path):
+        return sum(scores[i, j][t] + field.moves[before, t] for (i, j, t), before in zip(path, [0] + [t for _, _, t in path]))
+
+    every = list(segmentations(len(words)))
+    values = np.array([value(p) for p in every])
+    best = every[int(values.argmax())]
+    assert [(t, i, j) for t, i, j, _ in field.best(text, words)] == [(t - 1, i, j) for i, j, t in best if t]
+    share = np.exp(values - np.logaddexp.reduce(values))
+    expected, moves = field.expectations(len(words), scores)
+    for (i, j), p in expected.items():
+        for t in range(5):
+            assert abs(p[t] - sum(w for w, path in zip(share, every) if (i, j, t) in path)) < 1e-9
+    seen = np.zeros((5, 5))
+    for w, path in zip(share, every):
+        for before, (_, _, t) in zip([0] + [t for _, _, t in path], path):
+            seen[before, t] += w
+    assert np.abs(moves - seen).max() < 1e-9
+
+
 # ------------------------------------------------------------------ quality and language
 
 
