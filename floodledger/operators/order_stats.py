@@ -115,14 +115,15 @@ def exact_percentiles(
     )
 
 
-def middle_values(numbers: DataFrame, by: str, value: str) -> DataFrame:
+def middle_values(numbers: DataFrame, by: str, value: str, times: str | None = None) -> DataFrame:
     """The exact median of doubles of any size per group: ``by``, ``median``.
 
     Distinct values are counted, dealt into ranges of group and value, and the ranges counted in
     turn (a row for each range and group); then the one or two middle ranks are looked up. Whole
-    numbers are never formed, so neither scale nor span matters. NULL and NaN are no values.
+    numbers are never formed, so neither scale nor span matters. NULL and NaN are no values. A row
+    counts as often as its column ``times`` says, without it once.
     """
-    counts = numbers.where(F.col(value).isNotNull() & ~F.isnan(value)).groupBy(by, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    counts = numbers.where(F.col(value).isNotNull() & ~F.isnan(value)).groupBy(by, F.col(value).alias("_v")).agg((F.sum(times) if times else F.count("*")).alias("_n"))
     n = int(numbers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # written: another evaluation could draw other ranges
     dealt = written(counts.repartitionByRange(n, by, "_v").withColumn("_part", F.spark_partition_id()), "ranges")

@@ -40,8 +40,11 @@ def value_counts(df: DataFrame, columns: Sequence[str], top: int | None = None)
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    if top is None:
-        return counts
+    return counts if top is None else leading_values(counts, top)
+
+
+def leading_values(counts: DataFrame, top: int) -> DataFrame:
+    """The most frequent values of each column with their ``rank``; equal counts are ordered by value."""
     rank = F.row_number().over(
         Window.partitionBy("column").orderBy(F.desc("n"), F.asc("value"))
     )

@@ -5,6 +5,7 @@ from conftest import CLAIM, POLICY
 from pyspark.sql import functions as F
 
 from floodledger import run
+from floodledger.plans import profile
 from floodledger.plans.profile import profile_entity
 from floodledger.plans.warehouse import bronze_path, land_csv, land_files
 from floodledger.schemas import CLAIM_COLUMNS, ENDPOINT, ENVELOPE, POLICY_COLUMNS
@@ -218,6 +219,21 @@ def test_profile(spark):
     assert ("dates", "dateOfLoss", "min", "2017-08-25") in out
 
 
+def test_profile_reads_the_text_once(spark, tmp_path):
+    rows = [CLAIM | {"amountPaidOnBuildingClaim": str(i % 7), "yearOfLoss": None if i % 3 else "2017"} for i in range(50)]
+    schema = ", ".join(f"{c} string" for c in CLAIM_COLUMNS)
+    spark.createDataFrame([tuple(r[c] for c in CLAIM_COLUMNS) for r in rows], schema).write.parquet(str(tmp_path / "claims"))
+    df = spark.read.parquet(str(tmp_path / "claims"))
+    counted = profile.tally(df)
+    assert counted.where("column = 'yearOfLoss'").orderBy("value").collect() == [("yearOfLoss", None, 33), ("yearOfLoss", "2017", 17)]
+    whole = {tuple(r) for r in profile.column_facts(df, ["dateOfLoss"]).collect()}
+    assert {tuple(r) for r in profile.facts_of(counted, ["dateOfLoss"]).collect()} == whole
+    assert profile.medians_of(counted.where("column LIKE 'amount%'")).collect() == profile.medians(df, [c for c in df.columns if c.startswith("amount")]).collect()
+    # what is left to do reads only the tally
+    assert not set(profile_entity(df, "claims").inputFiles()) & set(df.inputFiles())
+    assert profile_entity(df.limit(0), "claims").where("section <> 'rows'").count() == 0
+
+
 def test_files_are_told_by_length_and_time(spark, tmp_path, monkeypatch):
     import os
 
