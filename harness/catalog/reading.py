@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from floodledger.operators.topn import completeness, page
+from floodledger.plans.replay import replay
 from floodledger.plans.warehouse import bronze_path, land_files
 from floodledger.schemas import (
     CLAIM_COLUMNS,
@@ -26,6 +27,7 @@ from harness.sql import money
 from harness.workspace import Workspace
 
 BAD_LINE = "broken,line"
+OVERLONG = ",too,long"
 _CACHE: dict[str, str] = {}
 
 
@@ -113,6 +115,21 @@ def s03_counts(ws):
     )
 
 
+@query("s03_replayed_lines", "landed_claims", PER_STATE)
+def s03_replayed(ws):
+    """Every third line has two fields too many; mended and replayed twice, each row is there once."""
+    rows = bindings.landed_claims(ws.spark, ws.sf_dir)
+    line = F.concat_ws(",", *(F.coalesce(F.col(c), F.lit("")) for c in CLAIM_COLUMNS))
+    damaged, out = ws.scratch("overlong"), ws.scratch("replayed")
+    rows.select(F.when(F.col(bindings.INGEST_SEQ) % 3 == 0, F.concat(line, F.lit(OVERLONG))).otherwise(line).alias("value")).write.text(damaged)
+    marked = landing.read_csv_marked(ws.spark, damaged, CLAIM_COLUMNS, header=False)
+    landed_rows = landing.to_landed_table(marked, "claims").withColumn(landing.LOAD, F.lit("full"))
+    sinks.overwrite(landed_rows, bronze_path(out, "claims"), [landing.LOAD, landing.REJECTED])
+    for _ in range(2):
+        replay(ws.spark, out, "claims", F.regexp_replace(landing.BAD, f"{OVERLONG}$", ""))
+    return per_state(landing.read_bronze(ws.spark, bronze_path(out, "claims"), "claims"))
+
+
 @query("s04_files_with_other_column_order", "landed_claims", PER_STATE)
 def s04(ws):
     """Half of the files have their columns reversed and are still aligned by name."""
