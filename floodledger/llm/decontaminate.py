@@ -1,17 +1,21 @@
 """Benchmark decontamination: size-partitioned MinHash containment search, verified exactly.
 
-The benchmark items are the indexed sets. They are dealt into partitions by size, and a partition
-of largest size ``u`` keeps, of each item, a bottom sketch: the ``u - ceil(t * u) + 1`` smallest of
-its hashed shingles (all of them if it has fewer). A document that holds a share ``t`` of an item
-misses too few shingles to avoid the whole sketch, however long the document is, so the search by
-sketch has no false negatives; short items in long documents need no Jaccard detour. Every hit is
-then verified by counting the item's shingles in the whole document.
+Both sides are sets of hashed shingles, and both are partitioned by size. An item of ``m`` shingles
+keeps a bottom sketch, its ``m - ceil(t * m) + 1`` smallest hashes: whoever holds a share ``t`` of the
+item misses too few of its shingles to avoid the whole sketch, however long the document is, so
+short items in long documents need no Jaccard detour. Items of similar size share a partition. A
+partition's bound is the largest hash in its sketches, and a document is probed with its own MinHash
+sketch at that bound: those of its hashes that do not exceed it, about the share ``1 - t`` of them
+where items are not tiny. A document with fewer shingles than the smallest item of a partition needs
+is not probed there at all. Neither step loses a match. Every hit is then verified by counting the
+item's shingles in the whole document.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +39,30 @@ def partition_limit(size: int) -> int:
     return limit
 
 
+def needed(size: int, threshold: float) -> int:
+    """The fewest shingles of an item of ``size`` that make a match."""
+    return max(1, math.ceil(threshold * size - 1e-9))
+
+
 def sketch_length(size: int, threshold: float) -> int:
-    limit = partition_limit(size)
-    return min(size, limit - math.ceil(threshold * limit - 1e-9) + 1)
+    return size - needed(size, threshold) + 1
+
+
+@dataclass
+class Partition:
+    """Items of similar size: their sketches' hashes in order, and the item of each."""
+
+    keys: np.ndarray
+    owner: np.ndarray
+    fewest: int  # shingles that a document must have to match any of the items
+
+    @property
+    def bound(self) -> np.uint64:
+        return self.keys[-1]
 
 
 class Index:
-    """Sketches and whole sets of items, by the number of words of their shingles."""
+    """Sketches and whole sets of items, by the number of words of their shingles and by size."""
 
     def __init__(self, ids: list, texts: list[str], width: int, threshold: float):
         raw = [t.encode() for t in texts]
@@ -52,38 +73,59 @@ class Index:
         values, bounds = shingle_sets(data, offsets, width)
         self.ids, self.threshold, self.width = ids, threshold, width
         self.sets = [values[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
-        self.by_width: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for k in sorted({min(int(c), width) for c in count if c}):
-            here = [i for i, c in enumerate(count) if c and min(int(c), width) == k]
-            sketches = [self.sets[i][: sketch_length(len(self.sets[i]), threshold)] for i in here]
+        members: dict[int, dict[int, list[int]]] = {}
+        for i, c in enumerate(count):
+            if c:
+                members.setdefault(min(int(c), width), {}).setdefault(partition_limit(len(self.sets[i])), []).append(i)
+        self.by_width = {k: self._partitions(by_size.values()) for k, by_size in sorted(members.items())}
+
+    def _partitions(self, parts) -> list[Partition]:
+        """One partition for each group of items, those with the largest bound first."""
+        out = []
+        for here in parts:
+            sketches = [self.sets[i][: sketch_length(len(self.sets[i]), self.threshold)] for i in here]
             keys, owner = np.concatenate(sketches), np.repeat(here, [len(s) for s in sketches])
             order = np.argsort(keys, kind="stable")
-            self.by_width[k] = keys[order], owner[order]
+            fewest = min(needed(len(self.sets[i]), self.threshold) for i in here)
+            out.append(Partition(keys[order], owner[order], fewest))
+        return sorted(out, key=lambda p: p.bound, reverse=True)
+
+    def candidates(self, k: int, values: np.ndarray, holder: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Distinct pairs of row and item that share a hash of the item's sketch, in order of rows."""
+        found = [np.zeros((0, 2), np.int64)]
+        for part in self.by_width[k]:
+            within = values <= part.bound  # bounds fall, so the sketches of the documents only shrink
+            values, holder = values[within], holder[within]
+            big = sizes[holder] >= part.fewest
+            probes, rows = values[big], holder[big]
+            near = np.zeros(1 << 16, bool)
+            near[(part.keys >> U64(48)).astype(np.int64)] = True
+            maybe = np.flatnonzero(near[(probes >> U64(48)).astype(np.int64)])
+            lo, hi = np.searchsorted(part.keys, probes[maybe]), np.searchsorted(part.keys, probes[maybe], side="right")
+            hit = hi > lo
+            maybe, lo, hi = maybe[hit], lo[hit], hi[hit]
+            size = hi - lo
+            at = np.repeat(lo, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            found.append(np.stack([np.repeat(rows[maybe], size), part.owner[at]], axis=1))
+        return np.unique(np.concatenate(found), axis=0)
 
     def search(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """Row, item and shared shingles of every verified pair."""
         hashes, rows, _, _ = words(data, offsets)
-        for k, (keys, owner) in self.by_width.items():
+        for k in self.by_width:
             values, holder = grams(hashes, rows, k)
-            near = np.zeros(1 << 20, bool)
-            near[(keys >> U64(44)).astype(np.int64)] = True
-            maybe = np.flatnonzero(near[(values >> U64(44)).astype(np.int64)])
-            lo, hi = np.searchsorted(keys, values[maybe]), np.searchsorted(keys, values[maybe], side="right")
-            hit = hi > lo
-            maybe, lo, hi = maybe[hit], lo[hit], hi[hit]
-            size = hi - lo
-            at = np.repeat(lo, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            pairs = np.unique(np.stack([np.repeat(holder[maybe], size), owner[at]], axis=1), axis=0)
-            bounds = np.searchsorted(holder, np.arange(len(offsets)))
+            # repeated shingles make a document look larger than it is, which only probes more
+            sizes = np.bincount(holder, minlength=len(offsets) - 1)
+            starts = np.concatenate([[0], np.cumsum(sizes)])
             row, held = -1, None
-            for r, i in pairs:
+            for r, i in self.candidates(k, values, holder, sizes):
                 if r != row:
-                    row, held = r, np.unique(values[bounds[r] : bounds[r + 1]])
+                    row, held = r, np.unique(values[starts[r] : starts[r + 1]])
                 wanted = self.sets[i]
                 place = np.minimum(np.searchsorted(held, wanted), len(held) - 1)
-                shared = int((held[place] == wanted).sum())
-                if shared >= self.threshold * len(wanted) - 1e-9:
-                    yield int(r), int(i), shared
+                common = int((held[place] == wanted).sum())
+                if common >= self.threshold * len(wanted) - 1e-9:
+                    yield int(r), int(i), common
 
 
 def _blocks(items: DataFrame) -> Iterator[list]:

@@ -782,3 +782,34 @@ def test_workers_need_no_copy_of_the_package(tmp_path):
     root = os.path.dirname(os.path.dirname(package))
     done = subprocess.run([sys.executable, str(tmp_path / "job.py"), root, str(tmp_path / "shared")], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr[-3000:]
+
+
+def test_containment_search_prunes_both_sides_without_losing_a_match():
+    """Documents of all sizes that hold just enough of an item, or just too little, each found or left as counted by hand."""
+    rng = np.random.default_rng(3)
+    items, docs = [], []
+    for i, size in enumerate([1, 2, 3, 5, 6, 9, 14, 20, 33, 60, 140]):
+        own = [f"i{i}w{j}" for j in range(size + 4)]
+        items.append(" ".join(own))
+        for lead in (0, 3, 400):
+            for held in (size, decontaminate.needed(size, 0.8), decontaminate.needed(size, 0.8) - 1):
+                at = int(rng.integers(0, size - held + 1))
+                other = [f"o{v}" for v in rng.integers(0, 50, lead)]
+                docs.append(" ".join(other + own[at : at + held + 4 if held else 0] + other))
+    index = decontaminate.Index(list(range(len(items))), items, 5, 0.8)
+    shingle = lambda text: {tuple(text.split()[j : j + 5]) for j in range(len(text.split()) - 4)}
+    want = set()
+    for r, text in enumerate(docs):
+        for i, item in enumerate(items):
+            common = len(shingle(item) & shingle(text))
+            if 100 * common >= 80 * len(shingle(item)):
+                want.add((r, i, common))
+    raw = [d.encode() for d in docs]
+    offsets = np.cumsum([0] + [len(b) for b in raw], dtype=np.int64)
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    assert set(index.search(data, offsets)) == want and len(want) > 60
+    # larger items have sketches of small hashes only, and small documents are not probed for them
+    parts = index.by_width[5]
+    assert len(parts) > 6 and all(a.bound >= b.bound for a, b in zip(parts, parts[1:]))
+    largest = max(parts, key=lambda p: p.fewest)
+    assert largest.fewest == 112 and largest.bound < np.uint64(2**63)
