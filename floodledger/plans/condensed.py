@@ -4,6 +4,9 @@ A full build writes the sums of all fact rows. A load that replaces fact rows ad
 sums of the rows that came minus the sums of the rows that went. Reading adds everything up, and
 groups without rows left are gone. The result takes the place of the facts in a star, so the views
 read a row for each group and load instead of all facts.
+
+Two grains are histograms of the paid amounts: percentiles are located in them, and only the fact rows in
+the bucket where a percentile lies are read.
 """
 
 from __future__ import annotations
@@ -14,11 +17,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floodledger.functions import derive
+from floodledger.operators.order_stats import BUCKET, ROWS as COUNT, bucket_ends, leading, within
+from floodledger.plans import views
 from floodledger.plans.layers import Star
 from floodledger.session import at_once
 from floodledger.sources.sinks import overwrite
 
 GRAIN, ROWS = "grain", "row_count"
+#: The bucket of a positive paid amount; claims without one have none.
+PAID_BUCKET = "paid_bucket"
 #: Keys of every grain by fact; ``year_key`` is the date key of the first of January, or the Unknown one.
 GRAINS = {
     "fact_claims": {
@@ -26,6 +33,8 @@ GRAINS = {
         "zone": ["year_key", "flood_zone_key"],
         "building": ["occupancy_key", "building_type_key"],
         "loss_year": ["year_of_loss"],
+        "paid_by_place": ["location_key", PAID_BUCKET],
+        "paid_by_zone": ["flood_zone_key", PAID_BUCKET],
     },
     "fact_policies": {
         "place": ["year_key", "location_key"],
@@ -59,6 +68,9 @@ def signed(fact: DataFrame, name: str, sign: int) -> DataFrame:
     rows = fact.withColumn("year_key", F.when(date > 0, F.floor(date / 10000).cast("int") * 10000 + 101).otherwise(date))
     if name == "fact_policies":
         rows = rows.withColumn("earned_premium", derive.earned_premium(F.col("total_premium"), F.col("exposure")))
+    else:
+        paid = F.col("amount_paid_total")
+        rows = rows.withColumn(PAID_BUCKET, F.when(paid > 0, leading(paid)))
     keys = sorted({k for grain in GRAINS[name].values() for k in grain})
     return rows.select(
         *keys,
@@ -118,3 +130,44 @@ def condensed_star(star: Star, gold: str, grain: str) -> Star:
     """The star with the merged sums in the place of those facts that have the grain."""
     spark = star.dim_date.sparkSession
     return replace(star, **{name: read(spark, gold, name, grain) for name, grains in GRAINS.items() if grain in grains})
+
+
+def _histogram(hist: DataFrame, *by: str) -> DataFrame:
+    return hist.select(*by, F.col(PAID_BUCKET).alias(BUCKET), F.col(ROWS).alias(COUNT))
+
+
+def large_loss_concentration(star: Star, gold: str, p: float = 0.95) -> DataFrame:
+    """The view of that name from the histogram by place: whole buckets beyond the threshold are summed up.
+
+    Of the facts, only the rows in the bucket of the threshold are read, twice: to find it and to tell
+    the rows on its two sides.
+    """
+    hist = read(star.dim_date.sparkSession, gold, "fact_claims", "paid_by_place")
+    positive = hist.where(F.col(PAID_BUCKET).isNotNull())
+    threshold = views.large_loss_threshold(star.fact_claims, p, _histogram(positive)).first()[0]
+    limit = F.lit(threshold).cast("double")
+    paid, here = F.col("amount_paid_total"), leading(limit)
+    beyond = F.coalesce(F.col(PAID_BUCKET) > here, F.lit(False))
+    parts = hist.select(
+        "location_key",
+        F.when(beyond, F.col(ROWS)).otherwise(0).alias("large_rows"),
+        F.when(beyond, paid).otherwise(0).alias("large"),
+        paid.alias("paid"),
+    )
+    if threshold is not None:
+        end = star.dim_date.sparkSession.range(1).select(bucket_ends(here)[1]).first()[0]
+        facts = star.fact_claims.where(within(paid, star.fact_claims.schema["amount_paid_total"].dataType, threshold, end))
+        edge = facts.where((paid.cast("double") >= limit) & (leading(paid) == here))
+        parts = parts.unionByName(edge.select(
+            "location_key", F.lit(1).cast("bigint").alias("large_rows"), paid.alias("large"), F.lit(None).cast(hist.schema["amount_paid_total"].dataType).alias("paid")))
+    return views.large_losses_by_state(
+        star, parts, limit, large_loss_count=F.sum("large_rows"), large_loss_total=F.sum("large"), total_paid=F.sum("paid"))
+
+
+def severity_by_zone(star: Star, gold: str) -> DataFrame:
+    """The view of that name: averages and shares from the sums, medians from the histogram and the rows around them."""
+    spark = star.dim_date.sparkSession
+    hist = read(spark, gold, "fact_claims", "paid_by_zone").where(F.col(PAID_BUCKET).isNotNull())
+    named = hist.join(star.dim_flood_zone, "flood_zone_key")
+    return views.severity_by_zone(
+        replace(star, fact_claims=hist), views.median_severity(star, _histogram(named, *views.ZONE)))

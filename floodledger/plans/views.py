@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -89,10 +89,10 @@ def frequency_severity(star: Star) -> DataFrame:
     )
 
 
-def large_loss_threshold(fact_claims: DataFrame, p: float = 0.95) -> DataFrame:
+def large_loss_threshold(fact_claims: DataFrame, p: float = 0.95, histogram: DataFrame | None = None) -> DataFrame:
     """One row: the percentile of the positive claims, NULL without any."""
     paid = fact_claims.where("amount_paid_total > 0")
-    return exact_percentiles(paid, "amount_paid_total", [p]).agg(
+    return exact_percentiles(paid, "amount_paid_total", [p], histogram=histogram).agg(
         F.max("percentile").alias("p95_threshold")
     )
 
@@ -102,37 +102,49 @@ def large_loss_concentration(star: Star, p: float = 0.95) -> DataFrame:
     threshold = large_loss_threshold(star.fact_claims, p).scalar()
     paid = F.col("amount_paid_total")
     flag = derive.large_loss_flag(paid.cast("double"), threshold)
-    flagged = star.fact_claims.withColumn("is_large_loss", flag)
-    places = (star.dim_location.select("location_key", "state_name"), "location_key")
-    per_state = _total(
-        flagged, [places], ["state_name"],
+    return large_losses_by_state(
+        star, star.fact_claims.withColumn("is_large_loss", flag), threshold,
         large_loss_count=F.sum("is_large_loss"),
         large_loss_total=F.sum(F.when(F.col("is_large_loss") == 1, paid).otherwise(0)),
         total_paid=F.sum(paid),
     )
+
+
+def large_losses_by_state(star: Star, claims: DataFrame, threshold: Column, **sums: Column) -> DataFrame:
+    """The sums per state, with the share of the large losses."""
+    places = (star.dim_location.select("location_key", "state_name"), "location_key")
+    per_state = _total(claims, [places], ["state_name"], **sums)
     share = derive.safe_ratio(F.col("large_loss_total"), F.col("total_paid")) * 100
     return per_state.withColumns({"pct_of_total_paid": share, "p95_threshold": threshold})
 
 
-def severity_by_zone(star: Star) -> DataFrame:
+ZONE = ["zone_category", "zone_description"]
+
+
+def _positive_by_zone(star: Star) -> DataFrame:
+    zones = star.dim_flood_zone.select("flood_zone_key", *ZONE)
+    return star.fact_claims.where("amount_paid_total > 0").join(zones, "flood_zone_key")
+
+
+def median_severity(star: Star, histogram: DataFrame | None = None) -> DataFrame:
+    """The median of the positive claims by zone."""
+    # Zone categories are a fixed list of five, so the groups of the median are few.
+    paid = _positive_by_zone(star).select("amount_paid_total", *ZONE)
+    median = exact_percentiles(paid, "amount_paid_total", [0.5], ZONE, few_groups=True, histogram=histogram)
+    return median.select(*ZONE, F.col("percentile").alias("median_severity"))
+
+
+def severity_by_zone(star: Star, median: DataFrame | None = None) -> DataFrame:
     """Average and median severity and the building and contents shares, positive claims only."""
-    by = ["zone_category", "zone_description"]
-    paid = (
-        star.fact_claims.where("amount_paid_total > 0")
-        .select("flood_zone_key", "amount_paid_total", "amount_paid_building", "amount_paid_contents")
-        .join(star.dim_flood_zone.select("flood_zone_key", *by), "flood_zone_key")
-    )
+    by = ZONE
     totals = _total(
-        paid, [], by,
-        claim_count=F.count(F.lit(1)),
+        _positive_by_zone(star), [], by,
+        claim_count=_rows(star.fact_claims),
         total=F.sum("amount_paid_total"),
         building=F.sum("amount_paid_building"),
         contents=F.sum("amount_paid_contents"),
     )
-    # Zone categories are a fixed list of five, so the groups of the median are few.
-    median = exact_percentiles(paid, "amount_paid_total", [0.5], by, few_groups=True).select(
-        *by, F.col("percentile").alias("median_severity")
-    )
+    median = median_severity(star) if median is None else median
     claims, total = F.col("claim_count"), F.col("total")
     return totals.join(median, by, "left").select(
         *by,

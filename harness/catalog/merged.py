@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from floodledger.plans import views
+from floodledger.plans import condensed, views
 from harness.catalog import star  # noqa: F401  (its SQL is taken below)
 from harness.registry import ORACLES, query
 from harness.workspace import Workspace
@@ -104,6 +104,18 @@ def v02(ws):
     return views.frequency_severity(ws.condensed("zone"))
 
 
+@_same_as("v03_merged_large_loss", "v03_large_loss_concentration")
+def v03(ws):
+    merged = condensed.large_loss_concentration(ws.merged.star, f"{ws.merged.path}/gold")
+    return merged.withColumn("p95_threshold", F.round("p95_threshold", 6))
+
+
+@_same_as("v04_merged_severity", "v04_severity_by_zone")
+def v04(ws):
+    merged = condensed.severity_by_zone(ws.merged.star, f"{ws.merged.path}/gold")
+    return merged.withColumn("median_severity", F.round("median_severity", 6))
+
+
 @_same_as("v05_merged_premium_adequacy", "v05_premium_adequacy")
 def v05(ws):
     return views.premium_adequacy(ws.condensed("building"))

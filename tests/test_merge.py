@@ -104,6 +104,32 @@ def test_views_from_merged_sums_equal_views_of_the_facts(runs):
         assert of(short) == of(view(result.star)) == of(view(whole.star)), name
 
 
+def test_percentile_views_from_merged_histograms_equal_views_of_the_facts(runs):
+    out, result, _, _, whole = runs
+    of = lambda df: sorted([{k: float(v) if hasattr(v, "as_tuple") else v for k, v in r.asDict().items()} for r in df.collect()], key=repr)
+    for p in (0.0, 0.5, 0.95, 1.0):
+        short = of(condensed.large_loss_concentration(result.star, f"{out}/gold", p))
+        assert short == of(views.large_loss_concentration(result.star, p)) == of(views.large_loss_concentration(whole.star, p))
+        assert sum(r["large_loss_count"] for r in short) > 0
+    assert of(condensed.severity_by_zone(result.star, f"{out}/gold")) == of(views.severity_by_zone(result.star)) == of(views.severity_by_zone(whole.star))
+
+
+def test_percentile_views_read_only_the_bucket_of_the_percentile(runs):
+    out, result, *_ = runs
+    plan = condensed.large_loss_concentration(result.star, f"{out}/gold")._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "paid_bucket" not in line and "amount_paid_total" in line]
+    assert len(scans) == 1 and "LessThanOrEqual(am" in scans[0] and "amount_paid_total:decimal(18,2)>" in scans[0]
+
+
+def test_large_losses_without_any_paid_claim(wide, runs, monkeypatch):
+    out, result, *_ = runs
+    stored = condensed.read
+    monkeypatch.setattr(condensed, "read", lambda *a: stored(*a).where("paid_bucket IS NULL"))
+    rows = condensed.large_loss_concentration(result.star, f"{out}/gold").collect()
+    assert all(r.p95_threshold is None and r.large_loss_count == 0 for r in rows)
+    assert condensed.severity_by_zone(result.star, f"{out}/gold").count() == 0
+
+
 def test_sums_of_a_group_whose_rows_are_gone(wide, runs):
     """A zone that no row has any more is in no view."""
     out, result = runs[0], runs[1]

@@ -1,10 +1,20 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from floodledger.operators.dedup import duplicate_keys, surplus_per_key
 from floodledger.operators.drill import drill_across
-from floodledger.operators.order_stats import exact_percentiles, middle_values
+from floodledger.operators.order_stats import (
+    BUCKET,
+    ROWS,
+    bucket_ends,
+    exact_percentiles,
+    from_bits,
+    leading,
+    middle_values,
+    order_bits,
+)
 from floodledger.operators.shares import count_by_with_total, null_counts, value_counts
 from floodledger.operators.topn import completeness, page, top_per_group
 
@@ -40,6 +50,55 @@ def test_percentile_of_nothing(spark):
     assert exact_percentiles(df, "v", [0.5]).count() == 0
 
 
+def test_bits_are_those_of_the_double_and_sort_like_it(spark):
+    rng = np.random.default_rng(7)
+    values = np.concatenate([
+        rng.integers(0, 2**63, 3000, dtype=np.uint64).view(np.float64),  # doubles of all exponents
+        rng.normal(0, 1e6, 500), 2.0 ** np.arange(-1074, 1024), np.nextafter(2.0 ** np.arange(-1000, 1024), 0),
+        np.nextafter(2.0 ** np.arange(-1000, 1023), np.inf), [0.0, -0.0, 5e-324, 1.7976931348623157e308, np.inf, 0.01, 0.07]])
+    values = values[~np.isnan(values)]
+    values = np.unique(np.concatenate([values, -values]))
+    df = spark.createDataFrame(pd.DataFrame({"v": values}))
+    first, beyond = bucket_ends(F.col("b"))
+    got = df.select("v", order_bits(F.col("v")).alias("k"), leading(F.col("v")).alias("b")).select(
+        "*", from_bits(F.col("k")).alias("back"), first.alias("first"), beyond.alias("beyond")).toPandas()
+    size = np.abs(got.v.to_numpy()).view(np.int64)
+    assert (got.k.to_numpy() == np.where(got.v < 0, -size, size)).all()
+    assert (got.back == got.v).all()
+    inside = got[np.isfinite(got.v)]
+    assert ((inside["first"] <= inside.v) & (inside.v < inside.beyond)).all()
+
+
+def test_percentiles_from_a_kept_histogram(spark):
+    """Loads that came and went add up to the histogram; groups with NULL, negative values, buckets that lost their rows."""
+    rng = np.random.default_rng(11)
+    groups = ["a", None, "b"]
+    rows = [(groups[int(g)], round(float(v), 2)) for g, v in zip(rng.integers(0, 3, 3000), rng.lognormal(6, 3, 3000) * rng.choice([-1, 1], 3000))]
+    rows += [("a", None), ("gone", None)]
+    gone = [("a", 1e9), ("gone", 5.0), (None, -7.77)] * 4
+    frame = lambda data: spark.createDataFrame(data, "g string, v double").withColumn("v", F.col("v").cast("decimal(18,2)"))
+    tally = lambda data, sign: frame(data).where("v IS NOT NULL").groupBy("g", leading(F.col("v")).alias(BUCKET)).agg((F.count("*") * sign).alias(ROWS))
+    kept = tally(rows[:1000] + gone, 1).unionByName(tally(rows[1000:], 1)).unionByName(tally(gone, -1))
+    ps = [0.0, 0.31, 0.5, 0.95, 1.0]
+    of = lambda df: {(r.g, r.p): r.percentile for r in df.collect()}
+    got = of(exact_percentiles(frame(rows), "v", ps, ["g"], histogram=kept))
+    assert got == of(exact_percentiles(frame(rows), "v", ps, ["g"]))
+    for g in groups:
+        values = [v for h, v in rows if h == g and v is not None]
+        assert [got[g, p] for p in ps] == pytest.approx([np.quantile(values, p) for p in ps], abs=1e-6)
+    assert {g for g, _ in got} == set(groups)
+    assert exact_percentiles(frame(rows), "v", [0.5], histogram=kept.drop("g").limit(0)).count() == 0
+    whole = of(exact_percentiles(frame(rows).withColumn("g", F.lit("x")), "v", ps, histogram=kept).withColumn("g", F.lit("x")))
+    assert whole["x", 0.95] == pytest.approx(np.quantile([v for _, v in rows if v is not None], 0.95), abs=1e-6)
+
+
+def test_values_at_the_limit_of_their_type(spark):
+    rows = spark.createDataFrame([("99999999999999.99",), ("-99999999999999.99",), ("0.01",)], "t string").select(F.col("t").cast("decimal(16,2)").alias("v"))
+    kept = rows.groupBy(leading(F.col("v")).alias(BUCKET)).agg(F.count("*").alias(ROWS))
+    for p, want in ((0.0, -99999999999999.99), (0.5, 0.01), (1.0, 99999999999999.99)):
+        assert exact_percentiles(rows, "v", [p], histogram=kept).first().percentile == pytest.approx(want, rel=1e-15)
+
+
 @pytest.mark.parametrize("n", [3, 50, 100_000])
 def test_top_per_group(spark, n):
     # one group holds nearly all rows, and its values repeat
