@@ -90,23 +90,32 @@ class Index:
             out.append(Partition(keys[order], owner[order], fewest))
         return sorted(out, key=lambda p: p.bound, reverse=True)
 
+    def sketches(self, k: int, values: np.ndarray, holder: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The documents' own sketches: hashes up to the largest bound of the partitions that a document is large enough for."""
+        parts = sorted(self.by_width[k], key=lambda p: p.fewest)
+        bounds = np.maximum.accumulate(np.array([U64(0)] + [p.bound for p in parts], U64))
+        bound = bounds[np.searchsorted([p.fewest for p in parts], sizes, side="right")]
+        within = values <= np.repeat(bound, sizes)
+        return values[within], holder[within]
+
     def candidates(self, k: int, values: np.ndarray, holder: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Distinct pairs of row and item that share a hash of the item's sketch, in order of rows."""
         found = [np.zeros((0, 2), np.int64)]
+        values, holder = self.sketches(k, values, holder, sizes)
+        near = np.zeros(1 << 20, bool)
+        for part in self.by_width[k]:
+            near[(part.keys >> U64(44)).astype(np.int64)] = True
+        maybe = near[(values >> U64(44)).astype(np.int64)]
+        values, holder = values[maybe], holder[maybe]
         for part in self.by_width[k]:
             within = values <= part.bound  # bounds fall, so the sketches of the documents only shrink
             values, holder = values[within], holder[within]
             big = sizes[holder] >= part.fewest
             probes, rows = values[big], holder[big]
-            near = np.zeros(1 << 16, bool)
-            near[(part.keys >> U64(48)).astype(np.int64)] = True
-            maybe = np.flatnonzero(near[(probes >> U64(48)).astype(np.int64)])
-            lo, hi = np.searchsorted(part.keys, probes[maybe]), np.searchsorted(part.keys, probes[maybe], side="right")
-            hit = hi > lo
-            maybe, lo, hi = maybe[hit], lo[hit], hi[hit]
+            lo, hi = np.searchsorted(part.keys, probes), np.searchsorted(part.keys, probes, side="right")
             size = hi - lo
             at = np.repeat(lo, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            found.append(np.stack([np.repeat(rows[maybe], size), part.owner[at]], axis=1))
+            found.append(np.stack([np.repeat(rows, size), part.owner[at]], axis=1))
         return np.unique(np.concatenate(found), axis=0)
 
     def search(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int]]:
