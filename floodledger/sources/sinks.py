@@ -77,16 +77,18 @@ def switch(spark: SparkSession, staged: str, path: str) -> None:
     files.delete(aside, True)
 
 
-def write_csv_by_state(df: DataFrame, path: str, state_column: str) -> None:
+def write_csv_by_state(df: DataFrame, path: str, state_column: str, compression: str = "none") -> None:
     """One CSV folder per state, with header.
 
     A state is a folder of part files, not one file: a single file would send a whole state
-    through one task. The state stays a column inside the files too.
+    through one task. The state stays a column inside the files too. ``compression`` is one that
+    Spark's readers take from the name of a file, like ``gzip``; such a file is read by one task.
     """
     (
         df.withColumn("_state", F.col(state_column))
         .write.mode("overwrite")
         .partitionBy("_state")
+        .option("compression", compression)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')

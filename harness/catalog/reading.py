@@ -29,6 +29,8 @@ from harness.workspace import Workspace
 BAD_LINE = "broken,line"
 OVERLONG = ",too,long"
 _CACHE: dict[str, str] = {}
+#: Landed text repeats itself, names of columns above all: as plain text it is many times the tables it is made of.
+PACKED = "gzip"
 
 
 def landed(ws: Workspace, entity: str) -> DataFrame:
@@ -41,7 +43,7 @@ def csv_folder(ws: Workspace, entity: str) -> str:
     key = f"{ws.path}/{entity}"
     if key not in _CACHE:
         path = ws.scratch(f"csv_{entity}")
-        sinks.write_csv_by_state(landed(ws, entity), path, "state" if entity == "claims" else "propertyState")
+        sinks.write_csv_by_state(landed(ws, entity), path, "state" if entity == "claims" else "propertyState", PACKED)
         _CACHE[key] = path
     return _CACHE[key]
 
@@ -87,7 +89,7 @@ def damaged_folder(ws: Workspace) -> str:
     broken = F.when(F.col(bindings.INGEST_SEQ) % 100 == 0, F.lit(BAD_LINE))
     lines = rows.select("state", F.explode(F.array_compact(F.array(line, broken))).alias("value"))
     path = ws.scratch("damaged")
-    lines.write.partitionBy("state").text(path)
+    lines.write.partitionBy("state").text(path, compression=PACKED)
     return path
 
 
@@ -121,7 +123,7 @@ def s03_replayed(ws):
     rows = bindings.landed_claims(ws.spark, ws.sf_dir)
     line = F.concat_ws(",", *(F.coalesce(F.col(c), F.lit("")) for c in CLAIM_COLUMNS))
     damaged, out = ws.scratch("overlong"), ws.scratch("replayed")
-    rows.select(F.when(F.col(bindings.INGEST_SEQ) % 3 == 0, F.concat(line, F.lit(OVERLONG))).otherwise(line).alias("value")).write.text(damaged)
+    rows.select(F.when(F.col(bindings.INGEST_SEQ) % 3 == 0, F.concat(line, F.lit(OVERLONG))).otherwise(line).alias("value")).write.text(damaged, compression=PACKED)
     marked = landing.read_csv_marked(ws.spark, damaged, CLAIM_COLUMNS, header=False)
     landed_rows = landing.to_landed_table(marked, "claims").withColumn(landing.LOAD, F.lit("full"))
     sinks.overwrite(landed_rows, bronze_path(out, "claims"), [landing.LOAD, landing.REJECTED])
@@ -145,7 +147,7 @@ def turned_files(ws: Workspace) -> str:
         ("straight", rows.where(~turned)),
         ("reversed", rows.where(turned).select(*reversed(CLAIM_COLUMNS))),
     ):
-        part.write.options(**landing.DIALECT).option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+        part.write.options(**landing.DIALECT).option("compression", PACKED).option("header", True).option("ignoreLeadingWhiteSpace", False).option(
             "ignoreTrailingWhiteSpace", False
         ).csv(f"{path}/{name}")
     return path
