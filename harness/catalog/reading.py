@@ -315,7 +315,7 @@ def page_folder(ws: Workspace) -> str:
         empty = F.when(F.col("state") == "ASIA", F.array(full, F.array_except(full, full)))
         pages = rows.select(F.explode(F.coalesce(empty, F.array(full))).alias(ENVELOPE["claims"]))
         path = ws.scratch("pages")
-        pages.write.json(path)
+        pages.write.json(path, compression=PACKED)
         _CACHE[key] = path
     return _CACHE[key]
 

@@ -258,3 +258,47 @@ def test_files_are_told_by_length_and_time(spark, tmp_path, monkeypatch):
     # a full load forgets the earlier ones
     assert land_csv(spark, str(source), out, "claims")["claims_raw"] == 3
     assert land_csv(spark, str(source), out, "claims", only_new=True)["claims_raw"] == 0
+
+
+def test_state_files_can_be_compressed(spark, tmp_path):
+    """The columns from the header and all values are there again, and the text takes less space than its values."""
+    df = spark.range(2000).selectExpr("if(id % 2 = 0, 'TX', 'FL') AS state", "concat('a \"b\", c ', id % 7) AS v")
+    sinks.write_csv_by_state(df, str(tmp_path / "out"), "state", "gzip")
+    files = [f for f in (tmp_path / "out").rglob("part-*") if not f.name.endswith(".crc")]
+    assert files and all(f.name.endswith(".csv.gz") for f in files)
+    assert sum(f.stat().st_size for f in files) < df.selectExpr("sum(length(state) + length(v))").first()[0] / 4
+    stored = landing.read_csv_by_header(spark, f"{tmp_path}/out/*")
+    assert stored.columns == ["state", "v"] and stored.exceptAll(df).isEmpty() and df.exceptAll(stored).isEmpty()
+
+
+def _own_claims(spark, monkeypatch, tmp_path):
+    """Claims in the place of the driver's, and a workspace that writes below the folder of the test."""
+    from types import SimpleNamespace
+
+    from harness import bindings
+
+    rows = [tuple((CLAIM | {"state": s, "occupancyType": str(i)})[c] for c in CLAIM_COLUMNS) + (i,) for i, s in enumerate(["ASIA", "TX", "FL"] * 50)]
+    claims = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in CLAIM_COLUMNS) + f", {bindings.INGEST_SEQ} bigint")
+    monkeypatch.setattr(bindings, "landed_claims", lambda *_: claims)
+    monkeypatch.setitem(bindings.LANDED, "claims", lambda *_: claims)
+    return claims, SimpleNamespace(spark=spark, sf_dir="", path=str(tmp_path), scratch=lambda name: str(tmp_path / name))
+
+
+def test_pages_are_written_compressed(spark, monkeypatch, tmp_path):
+    from harness.catalog import reading
+
+    claims, ws = _own_claims(spark, monkeypatch, tmp_path)
+    folder = reading.page_folder(ws)
+    files = [f for f in (tmp_path / "pages").rglob("part-*")]
+    assert files and all(f.name.endswith(".json.gz") for f in files)
+    pages = landing.read_envelope(spark, folder, reading.ENVELOPE["claims"], CLAIM_COLUMNS, multi_line=False)
+    assert pages.select(*CLAIM_COLUMNS).exceptAll(claims.select(*CLAIM_COLUMNS)).isEmpty() and pages.count() == 150
+
+
+def test_query_files_are_written_compressed(spark, monkeypatch, tmp_path):
+    from harness.catalog import reading
+
+    claims, ws = _own_claims(spark, monkeypatch, tmp_path)
+    folder = reading.csv_folder(ws, "claims")
+    assert all(f.name.endswith(".csv.gz") for f in (tmp_path / "csv_claims").rglob("part-*"))
+    assert landing.read_csv_by_header(spark, folder + "/*").count() == claims.count()
