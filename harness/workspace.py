@@ -10,8 +10,10 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from floodledger.plans import merge
 from floodledger.plans.condensed import condensed_star
-from floodledger.plans.layers import Silver, Star
+from floodledger.plans.layers import Silver, Star, read_table
+from floodledger.plans.silver import ENTITIES
 from floodledger.plans.warehouse import Result, build_gold, build_silver, run
 from floodledger.schemas import bronze_schema
 from floodledger.session import work_folder
@@ -25,6 +27,7 @@ class Workspace:
         self.sf_dir = sf_dir
         self.path = work_folder(spark)
         self._bronze: dict[str, DataFrame] = {}
+        self._cleaned: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return bindings.table(self.spark, self.sf_dir, name)
@@ -40,10 +43,21 @@ class Workspace:
     def states(self) -> DataFrame:
         return bindings.state_reference(self.spark, self.sf_dir)
 
+    def cleaned(self, entity: str) -> DataFrame:
+        """The cleaned rows of one entity; the other one is not built for it."""
+        if entity not in self._cleaned:
+            path, name = f"{self.path}/silver", f"{entity}_cleaned"
+            merge.rebuild(self.bronze(entity), f"{path}/{name}", entity, merge.default_buckets(self.spark))
+            self._cleaned[entity] = read_table(self.spark, path, name)
+        return self._cleaned[entity]
+
     @cached_property
     def silver(self) -> Silver:
-        bronze = {entity: self.bronze(entity) for entity in ("claims", "policies")}
-        return build_silver(bronze, self.path, self.states)[0]
+        bronze = {entity: self.bronze(entity) for entity in ENTITIES}
+        lacking = [entity for entity in ENTITIES if entity not in self._cleaned]
+        layer = build_silver(bronze, self.path, self.states, entities=lacking)[0]
+        self._cleaned |= {entity: getattr(layer, f"{entity}_cleaned") for entity in lacking}
+        return layer
 
     @cached_property
     def star(self) -> Star:
@@ -51,11 +65,11 @@ class Workspace:
 
     @property
     def claims(self) -> DataFrame:
-        return self.silver.claims_cleaned
+        return self.cleaned("claims")
 
     @property
     def policies(self) -> DataFrame:
-        return self.silver.policies_cleaned
+        return self.cleaned("policies")
 
     @cached_property
     def merged(self) -> Result:
