@@ -200,3 +200,19 @@ def test_a_failed_switch_keeps_the_old_table(spark, tmp_path, monkeypatch):
     spark.range(5).write.parquet(new)
     sinks.switch(spark, new, old)
     assert spark.read.parquet(old).count() == 5 and not sinks.exists(spark, new) and not sinks.exists(spark, f"{old}_aside")
+
+
+def test_a_load_in_every_bucket_replaces_the_sums(wide, tmp_path, monkeypatch):
+    """Rows that all went are not read again, buckets are looked for once a load, and the sums are those of the new rows."""
+    out, searched = str(tmp_path), []
+    look = merge.touched_buckets
+    monkeypatch.setattr(merge, "touched_buckets", lambda rows, entity, buckets: searched.append(entity) or look(rows, entity, buckets))
+    for at, more in ((10, {}), (20, {"occupancyType": "9", "ratedFloodZone": "V9"})):
+        claims = bronze(wide, "claims", [claim(i, at=at, **more) for i in range(150)] + [claim(200 + at, at=at, countyCode=None)])
+        policies = bronze(wide, "policies", [policy(1, at=at, **more)])
+        result = warehouse.run(wide, claims, policies, out, only_new=True, checks=False)
+    assert sorted(searched) == ["claims", "policies"]
+    kept = lambda name: {p.name.split("=")[1].split("-")[0] for p in Path(f"{out}/gold/condensed/{name}").glob("load=*")}
+    assert kept("fact_claims") == {"all"} and kept("fact_policies") == {"all", "new"}
+    sums = condensed.read(wide, f"{out}/gold", "fact_claims", "loss_year").agg(F.sum("row_count"), F.sum("amount_paid_total")).first()
+    assert tuple(sums) == tuple(result.star.fact_claims.agg(F.count("*"), F.sum("amount_paid_total")).first()) and sums[0] == 152
