@@ -185,6 +185,19 @@ def test_a_collision_of_keys_stops_the_build(wide, tmp_path, monkeypatch):
         merge.rebuild(bronze(wide, "claims", [claim(i) for i in range(9)]), f"{tmp_path}/t", "claims", 2)
 
 
+def test_keys_are_counted_as_numbers_and_files_are_small(wide, tmp_path, monkeypatch):
+    """Texts of identities are only grouped if their numbers are fewer than the rows."""
+    grouped = []
+    look = merge.duplicate_keys
+    monkeypatch.setattr(merge, "duplicate_keys", lambda rows, keys: grouped.append(keys) or look(rows, keys))
+    path = f"{tmp_path}/t"
+    assert merge.rebuild(bronze(wide, "claims", [claim(i) for i in range(9)]), path, "claims", 2) == 9 and not grouped
+    merge.merge(bronze(wide, "claims", [claim(3, at=7), claim(12)]).select(*merge.ENTITIES["claims"].columns, merge.INGESTED), path, "claims", 2, [0, 1])
+    assert not grouped and wide.read.parquet(path).count() == 10
+    written = list(Path(path).rglob("*.parquet"))
+    assert written and all(p.name.endswith(".zstd.parquet") for p in written)
+
+
 def test_key_parts_are_told_apart(wide):
     texts = [("a", "b"), ("ab", ""), ("ab", None), (None, "ab"), ("a|1:b", ""), ("a", "|1:b")]
     df = wide.createDataFrame([t + ("x", "y", "z") for t in texts], ", ".join(f"{c} string" for c in CLAIM_KEY))

@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from floodledger.operators.dedup import duplicate_keys, surplus_per_key
+from floodledger.operators.dedup import duplicate_keys, latest_per_key, surplus_per_key
 from floodledger.operators.drill import drill_across
 from floodledger.operators.order_stats import (
     BUCKET,
@@ -170,3 +170,18 @@ def test_counts(spark):
     assert {(r.column, r.value): r["rank"] for r in value_counts(df, ["s", "v"], 1).collect()} == {("s", "a"): 1, ("v", "x"): 1}
     nulls = {r.column: (r.null_count, round(r.null_pct, 1)) for r in null_counts(df).collect()}
     assert nulls == {"s": (0, 0.0), "v": (1, 33.3)}
+
+
+def test_texts_beside_the_key_are_sorted_as_one(spark):
+    """The packed text orders rows as its columns did, whatever they hold, and gives them back."""
+    odd = [None, "", "\0", "\1", "\2", "\0\0", "\1\1", "\1\2", "\0\1", "a", "a\0", "a\1", "a\0b", "ab", "\1\1\2", "\2\1", "é", "b|c"]
+    rows = [(f"k{i % 7}", i % 2, a, b, c) for i, (a, b, c) in enumerate((a, b, c) for a in odd for b in odd for c in ("x", None, ""))]
+    df = spark.createDataFrame(rows, "k string, t int, a string, b string, c string")
+    rank = lambda v: (v is not None, (v or "").encode())
+    expected = {}
+    for row in sorted(rows, key=lambda r: (r[0], -r[1], *map(rank, r[2:]))):
+        expected.setdefault(row[0], row)
+    kept = latest_per_key(df, ["k"], ["t"])
+    assert {r.k: tuple(r) for r in kept.collect()} == expected
+    shuffled = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window [row_number() windowspecdefinition(k#" in shuffled and "_rest#" in shuffled.split("Window [")[1].split("\n")[0]
