@@ -221,6 +221,32 @@ def _lacks(
     return names - built[0], built[1]
 
 
+def _clean(
+    spark: SparkSession, out: str, entity: str, bronze: DataFrame, names: set[str], new: set[str] | None, buckets: int
+) -> tuple[int, list[int]]:
+    """Bring a cleaned table up to date with the loads that it lacks; its rows, and the buckets that ``new`` loads fall into."""
+    path, mark, touched = f"{out}/silver/{entity}_cleaned", f"{out}/silver/{entity}_built_from", []
+    merge.unmark(spark, mark)
+    if new is None:
+        kept = merge.rebuild(bronze, path, entity, buckets)
+    else:
+        fresh = merge.of_loads(spark, bronze_path(out, entity), entity, new)
+        touched = merge.touched_buckets(fresh, entity, buckets)
+        kept = merge.merge(fresh, path, entity, buckets, touched)
+    merge.mark_built(spark, mark, names, buckets)
+    return kept, touched
+
+
+def clean_load(load: DataFrame, out: str, entity: str) -> DataFrame:
+    """Land a further load of one entity and merge it; the cleaned table. The other entity and the star stay as they are."""
+    spark = load.sparkSession
+    land_table(load, out, entity, only_new=True)
+    names = loads(spark, out, entity)
+    new, buckets = _lacks(spark, f"{out}/silver/{entity}_built_from", names, True, merge.default_buckets(spark))
+    _clean(spark, out, entity, read_bronze(spark, bronze_path(out, entity), entity), names, new, buckets)
+    return read_table(spark, f"{out}/silver", f"{entity}_cleaned")
+
+
 def _unmark_star(spark: SparkSession, out: str) -> None:
     for entity in ENTITIES:
         merge.unmark(spark, f"{out}/gold/{entity}_built_from")
@@ -268,16 +294,8 @@ def run(
     found: dict[str, list[int]] = {}
 
     def clean(entity: str) -> int:
-        new, path, mark = silver_lacks[entity], f"{out}/silver/{entity}_cleaned", f"{out}/silver/{entity}_built_from"
-        merge.unmark(spark, mark)
-        if new is None:
-            kept = merge.rebuild(result.bronze[entity], path, entity, silver_buckets[entity])
-        else:
-            fresh = merge.of_loads(spark, bronze_path(out, entity), entity, new)
-            found[entity] = merge.touched_buckets(fresh, entity, silver_buckets[entity])
-            kept = merge.merge(fresh, path, entity, silver_buckets[entity], found[entity])
-        merge.mark_built(spark, mark, taken[entity], silver_buckets[entity])
-        return kept
+        rows, found[entity] = _clean(spark, out, entity, result.bronze[entity], taken[entity], silver_lacks[entity], silver_buckets[entity])
+        return rows
 
     behind = [entity for entity, new in silver_lacks.items() if new is None or new]
     rows = at_once(spark, {f"{e}_cleaned": lambda e=e: clean(e) for e in behind})

@@ -19,12 +19,12 @@ def _same_as(name: str, of: str):
 
 @_same_as("k01_merged_claims", "k01_clean_claims")
 def k01(ws: Workspace):
-    return ws.merged.silver.claims_cleaned.drop("row_key", "bucket")
+    return ws.merged_cleaned("claims").drop("row_key", "bucket")
 
 
 @_same_as("k02_merged_policies", "k02_clean_policies")
 def k02(ws):
-    return ws.merged.silver.policies_cleaned.drop("row_key", "bucket")
+    return ws.merged_cleaned("policies").drop("row_key", "bucket")
 
 
 _PLACE = "state_abbrev, county_fips, flood_zone_code, occupancy_type, construction_class, year_built_band, year"

@@ -14,7 +14,7 @@ from floodledger.plans import merge
 from floodledger.plans.condensed import condensed_star
 from floodledger.plans.layers import Silver, Star, read_table
 from floodledger.plans.silver import ENTITIES
-from floodledger.plans.warehouse import Result, build_gold, build_silver, run
+from floodledger.plans.warehouse import Result, build_gold, build_silver, clean_load, run
 from floodledger.schemas import bronze_schema
 from floodledger.session import work_folder
 from floodledger.sources.sinks import overwrite
@@ -28,6 +28,7 @@ class Workspace:
         self.path = work_folder(spark)
         self._bronze: dict[str, DataFrame] = {}
         self._cleaned: dict[str, DataFrame] = {}
+        self._merged_cleaned: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return bindings.table(self.spark, self.sf_dir, name)
@@ -80,6 +81,17 @@ class Workspace:
             result = run(self.spark, given["claims"], given["policies"], out, self.states, only_new=True, checks=False)
         return result
 
+    def merged_cleaned(self, entity: str) -> DataFrame:
+        """The cleaned rows of one entity after the same loads; the other one and the star are not built for it."""
+        if "merged" in vars(self):
+            return getattr(self.merged.silver, f"{entity}_cleaned")
+        if entity not in self._merged_cleaned:
+            out = self.scratch(f"merged_{entity}")
+            for load in range(bindings.LOADS):
+                rows = clean_load(bindings.delivery(self.bronze(entity), entity, load), out, entity)
+            self._merged_cleaned[entity] = rows
+        return self._merged_cleaned[entity]
+
     def condensed(self, grain: str) -> Star:
         """The star of the merged loads with the merged sums in the place of facts."""
         return condensed_star(self.merged.star, f"{self.merged.path}/gold", grain)

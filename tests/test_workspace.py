@@ -21,3 +21,16 @@ def test_the_rows_of_one_entity_are_cleaned_without_the_other(spark, monkeypatch
     # the layer takes the rows that are there and adds those of the other entity
     assert getattr(ws.silver, f"{entity}_cleaned").count() == getattr(ws.silver, f"{other}_cleaned").count() == 2
     assert built == [entity, other] and set(getattr(ws, entity).inputFiles()) == files == set(getattr(ws.silver, f"{entity}_cleaned").inputFiles())
+
+
+@pytest.mark.parametrize("entity", ["claims", "policies"])
+def test_the_loads_of_one_entity_are_merged_without_the_other(spark, monkeypatch, entity):
+    built = []
+    monkeypatch.setattr(bindings, "bronze", lambda _, __, e: built.append(e) or bronze(spark, e, ROWS[e]))
+    monkeypatch.setattr(bindings, "state_reference", lambda *_: spark.createDataFrame([("TX", "Texas", 6)], "state_abbrev string, state_name string, fema_region int"))
+    ws = Workspace(spark, "")
+    typed = lambda df: sorted(map(repr, df.drop("landed", "row_key", "bucket").collect()))
+    alone = typed(ws.merged_cleaned(entity))
+    assert built == [entity] and "merged" not in vars(ws)
+    assert alone == typed(getattr(ws, entity)) == typed(getattr(ws.merged.silver, f"{entity}_cleaned"))
+    assert set(ws.merged_cleaned(entity).inputFiles()) == set(getattr(ws.merged.silver, f"{entity}_cleaned").inputFiles())
