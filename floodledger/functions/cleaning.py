@@ -32,7 +32,8 @@ def normalise_missing(df: DataFrame, tokens: Iterable[str] = MISSING_TOKENS) ->
 
 def code(col: Column) -> Column:
     """Trimmed upper-case code without the ``.0`` a float column leaves behind."""
-    return F.regexp_replace(F.upper(F.trim(col)), r"^(\d+)\.0+$", "$1")
+    text = F.upper(F.trim(col))
+    return F.when(text.contains("."), F.regexp_replace(text, r"^(\d+)\.0+$", "$1")).otherwise(text)
 
 
 def to_date(col: Column) -> Column:
