@@ -229,3 +229,31 @@ def test_a_load_in_every_bucket_replaces_the_sums(wide, tmp_path, monkeypatch):
     assert kept("fact_claims") == {"all"} and kept("fact_policies") == {"all", "new"}
     sums = condensed.read(wide, f"{out}/gold", "fact_claims", "loss_year").agg(F.sum("row_count"), F.sum("amount_paid_total")).first()
     assert tuple(sums) == tuple(result.star.fact_claims.agg(F.count("*"), F.sum("amount_paid_total")).first()) and sums[0] == 152
+
+
+def test_landed_text_that_the_typed_columns_spell_is_stored_once(wide, tmp_path):
+    """Every landed text comes back as it was, and of those that are spelled by a typed column nothing is kept beside it."""
+    odd = [
+        claim(1), claim(2, occupancyType=" 1.0", amountPaidOnContentsClaim="1200"), claim(3, amountPaidOnContentsClaim=None, countyCode=""),
+        claim(4, amountPaidOnContentsClaim="=", yearOfLoss="02010", causeOfDamage="="), claim(5, occupancyType=None, state=None, dateOfLoss="2010-03-04"),
+        claim(6, state="tx", ratedFloodZone=None, floodZoneCurrent="X", yearOfLoss=None, amountPaidOnBuildingClaim="0.00"), claim(7, occupancyType="\u0001", causeOfDamage="\u0000")]
+    kind = merge.ENTITIES["claims"]
+    raw = merge.usable(bronze(wide, "claims", odd), kind)
+    path = f"{tmp_path}/t"
+    sinks.overwrite(merge.stored_rows(raw, "claims", 3), path, ["bucket"])
+    back = merge.read_stored(wide, path, "claims", [0, 1, 2])
+    assert back.columns == raw.columns and sorted(map(repr, back.collect())) == sorted(map(repr, raw.collect()))
+    kept = {r.amountPaidOnBuildingClaim: r.landed for r in wide.read.parquet(path).collect()}
+    assert kept[100].amountPaidOnContentsClaim is kept[100].state is kept[100].causeOfDamage is None and kept[200].amountPaidOnContentsClaim == "=1200"
+    rows = [policy(1), policy(2, buildingDeductibleCode="F", crsClassCode=None, totalInsurancePremiumOfThePolicy="1250.00")]
+    raw = merge.usable(bronze(wide, "policies", rows), merge.ENTITIES["policies"])
+    sinks.overwrite(merge.stored_rows(raw, "policies", 3), f"{tmp_path}/p", ["bucket"])
+    assert sorted(map(repr, merge.read_stored(wide, f"{tmp_path}/p", "policies", [0, 1, 2]).collect())) == sorted(map(repr, raw.collect()))
+
+
+def test_a_table_of_an_earlier_form_is_built_anew(wide, tmp_path):
+    mark = f"{tmp_path}/mark"
+    merge.mark_built(wide, mark, {"a"}, 3)
+    assert merge.built_from(wide, mark) == ({"a"}, 3)
+    sinks.overwrite(wide.createDataFrame([("a", 3)], "load string, buckets int"), mark)
+    assert merge.built_from(wide, mark) is None
