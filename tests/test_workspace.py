@@ -34,3 +34,29 @@ def test_the_loads_of_one_entity_are_merged_without_the_other(spark, monkeypatch
     assert built == [entity] and "merged" not in vars(ws)
     assert alone == typed(getattr(ws, entity)) == typed(getattr(ws.merged.silver, f"{entity}_cleaned"))
     assert set(ws.merged_cleaned(entity).inputFiles()) == set(getattr(ws.merged.silver, f"{entity}_cleaned").inputFiles())
+
+
+def test_a_session_made_elsewhere_gets_what_is_not_set_in_it(spark):
+    from floodledger.session import NEEDED, SETTINGS, tuned
+
+    other = spark.newSession()
+    for key in NEEDED:
+        other.conf.unset(key)
+    other.conf.set(NEEDED[1], "7m")
+    tuned(other)
+    assert other.conf.get(NEEDED[0]) == SETTINGS[NEEDED[0]] and other.conf.get(NEEDED[1]) == "7m"
+
+
+def test_no_split_holds_more_rows_than_a_row_group(spark, tmp_path):
+    """Row groups of a written table end at a size, so that splits can be cut and tasks need not spill what they sort."""
+    from floodledger.session import ROW_GROUP
+    from floodledger.sources import sinks
+
+    rows = spark.range(1_500_000, numPartitions=1).selectExpr("id", "sha2(cast(id as string), 256) AS text")
+    sinks.overwrite(rows, f"{tmp_path}/t")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    assert len(table.inputFiles()) == 1
+    import pyarrow.parquet as pq
+
+    found = pq.ParquetFile(next((tmp_path / "t").glob("*.parquet"))).metadata
+    assert found.num_row_groups > 1 and max(sum(found.row_group(i).column(c).total_compressed_size for c in range(2)) for i in range(found.num_row_groups)) < 1.3 * ROW_GROUP
