@@ -257,3 +257,14 @@ def test_a_table_of_an_earlier_form_is_built_anew(wide, tmp_path):
     assert merge.built_from(wide, mark) == ({"a"}, 3)
     sinks.overwrite(wide.createDataFrame([("a", 3)], "load string, buckets int"), mark)
     assert merge.built_from(wide, mark) is None
+
+
+def test_sums_are_grouped_by_the_number_of_the_grain(wide):
+    """Each row is compared with its grain for every key: with a number, while the stored sums have the names."""
+    kinds = "date_key int, location_key int, flood_zone_key int, occupancy_key int, building_type_key int, year_of_loss int, amount_paid_total decimal(18,2), amount_paid_building decimal(18,2), amount_paid_contents decimal(18,2)"
+    made = condensed.sums(condensed.signed(wide.createDataFrame([(20100101, 1, 2, 3, 4, 2010, None, None, None)], kinds), "fact_claims", 1), "fact_claims")
+    assert {r.grain for r in made.collect()} == set(condensed.GRAINS["fact_claims"])
+    zone = made.where("grain = 'zone'").first()
+    assert (zone.flood_zone_key, zone.location_key, zone.row_count, zone.year_key) == (2, None, 1, 20100101)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode([0,1,2,3,4,5])" in plan

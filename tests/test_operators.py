@@ -185,3 +185,16 @@ def test_texts_beside_the_key_are_sorted_as_one(spark):
     assert {r.k: tuple(r) for r in kept.collect()} == expected
     shuffled = kept._jdf.queryExecution().optimizedPlan().toString()
     assert "Window [row_number() windowspecdefinition(k#" in shuffled and "_rest#" in shuffled.split("Window [")[1].split("\n")[0]
+
+
+def test_texts_are_only_escaped_where_something_is_to_be(spark):
+    """Replacing what is not there costs more than all else of packing."""
+    from floodledger.operators.dedup import pack, unpacked
+
+    df = spark.createDataFrame([("a", None), ("a\u0000b\u0001", "\u0001\u0001"), ("", "\u0002")], "a string, b string")
+    packed = df.select("a", "b", F.split(pack(["a", "b"]), "\u0000").alias("p"))
+    back = packed.select("a", "b", *(unpacked(F.col("p")[i]).alias(f"{c}_back") for i, c in enumerate("ab"))).collect()
+    assert [(r.a, r.b) for r in back] == [(r.a_back, r.b_back) for r in back] and len(back) == 3
+    for made in (pack(["a"]), unpacked(F.col("a"))):
+        plan = df.select(made)._jdf.queryExecution().analyzed().toString().lower()
+        assert plan.index("contains(") < plan.index("replace(")

@@ -36,6 +36,20 @@ def test_the_loads_of_one_entity_are_merged_without_the_other(spark, monkeypatch
     assert set(ws.merged_cleaned(entity).inputFiles()) == set(getattr(ws.merged.silver, f"{entity}_cleaned").inputFiles())
 
 
+def test_the_bronze_tables_are_written_at_the_same_time(spark, monkeypatch):
+    """Neither write waits for the other: each is held up until the other one has begun."""
+    import threading
+
+    from harness import workspace as module
+
+    both, write = threading.Barrier(2), module.overwrite
+    monkeypatch.setattr(bindings, "bronze", lambda _, __, e: bronze(spark, e, ROWS[e]))
+    monkeypatch.setattr(bindings, "state_reference", lambda *_: spark.createDataFrame([("TX", "Texas", 6)], "state_abbrev string, state_name string, fema_region int"))
+    monkeypatch.setattr(module, "overwrite", lambda df, path: both.wait(60) is not None and write(df, path))
+    ws = Workspace(spark, "")
+    assert ws.merged.rows["claims_cleaned"] == ws.merged.rows["policies_cleaned"] == 2
+
+
 def test_a_session_made_elsewhere_gets_what_is_not_set_in_it(spark):
     from floodledger.session import NEEDED, SETTINGS, tuned
 
