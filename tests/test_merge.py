@@ -268,3 +268,24 @@ def test_sums_are_grouped_by_the_number_of_the_grain(wide):
     assert (zone.flood_zone_key, zone.location_key, zone.row_count, zone.year_key) == (2, None, 1, 20100101)
     plan = made._jdf.queryExecution().optimizedPlan().toString()
     assert "explode([0,1,2,3,4,5])" in plan
+
+
+def test_a_large_table_is_merged_some_buckets_at_a_time(wide, tmp_path, monkeypatch):
+    """Rounds take disjoint buckets and leave what one merge of all leaves; a small table takes one."""
+    kind = merge.ENTITIES["claims"]
+    old = [claim(i, at=10) for i in range(60)] + [claim(100, at=10, countyCode=None)]
+    new = [claim(i, at=20, occupancyType="9") for i in range(0, 60, 3)] + [claim(i, at=5) for i in range(1, 60, 3)] + [claim(200 + i, at=20) for i in range(9)]
+    load = merge.usable(bronze(wide, "claims", new), kind)
+    left, reads = [], []
+    read = merge.read_stored
+    monkeypatch.setattr(merge, "read_stored", lambda spark, path, entity, touched: reads.append(touched) or read(spark, path, entity, touched))
+    monkeypatch.setattr(type(wide.sparkContext), "defaultParallelism", 4)
+    for at, size in enumerate((merge.ROUND, 1)):
+        path = f"{tmp_path}/t{at}"
+        merge.rebuild(bronze(wide, "claims", old), path, "claims", 12)
+        touched = merge.touched_buckets(load, "claims", 12)
+        monkeypatch.setattr(merge, "ROUND", size)
+        assert merge.merge(load, path, "claims", 12, touched) == 70
+        left.append(sorted(map(repr, wide.read.parquet(path).collect())))
+    assert left[0] == left[1] and reads[0] == touched == list(range(12))
+    assert len(reads) == 4 and sorted(sum(reads[1:], [])) == touched and {len(r) for r in reads[1:]} == {4}

@@ -1,7 +1,10 @@
 """What a query builds before it reads."""
 
+from pathlib import Path
+
 import pytest
 from conftest import bronze
+from pyspark.sql import functions as F
 
 from harness import bindings
 from harness.workspace import Workspace
@@ -74,3 +77,43 @@ def test_no_split_holds_more_rows_than_a_row_group(spark, tmp_path):
 
     found = pq.ParquetFile(next((tmp_path / "t").glob("*.parquet"))).metadata
     assert found.num_row_groups > 1 and max(sum(found.row_group(i).column(c).total_compressed_size for c in range(2)) for i in range(found.num_row_groups)) < 1.3 * ROW_GROUP
+
+
+def test_shuffle_files_of_a_write_go_when_it_ends(spark, tmp_path):
+    """A table is written from a shuffle once; what a caller runs twice keeps its files, and the setting is as it was."""
+    import threading
+    import time
+
+    from floodledger.session import _PASSING, passing_shuffles
+    from floodledger.sources import sinks
+
+    local = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0])
+    held = lambda: {p.name for p in local.rglob("shuffle_*.data")}
+
+    def gone(before):
+        for _ in range(50):
+            if held() <= before:
+                return True
+            time.sleep(0.1)
+        return False
+
+    before = held()
+    rows = spark.range(20_000, numPartitions=4).withColumn("k", F.col("id") % 1000)
+    grouped = rows.groupBy("k").count()
+    assert sinks.overwrite(grouped, f"{tmp_path}/t") == 1000 and gone(before)
+    assert spark.conf.get(_PASSING) == "false"
+    both = threading.Barrier(2)
+
+    def write(i):
+        with passing_shuffles(spark):
+            both.wait(30)
+            assert spark.conf.get(_PASSING) == "true"
+            both.wait(30)
+        sinks.overwrite(grouped, f"{tmp_path}/t{i}")
+
+    threads = [threading.Thread(target=write, args=(i,)) for i in range(2)]
+    [t.start() for t in threads]
+    [t.join(60) for t in threads]
+    assert spark.conf.get(_PASSING) == "false" and gone(before)
+    kept = rows.groupBy("k").agg(F.max("id").alias("m"))
+    assert len(kept.collect()) == len(kept.collect()) == 1000 and held() - before
