@@ -289,3 +289,22 @@ def test_a_large_table_is_merged_some_buckets_at_a_time(wide, tmp_path, monkeypa
         left.append(sorted(map(repr, wide.read.parquet(path).collect())))
     assert left[0] == left[1] and reads[0] == touched == list(range(12))
     assert len(reads) == 4 and sorted(sum(reads[1:], [])) == touched and {len(r) for r in reads[1:]} == {4}
+
+
+def test_decimals_are_summed_up_exactly_as_numbers(wide):
+    """Sums of the largest and of negative amounts; of the measures only those of more than 18 digits are added as decimals."""
+    from decimal import Decimal
+
+    most = Decimal("9999999999999999.99")
+    paid = [most] * 7 + [Decimal("-0.01"), -most, Decimal("42949672.96"), Decimal("-42949672.97"), None]
+    keys = "date_key int, location_key int, flood_zone_key int, occupancy_key int, building_type_key int, year_of_loss int"
+    fact = wide.createDataFrame([(20100101, 1, 2, 3, 4, 2010, p, p and -p, Decimal("0.05")) for p in paid], f"{keys}, amount_paid_total decimal(18,2), amount_paid_building decimal(18,2), amount_paid_contents decimal(18,2)")
+    for sign in (1, -1):
+        made = condensed.sums(condensed.signed(fact, "fact_claims", sign), "fact_claims")
+        assert {made.schema[m].dataType.simpleString() for m in condensed.MEASURES["fact_claims"]} == {"decimal(30,2)"}
+        row = made.where("grain = 'zone'").first()
+        total = sum(p for p in paid if p is not None)
+        assert (row.amount_paid_total, row.amount_paid_building, row.amount_paid_contents) == (sign * total, -sign * total, sign * Decimal("0.60"))
+        assert row.amount_paid_total_filled == sign * 11
+        added = [e for line in made._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate" in line for e in line.split("sum(")[1:]]
+        assert added and not any(e.startswith("amount_paid_total#") or e.startswith("amount_paid_building#") for e in added)
